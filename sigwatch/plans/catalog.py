@@ -198,3 +198,97 @@ def control_chart_series(spark, sf_dir, metric: str = "purchase", n: int = 600):
                     r("ucl").alias("ucl"), r("lcl").alias("lcl"),
                     r("cusum_pos").alias("cusum_pos"), r("cusum_neg").alias("cusum_neg"),
                     ((F.col("value") > F.col("ucl")) | (F.col("value") < F.col("lcl"))).alias("violation"))
+
+
+# ------------------------------------------------------------------ features
+
+from ..operators import features as FT  # noqa: E402
+from ..schema import ChartParams  # noqa: E402
+
+BATCH = data.RUN.batch_rows
+
+
+def indexed_stream(spark, sf_dir):
+    lev = _lev(spark, sf_dir)
+    return FT.add_row_index(data.stream(lev), batch_rows=BATCH)
+
+
+def indexed_baseline(spark, sf_dir):
+    lev = _lev(spark, sf_dir)
+    return FT.add_row_index(data.baseline(lev), batch_rows=BATCH)
+
+
+def micro_batch_index(spark, sf_dir):
+    """Exact stream position and 500-row batch key (no global window)."""
+    return indexed_stream(spark, sf_dir).select("event_id", "row_idx", "batch_key")
+
+
+def forest_features_q(spark, sf_dir):
+    """D1 + P3 + W2: isolation-forest features per stream row."""
+    f = FT.forest_features(indexed_stream(spark, sf_dir))
+    return f.select("event_id", "batch_key", *[r(c).alias(c) for c in FT.FOREST_FEATURES])
+
+
+def forest_scaler_q(spark, sf_dir):
+    """Standard scaler of the baseline forest features (std 0 -> 1)."""
+    f = FT.forest_features(indexed_baseline(spark, sf_dir))
+    s = FT.scaler(f, FT.FOREST_FEATURES, zero_std_to_one=True)
+    return s.select(*[r(c).alias(c) for c in s.columns])
+
+
+def autoencoder_features_q(spark, sf_dir):
+    """D5 + P4 + P5 + W3: the six autoencoder features per stream row."""
+    b = data.baseline(_lev(spark, sf_dir))
+    f = FT.autoencoder_features(indexed_stream(spark, sf_dir), FT.metric_index(b))
+    return f.select("event_id", *[r(c).alias(c) for c in FT.AE_FEATURES])
+
+
+def autoencoder_scaler_q(spark, sf_dir):
+    """Mean / population std of the baseline autoencoder features."""
+    b = indexed_baseline(spark, sf_dir)
+    f = FT.autoencoder_features(b, FT.metric_index(b))
+    s = FT.scaler(f, FT.AE_FEATURES, zero_std_to_one=False)
+    return s.select(*[r(c).alias(c) for c in s.columns])
+
+
+def batch_minmax_confidence_q(spark, sf_dir):
+    """W4 + P13: batch min-max confidence with ``value`` as the score."""
+    f = FT.batch_minmax_confidence(indexed_stream(spark, sf_dir), "value", "confidence")
+    return f.select("event_id", "batch_key", r("confidence").alias("confidence"))
+
+
+# ------------------------------------------------------------------ adaptive charts
+
+CHART_OUT = ["z_score", "cusum_pos", "cusum_neg", "control_mean", "control_std", "upper_limit",
+             "lower_limit", "cc_is_anomaly", "rule_triggered", "cc_confidence"]
+
+
+def _chart(spark, sf_dir, params: ChartParams, baseline_filter=None):
+    lev = _lev(spark, sf_dir)
+    s = data.stream(lev).select("event_id", "ts", "service", "metric_name", "value")
+    b = data.baseline(lev).select("event_id", "ts", "service", "metric_name", "value")
+    if baseline_filter is not None:
+        b = b.where(baseline_filter)
+    out = charts.adaptive_chart(s, b, params)
+    return out.select("event_id", *list(params.series_key), *CHART_OUT)
+
+
+def adaptive_control_chart(spark, sf_dir):
+    """D9 + D11 (reference keying by metric name): adaptive 3-sigma + CUSUM."""
+    return _chart(spark, sf_dir, ChartParams())
+
+
+def fixed_control_chart(spark, sf_dir):
+    """Non-adaptive chart (fitted limits, window takes every value)."""
+    return _chart(spark, sf_dir, ChartParams(adaptive=False))
+
+
+def series_control_chart(spark, sf_dir):
+    """One chart per (service, metric) series."""
+    return _chart(spark, sf_dir, ChartParams(series_key=("service", "metric_name")))
+
+
+def unseen_series(spark, sf_dir):
+    """Series without a baseline start from mean 0 / std 1 (svc-4 unseen)."""
+    return _chart(spark, sf_dir, ChartParams(series_key=("service", "metric_name")),
+                  baseline_filter=F.col("service") != "svc-4")

@@ -24,6 +24,16 @@ QUERIES = {
     "cusum_scan": C.cusum_scan_q,
     "label_zones": C.label_zones_q,
     "control_chart_series": C.control_chart_series,
+    "micro_batch_index": C.micro_batch_index,
+    "forest_features": C.forest_features_q,
+    "forest_scaler": C.forest_scaler_q,
+    "autoencoder_features": C.autoencoder_features_q,
+    "autoencoder_scaler": C.autoencoder_scaler_q,
+    "batch_minmax_confidence": C.batch_minmax_confidence_q,
+    "adaptive_control_chart": C.adaptive_control_chart,
+    "fixed_control_chart": C.fixed_control_chart,
+    "series_control_chart": C.series_control_chart,
+    "unseen_series": C.unseen_series,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

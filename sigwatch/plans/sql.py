@@ -150,3 +150,128 @@ SELECT rn AS idx, event_id, value, is_anomaly, round(ucl, 4) AS ucl, round(lcl,
        round(cusum_pos, 4) AS cusum_pos, round(cusum_neg, 4) AS cusum_neg,
        (value > ucl OR value < lcl) AS violation
 FROM c"""
+
+# ------------------------------------------------------------------ features
+
+_IDX = """,
+si AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_idx FROM strm),
+sb AS (SELECT *, row_idx // 500 AS batch_key FROM si),
+bi AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) - 1 AS row_idx FROM base),
+bb AS (SELECT *, row_idx // 500 AS batch_key FROM bi)"""
+
+SQL["micro_batch_index"] = L + _IDX + """
+SELECT event_id, row_idx, batch_key FROM sb"""
+
+
+def _ffeat(src: str) -> str:
+    return f"""SELECT *, value AS f_value, ln(1 + abs(value)) AS f_log,
+       coalesce(value - lag(value) OVER (PARTITION BY batch_key ORDER BY ts, event_id), 0.0) AS f_diff,
+       value / (avg(value) OVER (PARTITION BY batch_key ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) + 1e-8::DOUBLE) AS f_roll_ratio,
+       value * value / 1e6::DOUBLE AS f_sq
+FROM {src}"""
+
+
+SQL["forest_features"] = L + _IDX + f""",
+ff AS ({_ffeat('sb')})
+SELECT event_id, batch_key, round(f_value, 4) AS f_value, round(f_log, 4) AS f_log, round(f_diff, 4) AS f_diff FROM ff"""
+
+SQL["forest_scaler"] = L + _IDX + f""",
+ff AS ({_ffeat('bb')})
+SELECT """ + ", ".join(
+    f"round(avg({c}), 4) AS {c}_mean, round(CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END, 4) AS {c}_std"
+    for c in ("f_value", "f_log", "f_diff")) + " FROM ff"
+
+_MI = """,
+mi AS (SELECT metric_name, row_number() OVER (ORDER BY metric_name) - 1 AS m_pos FROM (SELECT DISTINCT metric_name FROM base)),
+mn AS (SELECT count(*) AS m_count FROM mi)"""
+
+_AE_COLS = ("f_value", "f_log", "f_sq", "f_diff", "f_roll_ratio", "f_metric")
+
+SQL["autoencoder_features"] = L + _IDX + _MI + f""",
+ff AS ({_ffeat('sb')}),
+fa AS (SELECT ff.*, coalesce(mi.m_pos, 0) / (SELECT m_count FROM mn)::DOUBLE AS f_metric
+       FROM ff LEFT JOIN mi USING (metric_name))
+SELECT event_id, """ + ", ".join(f"round({c}, 4) AS {c}" for c in _AE_COLS) + " FROM fa"
+
+SQL["autoencoder_scaler"] = L + _IDX + _MI + f""",
+ff AS ({_ffeat('bb')}),
+fa AS (SELECT ff.*, coalesce(mi.m_pos, 0) / (SELECT m_count FROM mn)::DOUBLE AS f_metric
+       FROM ff LEFT JOIN mi USING (metric_name))
+SELECT """ + ", ".join(f"round(avg({c}), 4) AS {c}_mean, round(stddev_pop({c}), 4) AS {c}_std"
+                      for c in _AE_COLS) + " FROM fa"
+
+SQL["batch_minmax_confidence"] = L + _IDX + """,
+w AS (SELECT *, min(value) OVER (PARTITION BY batch_key) AS lo, max(value) OVER (PARTITION BY batch_key) AS hi FROM sb)
+SELECT event_id, batch_key, round(CASE WHEN hi > lo THEN 1.0 - (value - lo) / (hi - lo) ELSE 0.0 END, 4) AS confidence FROM w"""
+
+
+# ------------------------------------------------------------------ adaptive charts (recursive CTE)
+
+def xr(expr: str, k: int = 4) -> str:
+    """Correctly rounded ``round(expr, k)`` (DuckDB's own round works on the
+    scaled double and differs from Python/Spark on near-ties)."""
+    return f"CAST(round(CAST(printf('%.20f', ({expr})::DOUBLE) AS DECIMAL(38,20)), {k}) AS DOUBLE)"
+
+
+def chart_rcte(key=("metric_name",), adaptive=True, baseline_where="TRUE", window=500, min_window=30,
+               sigma=3.0, k=0.5, h=5.0) -> str:
+    kc = ", ".join(key)
+    kj = " AND ".join(f"s.{c} IS NOT DISTINCT FROM f.{c}" for c in key)
+    adapt = "TRUE" if adaptive else "FALSE"
+    return L.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+b2 AS (SELECT * FROM base WHERE {baseline_where}),
+fit AS (SELECT {kc}, avg(value) AS fit_mean, stddev_pop(value) + 1e-8::DOUBLE AS fit_std FROM b2 GROUP BY {kc}),
+warm AS (SELECT * FROM (SELECT event_id, ts, {kc}, value,
+           row_number() OVER (PARTITION BY {kc} ORDER BY ts DESC, event_id DESC) AS rk FROM b2) WHERE rk <= {window}),
+seq0 AS (SELECT event_id, ts, {kc}, value, 0 AS phase FROM warm
+         UNION ALL SELECT event_id, ts, {kc}, value, 1 AS phase FROM strm),
+seq AS (SELECT seq0.*, fit.fit_mean, fit.fit_std,
+               row_number() OVER (PARTITION BY {", ".join("seq0." + c for c in key)} ORDER BY phase, ts, event_id) AS rn
+        FROM seq0 LEFT JOIN fit USING ({kc})),
+fold AS (
+  SELECT {kc}, 0::BIGINT AS rn, []::DOUBLE[] AS win, 0.0::DOUBLE AS cp, 0.0::DOUBLE AS cn,
+         NULL::VARCHAR AS event_id, 0 AS phase, NULL::DOUBLE AS z, NULL::DOUBLE AS mean, NULL::DOUBLE AS sd,
+         NULL::DOUBLE AS cp_out, NULL::DOUBLE AS cn_out, NULL::VARCHAR AS rule, NULL::DOUBLE AS conf
+  FROM (SELECT DISTINCT {kc} FROM seq)
+  UNION ALL
+  SELECT {", ".join("s." + c for c in key)}, s.rn,
+         CASE WHEN s.phase = 0 OR x.rule = '' OR NOT {adapt}
+              THEN (CASE WHEN len(list_append(f.win, s.value)) > {window}
+                         THEN list_append(f.win, s.value)[len(list_append(f.win, s.value)) - {window - 1}:]
+                         ELSE list_append(f.win, s.value) END)
+              ELSE f.win END,
+         CASE WHEN s.phase = 0 THEN f.cp WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cp1 END,
+         CASE WHEN s.phase = 0 THEN f.cn WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cn1 END,
+         s.event_id, s.phase, x.z, x.mean, x.sd,
+         CASE WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cp1 END,
+         CASE WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cn1 END,
+         x.rule,
+         round(greatest(least(abs(x.z) / {2 * sigma}, 1.0), least(greatest(x.cp1, x.cn1) / {2 * h}, 1.0)), 4)
+  FROM fold f JOIN seq s ON s.rn = f.rn + 1 AND {kj},
+  LATERAL (
+    SELECT mean, sd, z, cp1, cn1,
+           CASE WHEN abs(z) > {sigma} THEN '3sigma' WHEN cp1 > {h} THEN 'cusum_up'
+                WHEN cn1 > {h} THEN 'cusum_down' ELSE '' END AS rule
+    FROM (SELECT mean, sd, (s.value - mean) / sd AS z,
+                 greatest(0.0, f.cp + ((s.value - mean) / sd - {k})) AS cp1,
+                 greatest(0.0, f.cn + (-((s.value - mean) / sd) - {k})) AS cn1
+          FROM (SELECT
+            CASE WHEN {adapt} AND len(f.win) >= {min_window} THEN list_aggregate(f.win, 'fsum') / len(f.win)
+                 WHEN s.fit_mean IS NOT NULL THEN s.fit_mean
+                 WHEN len(f.win) > 0 THEN list_aggregate(f.win, 'fsum') / len(f.win) ELSE 0.0 END AS mean,
+            CASE WHEN {adapt} AND len(f.win) >= {min_window} THEN list_stddev_pop(f.win) + 1e-8::DOUBLE
+                 WHEN s.fit_mean IS NOT NULL THEN s.fit_std
+                 WHEN len(f.win) > 0 THEN list_stddev_pop(f.win) + 1e-8::DOUBLE ELSE 1.0 END AS sd))
+  ) x
+)
+SELECT event_id, {kc}, {xr('z')} AS z_score, {xr('cp_out')} AS cusum_pos, {xr('cn_out')} AS cusum_neg,
+       {xr('round(mean, 8)')} AS control_mean, {xr('sd')} AS control_std,
+       {xr(f'mean + {sigma} * sd')} AS upper_limit, {xr(f'mean - {sigma} * sd')} AS lower_limit,
+       rule <> '' AS cc_is_anomaly, rule AS rule_triggered, conf AS cc_confidence
+FROM fold WHERE phase = 1"""
+
+
+SQL["adaptive_control_chart"] = chart_rcte()
+SQL["fixed_control_chart"] = chart_rcte(adaptive=False)
+SQL["series_control_chart"] = chart_rcte(key=("service", "metric_name"))
+SQL["unseen_series"] = chart_rcte(key=("service", "metric_name"), baseline_where="service <> 'svc-4'")
