@@ -82,3 +82,11 @@ def clip01(x) -> Column:
 def percent2(x) -> Column:
     """Python ``{:.2%}``."""
     return F.concat(F.format_string("%.2f", c(x) * F.lit(100.0)), F.lit("%"))
+
+
+def fround(x, k: int = 4) -> Column:
+    """Round half up as ``floor(x * 10^k + 0.5) / 10^k`` -- plain IEEE steps,
+    so every engine gives the same double (Spark's ``round`` goes through the
+    JVM's decimal string of the double, which is not always the shortest)."""
+    p = float(10 ** k)
+    return (F.floor(c(x) * F.lit(p) + F.lit(0.5)) / F.lit(p)).cast("double")

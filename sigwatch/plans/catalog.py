@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import derived_event_id, epoch_ms, severity
+from ..functions.columns import derived_event_id, epoch_ms, fround, severity
 from ..operators import charts
 from ..operators.inject import scenario_matches
 from ..sources.events import flatten_envelopes, load_events, split_valid
@@ -292,3 +292,189 @@ def unseen_series(spark, sf_dir):
     """Series without a baseline start from mean 0 / std 1 (svc-4 unseen)."""
     return _chart(spark, sf_dir, ChartParams(series_key=("service", "metric_name")),
                   baseline_filter=F.col("service") != "svc-4")
+
+
+# ------------------------------------------------------------------ fusion, alerts, evaluation
+# The SQL-checkable detector trio: fitted 3-sigma (D12), CUSUM scan (W8) and
+# the adaptive chart (D9); all three are fused like the reference's detectors.
+
+from ..operators import alerts as AL  # noqa: E402
+from ..operators import ensemble as EN  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..schema import AlertParams  # noqa: E402
+
+TRIO = [("Shewhart", "sh_vote", "sh_conf"), ("Cusum", "cu_vote", "cu_conf"),
+        ("ControlCharts", "cc_is_anomaly", "cc_confidence")]
+TRIO_WEIGHTS = {"Shewhart": 0.35, "Cusum": 0.35, "ControlCharts": 0.30}
+COOLDOWN_SEC = 86400.0
+
+
+def trio_scored(spark, sf_dir) -> DataFrame:
+    """Stream rows with the three detectors' votes and confidences; labels
+    are renamed to ``label`` / ``label_type``."""
+    lev = _lev(spark, sf_dir)
+    base = data.baseline(lev).select("event_id", "ts", "service", "metric_name", "value")
+    s = (data.stream(lev).withColumnRenamed("is_anomaly", "label")
+         .withColumnRenamed("anomaly_type", "label_type")
+         .select("event_id", "ts", "service", "metric_name", "value", "label", "label_type"))
+    sh = charts.shewhart(s, charts.fitted_stats(base))
+    sh = sh.select(*s.columns, F.col("breach").alias("sh_vote"),
+                   fround(F.least(F.abs("z_score") / 6.0, F.lit(1.0)), 4).alias("sh_conf"))
+    lim = charts.reference_limits(s, SERIES, eps=1e-8)
+    cu = charts.cusum_scan(sh, lim, SERIES)
+    cu = cu.select(*sh.columns, F.col("cusum_alarm").alias("cu_vote"),
+                   fround(F.least(F.greatest("cusum_pos", "cusum_neg") / 10.0, F.lit(1.0)), 4).alias("cu_conf"))
+    return charts.adaptive_chart(cu, base, ChartParams())
+
+
+def fused(spark, sf_dir, strategy="majority_vote"):
+    return EN.fuse(trio_scored(spark, sf_dir), TRIO, strategy, TRIO_WEIGHTS)
+
+
+def _fuse_q(strategy):
+    def q(spark, sf_dir):
+        f = fused(spark, sf_dir, strategy)
+        return f.select("event_id", "is_anomaly", "ensemble_confidence", "severity",
+                        F.size("voted_detectors").alias("n_votes"))
+    q.__name__ = f"fuse_{strategy}"
+    q.__doc__ = f"F1-F5 + P7: {strategy} fusion of the detector trio."
+    return q
+
+
+def fired_alerts(spark, sf_dir, cooldown_sec=COOLDOWN_SEC):
+    f = fused(spark, sf_dir)
+    return AL.alert_rows(AL.cooldown(f.where("is_anomaly"), cooldown_sec))
+
+
+def alert_cooldown(spark, sf_dir):
+    """H1: anomalies that fire under a one-day event-time cooldown per key."""
+    f = fused(spark, sf_dir)
+    return AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC).select("event_id", "service", "metric_name")
+
+
+def alert_rows_q(spark, sf_dir):
+    """H2 + H3 + P8-P10: alert rows with channel and message."""
+    return fired_alerts(spark, sf_dir).drop("ts")
+
+
+def alert_pipeline(spark, sf_dir):
+    """H4 + S5 rows: audit records of fired alerts with partition columns."""
+    f = fused(spark, sf_dir)
+    fired = AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC)
+    return fired.select("event_id", "service", "metric_name", "value", "is_anomaly",
+                        "ensemble_confidence", "severity",
+                        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                        AL.route("severity").alias("channel"))
+
+
+def pagerduty_payload(spark, sf_dir):
+    """S7 (flattened fields)."""
+    return AL.pagerduty_fields(fired_alerts(spark, sf_dir))
+
+
+def slack_payload(spark, sf_dir):
+    """S8 (flattened fields)."""
+    return AL.slack_fields(fired_alerts(spark, sf_dir))
+
+
+def alert_summary_q(spark, sf_dir):
+    """Alert totals by severity / channel / service (grouping sets)."""
+    return AL.alert_summary(fired_alerts(spark, sf_dir))
+
+
+def recent_alerts_q(spark, sf_dir):
+    """The last 20 alerts."""
+    return AL.recent_alerts(fired_alerts(spark, sf_dir)).select("alert_id", "triggered_at", "severity",
+                                                                 "channel", "event_id")
+
+
+def severity_share_q(spark, sf_dir):
+    """Share of alerts per severity."""
+    return AL.severity_share(fired_alerts(spark, sf_dir))
+
+
+METHODS = [("Shewhart", "sh_vote", "sh_conf"), ("Cusum", "cu_vote", "cu_conf"),
+           ("ControlCharts", "cc_is_anomaly", "cc_confidence"),
+           ("Ensemble", "is_anomaly", "ensemble_confidence")]
+
+
+def _long(spark, sf_dir):
+    return EV.unpivot_methods(fused(spark, sf_dir), METHODS)
+
+
+def confusion_q(spark, sf_dir):
+    """A4 + J2: confusion counts per method."""
+    c = EV.confusion(_long(spark, sf_dir))
+    return c.select("method", "total_events", "true_positives", "false_positives",
+                    "true_negatives", "false_negatives")
+
+
+def quality_metrics(spark, sf_dir):
+    """A5: precision, recall, F1, accuracy, FPR per method."""
+    c = EV.confusion(_long(spark, sf_dir))
+    return c.select("method", "precision", "recall", "f1", "accuracy", "false_positive_rate")
+
+
+def confidence_by_label(spark, sf_dir):
+    """Mean confidence of labelled / unlabelled rows per method."""
+    c = EV.confusion(_long(spark, sf_dir))
+    return c.select("method", "avg_confidence_anomaly", "avg_confidence_normal")
+
+
+def per_type_recall(spark, sf_dir):
+    """Per method and anomaly type: count, detected, recall."""
+    return EV.per_type(_long(spark, sf_dir))
+
+
+def detector_report(spark, sf_dir):
+    """A8 + V2: all rates of all methods from one scan."""
+    return EV.confusion(_long(spark, sf_dir))
+
+
+def detection_lag_q(spark, sf_dir):
+    """J5 + W9: lag from first labelled row to first detection per scenario."""
+    return EV.detection_lag(_long(spark, sf_dir))
+
+
+def lag_sla_q(spark, sf_dir):
+    """A11 + V5: lag bands and the 4 s SLA flag."""
+    return EV.lag_sla(EV.detection_lag(_long(spark, sf_dir)))
+
+
+def kpi_row(spark, sf_dir):
+    """A12 + V6: one-row run summary of the fused detector."""
+    f = fused(spark, sf_dir)
+    long = EV.unpivot_methods(f, METHODS[3:])
+    q = EV.confusion(long).select("precision", "recall", "f1")
+    lag = EV.mean_lag(EV.detection_lag(long)).select("avg_lag_sec")
+    alerts = AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC).agg(F.count("*").alias("alerts_fired"))
+    ev = f.agg(F.count("*").alias("events"), F.count_if("is_anomaly").alias("anomalies_detected"))
+    # four one-row aggregates stacked and folded into one row (no cross join)
+    parts = ev.unionByName(q, allowMissingColumns=True).unionByName(alerts, allowMissingColumns=True) \
+              .unionByName(lag, allowMissingColumns=True)
+    cols = ["events", "anomalies_detected", "precision", "recall", "f1", "alerts_fired", "avg_lag_sec"]
+    return parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
+
+
+def confidence_histogram_q(spark, sf_dir):
+    """A13 + V3: density histogram of the fused confidence by flag."""
+    return EV.confidence_histogram(fused(spark, sf_dir))
+
+
+def timeline_rows(spark, sf_dir, metric="view", n=800):
+    """W11 + V1: first ``n`` rows of one metric with flag, label and confidence."""
+    f = fused(spark, sf_dir).where(F.col("metric_name") == metric)
+    head = f.orderBy("ts", "event_id").limit(n)
+    w = Window.orderBy("ts", "event_id")
+    return head.select(F.row_number().over(w).alias("idx"), "event_id", "value", "label",
+                       "is_anomaly", "ensemble_confidence")
+
+
+def bucket_kpi(spark, sf_dir):
+    """Per day and service: events, flagged anomalies, labelled anomalies."""
+    f = fused(spark, sf_dir)
+    g = f.groupBy(F.window("ts", "1 day").alias("w"), "service").agg(
+        F.count("*").alias("events"), F.count_if("is_anomaly").alias("flagged"),
+        F.count_if("label").alias("labelled"))
+    return g.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "service", "events",
+                    "flagged", "labelled")

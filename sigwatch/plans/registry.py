@@ -34,6 +34,26 @@ QUERIES = {
     "fixed_control_chart": C.fixed_control_chart,
     "series_control_chart": C.series_control_chart,
     "unseen_series": C.unseen_series,
+    **{f"fuse_{s}": C._fuse_q(s) for s in ("majority_vote", "any", "all", "weighted")},
+    "alert_cooldown": C.alert_cooldown,
+    "alert_pipeline": C.alert_pipeline,
+    "alert_rows": C.alert_rows_q,
+    "pagerduty_payload": C.pagerduty_payload,
+    "slack_payload": C.slack_payload,
+    "alert_summary": C.alert_summary_q,
+    "recent_alerts": C.recent_alerts_q,
+    "severity_share": C.severity_share_q,
+    "confusion": C.confusion_q,
+    "quality_metrics": C.quality_metrics,
+    "confidence_by_label": C.confidence_by_label,
+    "per_type_recall": C.per_type_recall,
+    "detector_report": C.detector_report,
+    "detection_lag": C.detection_lag_q,
+    "lag_sla": C.lag_sla_q,
+    "kpi_row": C.kpi_row,
+    "confidence_histogram": C.confidence_histogram_q,
+    "timeline_rows": C.timeline_rows,
+    "bucket_kpi": C.bucket_kpi,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -213,26 +213,35 @@ def xr(expr: str, k: int = 4) -> str:
     return f"CAST(round(CAST(printf('%.20f', ({expr})::DOUBLE) AS DECIMAL(38,20)), {k}) AS DOUBLE)"
 
 
-def chart_rcte(key=("metric_name",), adaptive=True, baseline_where="TRUE", window=500, min_window=30,
-               sigma=3.0, k=0.5, h=5.0) -> str:
+def sr(expr: str, k: int = 4) -> str:
+    """Same steps as ``functions.columns.fround``: floor(x * 10^k + 0.5) / 10^k."""
+    p = float(10 ** k)
+    return f"CAST(floor(({expr})::DOUBLE * {p!r}::DOUBLE + 0.5::DOUBLE) / {p!r}::DOUBLE AS DOUBLE)"
+
+
+def chart_cte(name="cc", key=("metric_name",), adaptive=True, baseline_where="TRUE", window=500,
+              min_window=30, sigma=3.0, k=0.5, h=5.0, src="strm") -> str:
+    """CTEs ending in ``{name}``: the adaptive chart fold as a recursive CTE
+    (needs ``WITH RECURSIVE``)."""
     kc = ", ".join(key)
     kj = " AND ".join(f"s.{c} IS NOT DISTINCT FROM f.{c}" for c in key)
     adapt = "TRUE" if adaptive else "FALSE"
-    return L.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
-b2 AS (SELECT * FROM base WHERE {baseline_where}),
-fit AS (SELECT {kc}, avg(value) AS fit_mean, stddev_pop(value) + 1e-8::DOUBLE AS fit_std FROM b2 GROUP BY {kc}),
-warm AS (SELECT * FROM (SELECT event_id, ts, {kc}, value,
-           row_number() OVER (PARTITION BY {kc} ORDER BY ts DESC, event_id DESC) AS rk FROM b2) WHERE rk <= {window}),
-seq0 AS (SELECT event_id, ts, {kc}, value, 0 AS phase FROM warm
-         UNION ALL SELECT event_id, ts, {kc}, value, 1 AS phase FROM strm),
-seq AS (SELECT seq0.*, fit.fit_mean, fit.fit_std,
-               row_number() OVER (PARTITION BY {", ".join("seq0." + c for c in key)} ORDER BY phase, ts, event_id) AS rn
-        FROM seq0 LEFT JOIN fit USING ({kc})),
-fold AS (
+    p = name + "_"
+    return f""",
+{p}b2 AS (SELECT * FROM base WHERE {baseline_where}),
+{p}fit AS (SELECT {kc}, avg(value) AS fit_mean, stddev_pop(value) + 1e-8::DOUBLE AS fit_std FROM {p}b2 GROUP BY {kc}),
+{p}warm AS (SELECT * FROM (SELECT event_id, ts, {kc}, value,
+           row_number() OVER (PARTITION BY {kc} ORDER BY ts DESC, event_id DESC) AS rk FROM {p}b2) WHERE rk <= {window}),
+{p}seq0 AS (SELECT event_id, ts, {kc}, value, 0 AS phase FROM {p}warm
+         UNION ALL SELECT event_id, ts, {kc}, value, 1 AS phase FROM {src}),
+{p}seq AS (SELECT q.*, ft.fit_mean, ft.fit_std,
+               row_number() OVER (PARTITION BY {", ".join("q." + c for c in key)} ORDER BY phase, ts, event_id) AS rn
+        FROM {p}seq0 q LEFT JOIN {p}fit ft USING ({kc})),
+{p}fold AS (
   SELECT {kc}, 0::BIGINT AS rn, []::DOUBLE[] AS win, 0.0::DOUBLE AS cp, 0.0::DOUBLE AS cn,
          NULL::VARCHAR AS event_id, 0 AS phase, NULL::DOUBLE AS z, NULL::DOUBLE AS mean, NULL::DOUBLE AS sd,
          NULL::DOUBLE AS cp_out, NULL::DOUBLE AS cn_out, NULL::VARCHAR AS rule, NULL::DOUBLE AS conf
-  FROM (SELECT DISTINCT {kc} FROM seq)
+  FROM (SELECT DISTINCT {kc} FROM {p}seq)
   UNION ALL
   SELECT {", ".join("s." + c for c in key)}, s.rn,
          CASE WHEN s.phase = 0 OR x.rule = '' OR NOT {adapt}
@@ -246,8 +255,8 @@ fold AS (
          CASE WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cp1 END,
          CASE WHEN x.rule IN ('cusum_up', 'cusum_down') THEN 0.0 ELSE x.cn1 END,
          x.rule,
-         round(greatest(least(abs(x.z) / {2 * sigma}, 1.0), least(greatest(x.cp1, x.cn1) / {2 * h}, 1.0)), 4)
-  FROM fold f JOIN seq s ON s.rn = f.rn + 1 AND {kj},
+         {xr(f"greatest(least(abs(x.z) / {2 * sigma}, 1.0), least(greatest(x.cp1, x.cn1) / {2 * h}, 1.0))")}
+  FROM {p}fold f JOIN {p}seq s ON s.rn = f.rn + 1 AND {kj},
   LATERAL (
     SELECT mean, sd, z, cp1, cn1,
            CASE WHEN abs(z) > {sigma} THEN '3sigma' WHEN cp1 > {h} THEN 'cusum_up'
@@ -263,15 +272,220 @@ fold AS (
                  WHEN s.fit_mean IS NOT NULL THEN s.fit_std
                  WHEN len(f.win) > 0 THEN list_stddev_pop(f.win) + 1e-8::DOUBLE ELSE 1.0 END AS sd))
   ) x
-)
+),
+{name} AS (
 SELECT event_id, {kc}, {xr('z')} AS z_score, {xr('cp_out')} AS cusum_pos, {xr('cn_out')} AS cusum_neg,
        {xr('round(mean, 8)')} AS control_mean, {xr('sd')} AS control_std,
        {xr(f'mean + {sigma} * sd')} AS upper_limit, {xr(f'mean - {sigma} * sd')} AS lower_limit,
        rule <> '' AS cc_is_anomaly, rule AS rule_triggered, conf AS cc_confidence
-FROM fold WHERE phase = 1"""
+FROM {p}fold WHERE phase = 1)"""
+
+
+LR = L.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def chart_rcte(**kw) -> str:
+    return LR + chart_cte("cc", **kw) + "\nSELECT * FROM cc"
 
 
 SQL["adaptive_control_chart"] = chart_rcte()
 SQL["fixed_control_chart"] = chart_rcte(adaptive=False)
 SQL["series_control_chart"] = chart_rcte(key=("service", "metric_name"))
 SQL["unseen_series"] = chart_rcte(key=("service", "metric_name"), baseline_where="service <> 'svc-4'")
+
+
+# ------------------------------------------------------------------ fusion, alerts, evaluation
+
+TRIO = LR + """,
+st AS (SELECT metric_name, avg(value) AS fit_mean, stddev_pop(value) + 1e-8::DOUBLE AS fit_std
+       FROM base GROUP BY metric_name),
+s0 AS (SELECT event_id, ts, t_s, service, metric_name, value, is_anomaly AS label, anomaly_type AS label_type FROM strm),
+shz AS (SELECT s0.*, (s0.value - st.fit_mean) / st.fit_std AS z FROM s0 LEFT JOIN st USING (metric_name)),
+sh AS (SELECT event_id, ts, t_s, service, metric_name, value, label, label_type,
+              coalesce(abs(z) > 3.0, FALSE) AS sh_vote, """ + sr("least(abs(z) / 6.0, 1.0)") + """ AS sh_conf FROM shz)""" + \
+    _REF.format(eps="1e-8::DOUBLE") + _CUSUM + """,
+cu AS (SELECT event_id, (cusum_pos > 5.0 OR cusum_neg > 5.0) AS cu_vote,
+              """ + sr("least(greatest(cusum_pos, cusum_neg) / 10.0, 1.0)") + """ AS cu_conf FROM c)""" + \
+    chart_cte("cc") + """,
+tri AS (SELECT sh.*, cu.cu_vote, cu.cu_conf, cc.cc_is_anomaly, cc.cc_confidence
+        FROM sh JOIN cu USING (event_id) JOIN cc USING (event_id)),
+tw AS (SELECT tri.*,
+         coalesce(sh_conf, 0.0) * 0.35 + coalesce(cu_conf, 0.0) * 0.35 + coalesce(cc_confidence, 0.0) * 0.30 AS wconf,
+         CAST(coalesce(sh_vote, FALSE) AS INTEGER) + CAST(coalesce(cu_vote, FALSE) AS INTEGER)
+           + CAST(coalesce(cc_is_anomaly, FALSE) AS INTEGER) AS n_votes
+       FROM tri)"""
+
+
+def _sev(c: str, flag: str) -> str:
+    return (f"CASE WHEN NOT {flag} THEN 'Normal' WHEN {c} >= 0.85 THEN 'Critical' WHEN {c} >= 0.65 THEN 'High' "
+            f"WHEN {c} >= 0.40 THEN 'Medium' ELSE 'Low' END")
+
+
+def fused_cte(strategy: str) -> str:
+    confs = "coalesce(sh_conf, 0.0), coalesce(cu_conf, 0.0), coalesce(cc_confidence, 0.0)"
+    flag, conf = {
+        "majority_vote": ("n_votes >= 2", "CASE WHEN n_votes >= 2 THEN wconf ELSE wconf * 0.5 END"),
+        "any": ("n_votes >= 1", f"greatest({confs})"),
+        "all": ("n_votes = 3", f"least({confs})"),
+        "weighted": ("wconf > 0.5", "wconf"),
+    }[strategy]
+    return f""",
+fz0 AS (SELECT tw.*, {flag} AS is_anomaly, {sr(conf)} AS ensemble_confidence FROM tw),
+fz AS (SELECT fz0.*, {_sev('ensemble_confidence', 'is_anomaly')} AS severity FROM fz0)"""
+
+
+for _s in ("majority_vote", "any", "all", "weighted"):
+    SQL[f"fuse_{_s}"] = TRIO + fused_cte(_s) + """
+SELECT event_id, is_anomaly, ensemble_confidence, severity, n_votes FROM fz"""
+
+FZ = TRIO + fused_cte("majority_vote")
+
+COOL = """,
+an AS (SELECT event_id, service, metric_name, t_s,
+              row_number() OVER (PARTITION BY service, metric_name ORDER BY ts, event_id) AS rn
+       FROM fz WHERE is_anomaly),
+cd AS (
+  SELECT service, metric_name, 0::BIGINT AS rn, NULL::DOUBLE AS last, NULL::VARCHAR AS event_id, FALSE AS fired
+  FROM (SELECT DISTINCT service, metric_name FROM an)
+  UNION ALL
+  SELECT a.service, a.metric_name, a.rn,
+         CASE WHEN c.last IS NULL OR NOT (a.t_s - c.last < 86400.0) THEN a.t_s ELSE c.last END,
+         a.event_id, c.last IS NULL OR NOT (a.t_s - c.last < 86400.0)
+  FROM cd c JOIN an a ON a.service = c.service AND a.metric_name = c.metric_name AND a.rn = c.rn + 1),
+fired AS (SELECT fz.* FROM fz JOIN (SELECT event_id FROM cd WHERE fired) USING (event_id)),
+voted AS (SELECT event_id, '[' || array_to_string(list_filter([CASE WHEN sh_vote THEN '''Shewhart''' END,
+              CASE WHEN cu_vote THEN '''Cusum''' END, CASE WHEN cc_is_anomaly THEN '''ControlCharts''' END],
+              lambda x: x IS NOT NULL), ', ') || ']' AS dets FROM fired),
+al AS (
+  SELECT 'ALT-' || substr(f.event_id, 1, 8) AS alert_id, strftime(f.ts, '%Y-%m-%dT%H:%M:%SZ') AS triggered_at,
+         f.severity, f.service, f.metric_name, f.value, f.ensemble_confidence AS confidence,
+         CASE WHEN f.severity IN ('Critical', 'High') THEN 'pagerduty' WHEN f.severity IN ('Medium') THEN 'slack' ELSE 'log' END AS channel,
+         '[' || upper(f.severity) || '] Anomaly detected on ' || f.service || ' | metric=' || f.metric_name
+           || ' | value=' || printf('%.4f', f.value) || ' | confidence=' || printf('%.2f', f.ensemble_confidence * 100.0) || '%'
+           || ' | detectors=' || v.dets AS message,
+         f.event_id, FALSE AS acknowledged, f.ts
+  FROM fired f JOIN voted v USING (event_id))"""
+
+ALERTS = FZ + COOL
+
+SQL["alert_cooldown"] = ALERTS + """
+SELECT event_id, service, metric_name FROM fired"""
+
+SQL["alert_pipeline"] = ALERTS + """
+SELECT event_id, service, metric_name, value, is_anomaly, ensemble_confidence, severity,
+       strftime(ts, '%Y-%m-%d') AS date,
+       CASE WHEN severity IN ('Critical', 'High') THEN 'pagerduty' WHEN severity IN ('Medium') THEN 'slack' ELSE 'log' END AS channel
+FROM fired"""
+
+SQL["alert_rows"] = ALERTS + """
+SELECT alert_id, triggered_at, severity, service, metric_name, value, confidence, channel, message, event_id, acknowledged FROM al"""
+
+SQL["pagerduty_payload"] = ALERTS + """
+SELECT 'SIMULATED_PD_ROUTING_KEY' AS routing_key, 'trigger' AS event_action, alert_id AS dedup_key, message AS summary,
+       lower(severity) AS severity, service AS source, triggered_at AS timestamp, metric_name AS metric, value, confidence
+FROM al WHERE channel = 'pagerduty'"""
+
+SQL["slack_payload"] = ALERTS + """,
+mk AS (SELECT al.*, CASE severity WHEN 'Critical' THEN chr(128308) WHEN 'High' THEN chr(128992) WHEN 'Medium' THEN chr(128993) ELSE chr(9898) END AS m FROM al)
+SELECT alert_id, m || ' *Anomaly Alert — ' || severity || '*' AS text,
+       m || ' *' || severity || ' Anomaly* on `' || service || '`' || chr(10) || '*Metric:* `' || metric_name || '` | *Value:* `'
+         || printf('%.4f', value) || '`' || chr(10) || '*Confidence:* `' || printf('%.2f', confidence * 100.0) || '%`' || chr(10)
+         || '*Time:* `' || triggered_at || '`' AS block1,
+       '*Message:* ' || message AS block2
+FROM mk WHERE channel = 'slack'"""
+
+SQL["alert_summary"] = ALERTS + """
+SELECT 'total' AS dimension, 'all' AS key, count(*) AS alerts FROM al
+UNION ALL SELECT 'severity', severity, count(*) FROM al GROUP BY severity
+UNION ALL SELECT 'channel', channel, count(*) FROM al GROUP BY channel
+UNION ALL SELECT 'service', service, count(*) FROM al GROUP BY service"""
+
+SQL["recent_alerts"] = ALERTS + """
+SELECT alert_id, triggered_at, severity, channel, event_id FROM al ORDER BY ts DESC, event_id DESC LIMIT 20"""
+
+SQL["severity_share"] = ALERTS + """,
+g AS (SELECT severity, count(*) AS alerts FROM al GROUP BY severity)
+SELECT severity, alerts, """ + sr("alerts * 100.0 / sum(alerts) OVER ()", 2) + """ AS share_pct FROM g"""
+
+LONG = FZ + """,
+lng AS (
+  SELECT event_id, ts, t_s, label, label_type, 'Shewhart' AS method, coalesce(sh_vote, FALSE) AS pred, sh_conf AS conf FROM fz
+  UNION ALL SELECT event_id, ts, t_s, label, label_type, 'Cusum', coalesce(cu_vote, FALSE), cu_conf FROM fz
+  UNION ALL SELECT event_id, ts, t_s, label, label_type, 'ControlCharts', coalesce(cc_is_anomaly, FALSE), cc_confidence FROM fz
+  UNION ALL SELECT event_id, ts, t_s, label, label_type, 'Ensemble', coalesce(is_anomaly, FALSE), ensemble_confidence FROM fz),
+cm AS (
+  SELECT method, count(*) AS total_events,
+         count(*) FILTER (WHERE pred AND label) AS true_positives,
+         count(*) FILTER (WHERE pred AND NOT label) AS false_positives,
+         count(*) FILTER (WHERE NOT pred AND NOT label) AS true_negatives,
+         count(*) FILTER (WHERE NOT pred AND label) AS false_negatives,
+         avg(CASE WHEN label THEN conf END) AS ca, avg(CASE WHEN NOT label THEN conf END) AS cn
+  FROM lng GROUP BY method),
+cr AS (
+  SELECT cm.*,
+    CASE WHEN true_positives + false_positives > 0 THEN true_positives / (true_positives + false_positives) ELSE 0.0 END AS p,
+    CASE WHEN true_positives + false_negatives > 0 THEN true_positives / (true_positives + false_negatives) ELSE 0.0 END AS r
+  FROM cm),
+rep AS (
+  SELECT method, total_events, true_positives, false_positives, true_negatives, false_negatives,
+         """ + sr("p") + """ AS precision, """ + sr("r") + """ AS recall,
+         """ + sr("CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END") + """ AS f1,
+         """ + sr("CASE WHEN total_events > 0 THEN (true_positives + true_negatives) / total_events ELSE 0.0 END") + """ AS accuracy,
+         """ + sr("CASE WHEN false_positives + true_negatives > 0 THEN false_positives / (false_positives + true_negatives) ELSE 0.0 END") + """ AS false_positive_rate,
+         """ + sr("coalesce(ca, 0.0)") + """ AS avg_confidence_anomaly, """ + sr("coalesce(cn, 0.0)") + """ AS avg_confidence_normal
+  FROM cr),
+lag AS (
+  SELECT method, label_type AS scenario,
+         """ + sr("min(CASE WHEN pred THEN t_s END) - min(t_s)", 2) + """ AS lag_sec
+  FROM lng WHERE label_type IS NOT NULL GROUP BY method, label_type)"""
+
+SQL["confusion"] = LONG + """
+SELECT method, total_events, true_positives, false_positives, true_negatives, false_negatives FROM rep"""
+
+SQL["quality_metrics"] = LONG + """
+SELECT method, precision, recall, f1, accuracy, false_positive_rate FROM rep"""
+
+SQL["confidence_by_label"] = LONG + """
+SELECT method, avg_confidence_anomaly, avg_confidence_normal FROM rep"""
+
+SQL["detector_report"] = LONG + """
+SELECT * FROM rep"""
+
+SQL["per_type_recall"] = LONG + """,
+pt AS (SELECT method, label_type AS anomaly_type, count(*) AS count,
+              count(*) FILTER (WHERE pred AND label) AS detected,
+              count(*) FILTER (WHERE NOT pred AND label) AS fn
+       FROM lng WHERE label_type IS NOT NULL GROUP BY method, label_type)
+SELECT method, anomaly_type, count, detected,
+       """ + sr("CASE WHEN detected + fn > 0 THEN detected / (detected + fn) ELSE 0.0 END") + """ AS recall FROM pt"""
+
+SQL["detection_lag"] = LONG + """
+SELECT method, scenario, lag_sec FROM lag"""
+
+SQL["lag_sla"] = LONG + """
+SELECT method, scenario, lag_sec,
+       CASE WHEN lag_sec IS NULL THEN 'not_detected' WHEN lag_sec > 5 THEN 'slow' WHEN lag_sec > 2 THEN 'medium' ELSE 'fast' END AS band,
+       lag_sec <= 4.0 AS within_sla
+FROM lag"""
+
+SQL["kpi_row"] = LONG + COOL.replace("fired AS (", "fired0 AS (").split(",\nvoted AS")[0].replace(",\nan AS", ",\nan AS", 1) + """
+SELECT (SELECT count(*) FROM fz) AS events, (SELECT count(*) FILTER (WHERE is_anomaly) FROM fz) AS anomalies_detected,
+       r.precision, r.recall, r.f1,
+       (SELECT count(*) FROM fired0) AS alerts_fired,
+       (SELECT """ + sr("coalesce(avg(lag_sec), 0.0)", 2) + """ FROM lag WHERE method = 'Ensemble') AS avg_lag_sec
+FROM rep r WHERE r.method = 'Ensemble'"""
+
+SQL["confidence_histogram"] = FZ + """,
+hb AS (SELECT is_anomaly AS flagged, CAST(least(floor(ensemble_confidence * 29), 28) AS INTEGER) AS bin
+       FROM fz WHERE ensemble_confidence BETWEEN 0.0 AND 1.0),
+hg AS (SELECT flagged, bin, count(*) AS n FROM hb GROUP BY flagged, bin)
+SELECT flagged, bin, n, """ + sr("n / (sum(n) OVER (PARTITION BY flagged) * (1.0 / 29))") + """ AS density FROM hg"""
+
+SQL["timeline_rows"] = FZ + """,
+hd AS (SELECT * FROM fz WHERE metric_name = 'view' ORDER BY ts, event_id LIMIT 800)
+SELECT row_number() OVER (ORDER BY ts, event_id) AS idx, event_id, value, label, is_anomaly, ensemble_confidence FROM hd"""
+
+SQL["bucket_kpi"] = FZ + """
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, service, count(*) AS events,
+       count(*) FILTER (WHERE is_anomaly) AS flagged, count(*) FILTER (WHERE label) AS labelled
+FROM fz GROUP BY 1, 2"""
