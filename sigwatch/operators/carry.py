@@ -21,13 +21,21 @@ def ordered_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],
                  num_partitions: int | None = None) -> DataFrame:
     """Apply ``step_factory(key_tuple, first_row) -> step`` per key, where
     ``step(pdf) -> pdf`` consumes consecutive rows of that key in order and
-    returns the output rows (it may keep state between calls)."""
+    returns the output rows (it may keep state between calls). An optional
+    ``step.finish() -> pdf`` is called once after the key's last row."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parted = df.repartition(n, *[F.col(k) for k in key_cols]) \
                .sortWithinPartitions(*[F.col(k) for k in key_cols], *[F.col(o) for o in order_cols])
     names = [f.name for f in out_schema.fields]
 
+    def finish(step, outs):
+        fin = getattr(step, "finish", None) if step is not None else None
+        if fin is not None:
+            res = fin()
+            if res is not None and len(res):
+                outs.append(res)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_key = None
         step = None
@@ -43,6 +51,7 @@ def ordered_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],
             for a, b in zip(bounds[:-1], bounds[1:]):
                 k = tuples[a]
                 if k != cur_key or step is None:
+                    finish(step, outs)
                     cur_key = k
                     step = step_factory(k, pdf.iloc[a])
                 res = step(pdf.iloc[a:b])
@@ -50,5 +59,9 @@ def ordered_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],
                     outs.append(res)
             if outs:
                 yield pd.concat(outs, ignore_index=True)[names]
+        tail = []
+        finish(step, tail)
+        if tail:
+            yield pd.concat(tail, ignore_index=True)[names]
 
     return parted.mapInPandas(run, out_schema)

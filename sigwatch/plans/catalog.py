@@ -478,3 +478,67 @@ def bucket_kpi(spark, sf_dir):
         F.count_if("label").alias("labelled"))
     return g.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "service", "events",
                     "flagged", "labelled")
+
+
+# ------------------------------------------------------------------ model detectors (rows-only checks)
+
+from . import pipeline as PL  # noqa: E402
+from ..operators import autoencoder as AEm  # noqa: E402
+from ..operators import forest as IFm  # noqa: E402
+
+
+def _fit_inputs(spark, sf_dir):
+    lev = _lev(spark, sf_dir)
+    base = data.baseline(lev)
+    mi = FT.metric_index(base)
+    b = FT.autoencoder_features(FT.add_row_index(base, batch_rows=BATCH), mi).select("event_id", *FT.AE_FEATURES)
+    s = FT.autoencoder_features(FT.add_row_index(data.stream(lev), batch_rows=BATCH), mi)
+    return b, s
+
+
+def forest_scores(spark, sf_dir):
+    """D2 + D3 + W4: forest fitted on the baseline, stream scored in 500-row batches."""
+    b, s = _fit_inputs(spark, sf_dir)
+    forest = IFm.fit_forest(b, FT.FOREST_FEATURES)
+    d = FT.batch_minmax_confidence(IFm.decision(s, FT.FOREST_FEATURES, forest), "if_decision", "_c")
+    return d.select("event_id", "if_score", "if_is_anomaly", F.round("_c", 4).alias("if_confidence"))
+
+
+def autoencoder_scores(spark, sf_dir):
+    """D6 + D7: autoencoder fitted on the baseline, stream reconstruction errors."""
+    b, s = _fit_inputs(spark, sf_dir)
+    model = AEm.fit_autoencoder(b, FT.AE_FEATURES)
+    return AEm.score(s, FT.AE_FEATURES, model).select("event_id", "reconstruction_error", "ae_is_anomaly",
+                                                      "ae_confidence")
+
+
+def autoencoder_loss(spark, sf_dir):
+    """Mean training loss per epoch."""
+    b, _ = _fit_inputs(spark, sf_dir)
+    return AEm.loss_table(spark, AEm.fit_autoencoder(b, FT.AE_FEATURES))
+
+
+def ensemble_scores(spark, sf_dir):
+    """F6 + F7: the reference's three detectors fused by majority vote."""
+    _, out = PL.run(spark, sf_dir)
+    return out.select("event_id", "service", "metric_name", "value", "is_anomaly", "ensemble_confidence",
+                      "severity", "votes", "detector_confidences", "fusion_strategy")
+
+
+def single_event(spark, sf_dir):
+    """F8: every stream event scored as its own one-event batch (IF confidence
+    and difference are 0 there, as in the reference)."""
+    lev = _lev(spark, sf_dir)
+    models = PL.fit(data.baseline(lev))
+    out = PL.score(data.stream(lev), models, batch_rows=None)
+    return out.select("event_id", "is_anomaly", "severity", "ensemble_confidence", "votes")
+
+
+def ensemble_report(spark, sf_dir):
+    """A8 over the reference's detectors: IF, AE, CC and the fused result."""
+    _, out = PL.run(spark, sf_dir)
+    methods = [("IsolationForest", "if_is_anomaly", "if_confidence"),
+               ("Autoencoder", "ae_is_anomaly", "ae_confidence"),
+               ("ControlCharts", "cc_is_anomaly", "cc_confidence"),
+               ("Ensemble", "is_anomaly", "ensemble_confidence")]
+    return EV.confusion(EV.unpivot_methods(out, methods))

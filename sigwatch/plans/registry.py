@@ -54,6 +54,12 @@ QUERIES = {
     "confidence_histogram": C.confidence_histogram_q,
     "timeline_rows": C.timeline_rows,
     "bucket_kpi": C.bucket_kpi,
+    "forest_scores": C.forest_scores,
+    "autoencoder_scores": C.autoencoder_scores,
+    "autoencoder_loss": C.autoencoder_loss,
+    "ensemble_scores": C.ensemble_scores,
+    "single_event": C.single_event,
+    "ensemble_report": C.ensemble_report,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}
