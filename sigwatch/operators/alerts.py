@@ -39,7 +39,7 @@ def cooldown(anomalies: DataFrame, cooldown_sec: float,
         state = {"last": None}
 
         def step(pdf: pd.DataFrame):
-            t = pd.to_datetime(pdf["ts"]).to_numpy().astype("datetime64[us]").astype("int64") / 1e6
+            t = (pd.to_datetime(pdf["ts"]).to_numpy().astype("datetime64[us]").astype("int64") / 1e6).tolist()
             keep = np.zeros(len(pdf), dtype=bool)
             last = state["last"]
             for i in range(len(t)):

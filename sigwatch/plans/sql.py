@@ -113,8 +113,7 @@ _CUSUM = """,
 z AS (SELECT r.event_id, r.service, r.metric_name, r.rn, r.ts,
              (r.value - l.ref_mean) / l.ref_std AS z
       FROM rn r JOIN lim2 l USING (service, metric_name)),
-d AS (SELECT *, CASE WHEN rn = 1 THEN 0.0 ELSE z - 0.5 END AS dp,
-                CASE WHEN rn = 1 THEN 0.0 ELSE -z - 0.5 END AS dn FROM z),
+d AS (SELECT *, z - 0.5 AS dp, -z - 0.5 AS dn FROM z),
 s AS (SELECT *, sum(dp) OVER w AS sp, sum(dn) OVER w AS sn FROM d
       WINDOW w AS (PARTITION BY service, metric_name ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 c AS (SELECT *, sp - min(sp) OVER w AS cusum_pos, sn - min(sn) OVER w AS cusum_neg FROM s
@@ -140,8 +139,7 @@ rn AS (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS rn FROM head),
 lim AS (SELECT avg(value) AS ref_mean, stddev_pop(value) + 1e-8::DOUBLE AS ref_std FROM rn WHERE rn <= 100),
 l2 AS (SELECT *, ref_mean + 3.0 * ref_std AS ucl, ref_mean - 3.0 * ref_std AS lcl FROM lim),
 z AS (SELECT r.*, l2.ucl, l2.lcl, (r.value - l2.ref_mean) / l2.ref_std AS z FROM rn r, l2),
-d AS (SELECT *, CASE WHEN rn = 1 THEN 0.0 ELSE z - 0.5 END AS dp,
-                CASE WHEN rn = 1 THEN 0.0 ELSE -z - 0.5 END AS dn FROM z),
+d AS (SELECT *, z - 0.5 AS dp, -z - 0.5 AS dn FROM z),
 s AS (SELECT *, sum(dp) OVER w AS sp, sum(dn) OVER w AS sn FROM d
       WINDOW w AS (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 c AS (SELECT *, sp - min(sp) OVER w AS cusum_pos, sn - min(sn) OVER w AS cusum_neg FROM s
