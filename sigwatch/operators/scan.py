@@ -1,87 +1,58 @@
 """Exact per-key prefix sums and prefix minima without one task per key.
 
-A window ``partitionBy(key).orderBy(t)`` puts each key in a single task; a
-key holding a third of the table would then be one task. Here rows are
-range-partitioned on ``(key, order)``, so a large key spans many
-partitions. Pass 1 (``mapInPandas``) takes local cumulative sums inside each
-(partition, key) segment; a small summary table (one row per segment) gives
-every segment its offset and the minimum of all earlier segments; pass 2
-adds them back through a broadcast join on (key, partition).
+A window ``partitionBy(key).orderBy(t)`` puts each key in one task, so a key
+holding a third of the table would be one task. Here each key is cut into
+event-time segments (``segment_seconds`` wide). Built-in windows partitioned by
+(key, segment) take local running sums and minima (JVM, codegen). A summary
+table with one row per segment gives every segment its offset (the sum of all
+earlier segments of its key) and the minimum reached before it. The summary is
+added back through a size-checked broadcast join on (key, segment).
+Everything is a deterministic function of the rows, so a lost task recomputes
+the same values.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .small import bounded_broadcast
 
+DEFAULT_SEGMENT_SECONDS = 3600
+
 
 def prefix_scan(df: DataFrame, key: list[str], order: list[str], sums: dict[str, str],
-                mins: dict[str, str] | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Adds, per key in ``order``: ``out = running sum of column`` for each
-    ``sums[out] = column``, and ``out = running min of sum`` for each
-    ``mins[out] = sum_out`` (the minimum includes the current row)."""
+                mins: dict[str, str] | None = None, ts_col: str = "ts",
+                segment_seconds: int = DEFAULT_SEGMENT_SECONDS) -> DataFrame:
+    """Adds, per key in ``order`` (which must start with ``ts_col``):
+    ``out`` = running sum of ``sums[out]``, and ``out`` = running minimum of the
+    running sum ``mins[out]`` (including the current row)."""
     mins = mins or {}
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, *[F.col(c) for c in key + order]) \
-               .sortWithinPartitions(*[F.col(c) for c in key + order])
-    loc = {o: f"_l_{o}" for o in sums}
-    locmin = {o: f"_lm_{o}" for o in mins}
-    schema = T.StructType(list(parted.schema.fields) + [T.StructField("_pid", T.IntegerType())]
-                          + [T.StructField(loc[o], T.DoubleType()) for o in sums]
-                          + [T.StructField(locmin[o], T.DoubleType()) for o in mins])
-    src = dict(sums)
-
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pid = TaskContext.get().partitionId()
-        carry_key, carry_sum, carry_min = None, {}, {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = list(pdf[key].astype(object).where(pdf[key].notna(), None).itertuples(index=False, name=None))
-            starts = [0] + [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
-            bounds = starts + [len(keys)]
-            out = {c: np.empty(len(pdf)) for c in list(loc.values()) + list(locmin.values())}
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                if keys[a] != carry_key:
-                    carry_key, carry_sum, carry_min = keys[a], {o: 0.0 for o in sums}, {o: np.inf for o in mins}
-                for o, col in src.items():
-                    cs = carry_sum[o] + np.cumsum(pdf[col].to_numpy(dtype=np.float64)[a:b])
-                    out[loc[o]][a:b] = cs
-                    carry_sum[o] = float(cs[-1])
-                for o, s_out in mins.items():
-                    cm = np.minimum.accumulate(np.minimum(out[loc[s_out]][a:b], carry_min[o]))
-                    out[locmin[o]][a:b] = cm
-                    carry_min[o] = float(cm[-1])
-            pdf = pdf.assign(_pid=pid, **out)
-            yield pdf
-
-    # ids of range partitions are used twice below: pin them
-    part = parted.mapInPandas(local, schema).checkpoint(eager=True)
-    seg_aggs = [F.max_by(F.col(loc[o]), F.struct(*order)).alias(f"_t_{o}") for o in sums] + \
-               [F.min(F.col(locmin[o])).alias(f"_sm_{o}") for o in mins]
-    seg = part.groupBy(*key, "_pid").agg(*seg_aggs)
-    before = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    key = list(key)
+    seg = F.floor(F.unix_micros(ts_col) / F.lit(segment_seconds * 1_000_000)).cast("long")
+    d = df.withColumn("_seg", seg)
+    w = Window.partitionBy(*key, "_seg").orderBy(*order) \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for o, col in sums.items():
+        d = d.withColumn(f"_l_{o}", F.sum(F.col(col).cast("double")).over(w))
+    for o, s_out in mins.items():
+        d = d.withColumn(f"_lm_{o}", F.min(f"_l_{s_out}").over(w))
+    aggs = [F.sum(F.col(col).cast("double")).alias(f"_t_{o}") for o, col in sums.items()] + \
+           [F.min(f"_lm_{o}").alias(f"_sm_{o}") for o in mins]
+    segs = d.groupBy(*key, "_seg").agg(*aggs)
+    before = Window.partitionBy(*key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     for o in sums:
-        seg = seg.withColumn(f"_o_{o}", F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0.0)))
+        segs = segs.withColumn(f"_o_{o}", F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0.0)))
     for o, s_out in mins.items():
-        seg = seg.withColumn(f"_pm_{o}", F.min(F.col(f"_o_{s_out}") + F.col(f"_sm_{o}")).over(before))
-    keep = key + ["_pid"] + [f"_o_{o}" for o in sums] + [f"_pm_{o}" for o in mins]
-    seg = bounded_broadcast(seg.select(*keep))
-    j = part.join(seg, key + ["_pid"])
+        segs = segs.withColumn(f"_pm_{o}", F.min(F.col(f"_o_{s_out}") + F.col(f"_sm_{o}")).over(before))
+    keep = key + ["_seg"] + [f"_o_{o}" for o in sums] + [f"_pm_{o}" for o in mins]
+    # one row per (key, segment): broadcast only under the checked row limit
+    j = d.join(bounded_broadcast(segs.select(*keep)), key + ["_seg"])
     for o in sums:
-        j = j.withColumn(o, F.col(f"_o_{o}") + F.col(loc[o]))
+        j = j.withColumn(o, F.col(f"_o_{o}") + F.col(f"_l_{o}"))
     for o, s_out in mins.items():
-        own = F.col(f"_o_{s_out}") + F.col(locmin[o])
+        own = F.col(f"_o_{s_out}") + F.col(f"_lm_{o}")
         j = j.withColumn(o, F.when(F.col(f"_pm_{o}").isNull(), own).otherwise(F.least(own, F.col(f"_pm_{o}"))))
-    drop = ["_pid"] + list(loc.values()) + list(locmin.values()) + [f"_o_{o}" for o in sums] + \
-           [f"_pm_{o}" for o in mins]
+    drop = ["_seg"] + [f"_l_{o}" for o in sums] + [f"_lm_{o}" for o in mins] + \
+           [f"_o_{o}" for o in sums] + [f"_pm_{o}" for o in mins]
     return j.drop(*drop)

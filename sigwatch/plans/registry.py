@@ -60,6 +60,9 @@ QUERIES = {
     "ensemble_scores": C.ensemble_scores,
     "single_event": C.single_event,
     "ensemble_report": C.ensemble_report,
+    "prediction_alignment": C.prediction_alignment,
+    "service_counters": C.service_counters,
+    "lag_summary": C.lag_summary,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

@@ -39,8 +39,7 @@ SELECT count(*) AS total_events, count(*) FILTER (WHERE is_anomaly) AS anomalies
        count(*) FILTER (WHERE NOT is_anomaly) AS normal,
        round(avg(CAST(is_anomaly AS INTEGER)), 4) AS anomaly_rate,
        array_to_string(list_sort(list_distinct(list(anomaly_type) FILTER (WHERE anomaly_type IS NOT NULL))), ',') AS anomaly_types,
-       array_to_string(list_sort(list_distinct(list(metric_name))), ',') AS metrics,
-       array_to_string(list_sort(list_distinct(list(service))), ',') AS services
+       count(DISTINCT metric_name) AS metrics, count(DISTINCT service) AS services
 FROM lev"""
 
 SQL["baseline_split"] = L + """
@@ -487,3 +486,25 @@ SQL["bucket_kpi"] = FZ + """
 SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, service, count(*) AS events,
        count(*) FILTER (WHERE is_anomaly) AS flagged, count(*) FILTER (WHERE label) AS labelled
 FROM fz GROUP BY 1, 2"""
+
+
+SQL["prediction_alignment"] = FZ + """,
+pr AS (SELECT event_id, is_anomaly AS pred FROM fz),
+tr AS (SELECT event_id, is_anomaly AS truth FROM strm),
+j AS (SELECT pr.pred, tr.truth FROM pr FULL OUTER JOIN tr ON pr.event_id = tr.event_id)
+SELECT count(*) FILTER (WHERE pred IS NOT NULL AND truth IS NOT NULL) AS matched,
+       count(*) FILTER (WHERE truth IS NULL) AS predictions_without_label,
+       count(*) FILTER (WHERE pred IS NULL) AS labels_without_prediction,
+       count(*) FILTER (WHERE pred AND truth) AS true_positives
+FROM j"""
+
+SQL["service_counters"] = ALERTS + """
+SELECT fz.service, count(*) AS requests, count(*) FILTER (WHERE fz.is_anomaly) AS anomalies_detected,
+       count(fired.event_id) AS alerts_fired
+FROM fz LEFT JOIN (SELECT event_id FROM fired) fired USING (event_id)
+GROUP BY fz.service"""
+
+SQL["lag_summary"] = LONG + """
+SELECT method, """ + sr("coalesce(avg(lag_sec), 0.0)", 2) + """ AS avg_lag_sec, count(lag_sec) AS detected_scenarios,
+       """ + sr("coalesce(avg(lag_sec), 0.0)", 2) + """ <= 4.0 AS within_sla
+FROM lag GROUP BY method"""

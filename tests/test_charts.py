@@ -109,3 +109,19 @@ def test_cusum_scan_equals_loop(lev):
             if i > 0:
                 cp = max(0.0, cp + r["z"] - 0.5)
             assert abs(cp - r["cusum_pos"]) < 1e-6
+
+
+def test_prefix_scan_single_hot_key_matches_window(spark, lev):
+    """One key holding every row still splits into many segments and gives
+    the same running sum / running minimum as a per-key window."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from sigwatch.operators.scan import prefix_scan
+    s = data.stream(lev).withColumn("k", F.lit("hot")).withColumn("d", F.col("value") - 50.0)
+    out = prefix_scan(s, ["k"], ["ts", "event_id"], sums={"S": "d"}, mins={"M": "S"}, segment_seconds=3600)
+    w = Window.partitionBy("k").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    ref = s.withColumn("S0", F.sum("d").over(w)).withColumn("M0", F.min("S0").over(w))
+    j = out.join(ref.select("event_id", "S0", "M0"), "event_id").toPandas()
+    assert len(j) == s.count()
+    assert (abs(j["S"] - j["S0"]) < 1e-6).all() and (abs(j["M"] - j["M0"]) < 1e-6).all()
+    assert out.select(F.floor(F.unix_micros("ts") / 3.6e9)).distinct().count() > 100
