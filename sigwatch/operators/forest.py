@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import hashed_uniform
 from ..schema import ForestParams
 
 EULER_GAMMA = 0.5772156649015329
@@ -129,19 +128,25 @@ class Forest:
         return -np.power(2.0, -mean_path / c)
 
 
+def _xx_uniform(*cols, seed: int):
+    """U[0,1) from the built-in 64-bit xxhash of the columns (cheap, codegen)."""
+    h = F.xxhash64(*cols, F.lit(seed))
+    return F.pmod(h, F.lit(1 << 31)).cast("double") / F.lit(float(1 << 31))
+
+
 def tree_samples(train: DataFrame, params: ForestParams, n_rows: int) -> DataFrame:
     """Rows per tree, bounded independently of the baseline size: a hash pool
     of about 1.2 x trees x sample rows, then per tree the ``sample`` rows with
     the smallest per-tree hash among pool rows that pass a per-tree draw."""
+    from pyspark.sql import Window
     want = params.trees * params.sample
     p0 = min(1.0, 1.2 * want / max(n_rows, 1))
-    pool = train.where(hashed_uniform("event_id", f"-pool{params.seed}") < F.lit(p0))
+    pool = train.where(_xx_uniform(F.col("event_id"), seed=params.seed) < F.lit(p0))
     pool_n = max(1.0, min(n_rows, 1.2 * want))
     q = min(1.0, 2.0 * params.sample / pool_n)
     per_tree = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(params.trees - 1))).alias("tree_id"))
-    key = F.concat_ws("-", F.col("event_id"), F.col("tree_id").cast("string"))
-    per_tree = per_tree.withColumn("_h", hashed_uniform(key, f"-t{params.seed}")).where(F.col("_h") < F.lit(q))
-    from pyspark.sql import Window
+    per_tree = per_tree.withColumn("_h", _xx_uniform(F.col("event_id"), F.col("tree_id"), seed=params.seed + 1)) \
+                       .where(F.col("_h") < F.lit(q))
     w = Window.partitionBy("tree_id").orderBy("_h", "event_id")
     return per_tree.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= params.sample) \
                    .drop("_rk", "_h")
@@ -171,12 +176,15 @@ def fit_forest(train: DataFrame, feature_cols, params: ForestParams = ForestPara
     nodes = samples.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA).toPandas()
     sample_size = min(params.sample, n_rows)
     forest = Forest.from_nodes(nodes, sample_size, mean, std)
-    # contamination offset and threshold from the training scores (Q9)
+    # contamination offset and threshold from the training scores (Q9), one
+    # pass: percentiles are shift-equivariant, so the threshold on the shifted
+    # scores is the plain percentile minus the offset
     scored = score(train, cols, forest, "_s")
-    pct = params.contamination
-    forest.offset = float(scored.agg(F.percentile("_s", pct)).first()[0])
     thr_pct = (100.0 - params.threshold_percentile) / 100.0
-    forest.threshold = float(scored.agg(F.percentile(F.col("_s") - F.lit(forest.offset), thr_pct)).first()[0])
+    p_off, p_thr = scored.agg(F.percentile("_s", F.array(F.lit(params.contamination),
+                                                         F.lit(thr_pct)))).first()[0]
+    forest.offset = float(p_off)
+    forest.threshold = float(p_thr) - forest.offset
     return forest
 
 

@@ -487,6 +487,7 @@ def bucket_kpi(spark, sf_dir):
 from . import pipeline as PL  # noqa: E402
 from ..operators import autoencoder as AEm  # noqa: E402
 from ..operators import forest as IFm  # noqa: E402
+from ..operators.small import materialize  # noqa: E402
 
 
 def _fit_inputs(spark, sf_dir):
@@ -494,6 +495,7 @@ def _fit_inputs(spark, sf_dir):
     base = data.baseline(lev)
     mi = FT.metric_index(base)
     b = FT.autoencoder_features(FT.add_row_index(base, batch_rows=BATCH), mi).select("event_id", *FT.AE_FEATURES)
+    b = materialize(b)  # read by several fit jobs
     s = FT.autoencoder_features(FT.add_row_index(data.stream(lev), batch_rows=BATCH), mi)
     return b, s
 

@@ -18,6 +18,7 @@ from ..operators import charts
 from ..operators import features as FT
 from ..operators import forest as IF
 from ..operators.ensemble import fuse_reference
+from ..operators.small import materialize
 from ..schema import AutoencoderParams, ChartParams, ForestParams, RunParams
 from . import data
 
@@ -37,7 +38,8 @@ def fit(baseline: DataFrame, forest_p: ForestParams = ForestParams(),
     """F7 fit: both models on the baseline features (500-row batches)."""
     mi = FT.metric_index(baseline)
     b = FT.autoencoder_features(FT.add_row_index(baseline, batch_rows=batch_rows), mi)
-    b = b.select("event_id", *FT.AE_FEATURES)
+    # the training table is read by several fit jobs: write it once
+    b = materialize(b.select("event_id", *FT.AE_FEATURES))
     forest = IF.fit_forest(b, FT.FOREST_FEATURES, forest_p)
     ae = AE.fit_autoencoder(b, FT.AE_FEATURES, ae_p)
     return Models(forest, ae, mi, baseline)
