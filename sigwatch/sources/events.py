@@ -105,3 +105,17 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
 def with_derived_ids(df: DataFrame) -> DataFrame:
     """Fill missing event ids from the natural key."""
     return df.withColumn("event_id", F.coalesce(F.col("event_id"), derived_event_id()))
+
+
+def envelope_answers(scored: DataFrame) -> DataFrame:
+    """S4 answer: per request, total events, anomalies and the per-event
+    results in request order (a request holds at most 10000 events, so each
+    group is bounded by the envelope validation)."""
+    res = F.struct("pos", "event_id", "service", "metric_name", "value", "is_anomaly", "severity",
+                   "ensemble_confidence", "votes")
+    g = scored.groupBy("request_id").agg(F.count("*").alias("total"),
+                                         F.count_if("is_anomaly").alias("anomalies"),
+                                         F.array_sort(F.collect_list(res), lambda a, b: F.when(
+                                             a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1)
+                                             .otherwise(0)).alias("results"))
+    return g.withColumn("results", F.transform("results", lambda r: r.dropFields("pos")))

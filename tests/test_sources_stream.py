@@ -115,3 +115,43 @@ def test_stream_end_to_end(spark, lev, tmp_path):
     scored = spark.read.parquet(out + "/scored")
     assert scored.count() > 0
     assert len(ST.progress_rows(q)) >= 1
+
+
+def test_envelope_answers(spark, lev):
+    """S4 end to end: stream rows packed into envelopes, flattened, scored by the
+    SQL trio fusion and answered per request."""
+    from sigwatch.operators.ensemble import fuse
+    env_rows = [("req1", [(f"e{i}", 1.7e12 + i, "s", "m", float(i), None, None) for i in range(5)]),
+                ("req2", [("x", 1.7e12, "s", "m", 9999.0, "h", "r")])]
+    env = spark.createDataFrame(env_rows, "request_id string, events array<struct<event_id string, "
+                                "timestamp double, service string, metric_name string, value double, "
+                                "host string, region string>>")
+    rows, bad = SE.flatten_envelopes(env)
+    rows = rows.withColumn("va", F.col("value") > 100).withColumn("ca", F.lit(0.9)) \
+               .withColumn("vb", F.col("value") > 100).withColumn("cb", F.lit(0.8)) \
+               .withColumn("vc", F.lit(False)).withColumn("cc", F.lit(0.1))
+    scored = fuse(rows, [("IsolationForest", "va", "ca"), ("Autoencoder", "vb", "cb"), ("ControlCharts", "vc", "cc")])
+    ans = {r["request_id"]: r for r in SE.envelope_answers(scored).collect()}
+    assert ans["req1"]["total"] == 5 and ans["req1"]["anomalies"] == 0
+    assert [x["event_id"] for x in ans["req1"]["results"]] == [f"e{i}" for i in range(5)]
+    assert ans["req2"]["anomalies"] == 1 and bad.count() == 0
+
+
+def test_writers_roundtrip(spark, tmp_path):
+    from sigwatch.operators import alerts as AL, evaluate as EV
+    df = spark.createDataFrame([("abcdef0123", 1_000_000_000, "api", "lat", 5.0, True, 0.9, "Critical"),
+                                ("bcdef01234", 1_000_000_100, "api", "lat", 5.0, True, 0.5, "Medium")],
+                               "event_id string, t long, service string, metric_name string, value double, "
+                               "is_anomaly boolean, ensemble_confidence double, severity string") \
+        .withColumn("ts", F.timestamp_seconds("t")).withColumn("voted_detectors", F.array(F.lit("ControlCharts")))
+    alerts = AL.alert_rows(df)
+    sinks.write_payloads(alerts, str(tmp_path / "payloads"))
+    sinks.write_alert_log(alerts, str(tmp_path / "log"))
+    got = spark.read.json(str(tmp_path / "payloads"))
+    assert {r["channel"] for r in got.collect()} == {"pagerduty", "slack"}
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+    long = df.withColumn("label", F.lit(True)).withColumn("label_type", F.lit("spike"))
+    m = EV.per_type_map(EV.unpivot_methods(long, [("Ensemble", "is_anomaly", "ensemble_confidence")]))
+    sinks.write_report(m, str(tmp_path / "report"))
+    r = spark.read.json(str(tmp_path / "report")).first()
+    assert r["method"] == "Ensemble" and r["per_type"]["spike"]["detected"] == 2
