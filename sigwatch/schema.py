@@ -70,6 +70,11 @@ class ChartParams:
     min_window: int = 30
     adaptive: bool = True
     series_key: tuple = ("metric_name",)
+    # a series with more rows than this is folded in time segments in
+    # parallel (exact, by fixed-point iteration of segment start states)
+    split_rows: int = 2_000_000
+    segment_rows: int = 500_000
+    max_passes: int = 12
 
 
 @dataclass(frozen=True)
