@@ -8,6 +8,7 @@ state (not by the size of a key). Parallelism is the number of keys.
 
 from __future__ import annotations
 
+import warnings
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _concat(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)
+        return pd.concat(frames, ignore_index=True)
+
+
 def ordered_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],
                  step_factory: Callable, out_schema: T.StructType,
                  num_partitions: int | None = None) -> DataFrame:
@@ -58,10 +65,10 @@ def ordered_fold(df: DataFrame, key_cols: list[str], order_cols: list[str],
                 if res is not None and len(res):
                     outs.append(res)
             if outs:
-                yield pd.concat(outs, ignore_index=True)[names]
+                yield _concat(outs)[names]
         tail = []
         finish(step, tail)
         if tail:
-            yield pd.concat(tail, ignore_index=True)[names]
+            yield _concat(tail)[names]
 
     return parted.mapInPandas(run, out_schema)
