@@ -28,30 +28,107 @@ SLACK_DEFAULT_MARK = "⚪"
 PD_ROUTING_KEY = "SIMULATED_PD_ROUTING_KEY"
 
 
-def cooldown(anomalies: DataFrame, cooldown_sec: float,
-             num_partitions: int | None = None) -> DataFrame:
-    """H1: keep the anomalies that fire (adds ``fired`` = True rows only)."""
-    out_schema = T.StructType(anomalies.schema.fields)
+def _cooldown_fold(anomalies: DataFrame, cooldown_sec: float, key: list[str], state: DataFrame | None,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Greedy cooldown per ``key`` starting from ``state`` (key..., last_fired_s).
+    Output rows: fired anomalies (``_kind`` = r) and one end state per key (s)."""
+    fields = [T.StructField(f.name, f.dataType, True) for f in anomalies.schema.fields]
+    out_schema = T.StructType(fields + [T.StructField("last_fired_s", T.DoubleType()),
+                                        T.StructField("_kind", T.StringType())])
     cols = anomalies.columns
+    names = [f.name for f in out_schema.fields]
     cd = float(cooldown_sec)
+    u = anomalies.withColumn("_phase", F.lit(1)).withColumn("last_fired_s", F.lit(None).cast("double"))
+    if state is not None:
+        fill = [F.col(f.name) if f.name in key else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in anomalies.schema.fields]
+        u = u.unionByName(state.select(*fill, F.lit(0).alias("_phase"), "last_fired_s"))
 
-    def factory(_key, _first):
-        state = {"last": None}
+    def factory(k, first):
+        lf = first["last_fired_s"] if first["_phase"] == 0 else None
+        st = {"last": None if lf is None or pd.isna(lf) else float(lf)}
 
         def step(pdf: pd.DataFrame):
-            t = (pd.to_datetime(pdf["ts"]).to_numpy().astype("datetime64[us]").astype("int64") / 1e6).tolist()
-            keep = np.zeros(len(pdf), dtype=bool)
-            last = state["last"]
-            for i in range(len(t)):
-                if last is None or not (t[i] - last < cd):
-                    keep[i] = True
-                    last = t[i]
-            state["last"] = last
-            return pdf.loc[keep, cols]
-
+            rows = pdf[pdf["_phase"] == 1]
+            if rows.empty:
+                return None
+            t = (pd.to_datetime(rows["ts"]).to_numpy().astype("datetime64[us]").astype("int64") / 1e6).tolist()
+            keep = []
+            last = st["last"]
+            for i, ti in enumerate(t):
+                if last is None or not (ti - last < cd):
+                    keep.append(i)
+                    last = ti
+            st["last"] = last
+            out = rows.iloc[keep][cols].copy()
+            out["last_fired_s"] = None
+            out["_kind"] = "r"
+            return out
+
+        def finish():
+            row = {c: None for c in names}
+            row.update(dict(zip(key, k)))
+            row["last_fired_s"] = st["last"]
+            row["_kind"] = "s"
+            return pd.DataFrame([row])
+
+        step.finish = finish
         return step
 
-    return ordered_fold(anomalies, KEY, ["ts", "event_id"], factory, out_schema, num_partitions)
+    return ordered_fold(u, key, ["_phase", "ts", "event_id"], factory, out_schema, num_partitions)
+
+
+def cooldown(anomalies: DataFrame, cooldown_sec: float, num_partitions: int | None = None,
+             split_rows: int = 2_000_000, segment_rows: int = 500_000, max_passes: int = 12) -> DataFrame:
+    """H1: keep the anomalies that fire. A key with more than ``split_rows``
+    anomalies is folded in parallel event-time segments (``segmented_cooldown``).
+    The anomalies (a small share of the rows) are written once first, so the
+    size check and the fold do not both recompute the detectors upstream."""
+    from .small import materialize
+    anomalies = materialize(anomalies)
+    st = anomalies.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("ts").alias("t0"), F.max("ts").alias("t1")) \
+                  .agg(F.max("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1")).first()
+    if st is not None and st["n"] is not None and st["n"] > split_rows:
+        span = max(1.0, (st["t1"] - st["t0"]).total_seconds())
+        seg = max(1, int(span * segment_rows / st["n"]))
+        return segmented_cooldown(anomalies, cooldown_sec, seg, num_partitions, max_passes)
+    out = _cooldown_fold(anomalies, cooldown_sec, KEY, None, num_partitions)
+    return out.where(F.col("_kind") == "r").select(*anomalies.columns)
+
+
+def segmented_cooldown(anomalies: DataFrame, cooldown_sec: float, segment_seconds: int,
+                       num_partitions: int | None = None, max_passes: int = 12) -> DataFrame:
+    """Cooldown with every key cut into event-time segments folded in
+    parallel; segment start states (last fired time) are iterated to their
+    fixed point, so the result equals the sequential greedy fold. A segment
+    forgets its start state one cooldown period after its first alert."""
+    from .small import materialize
+    skey = KEY + ["_seg"]
+    s = anomalies.withColumn("_seg", F.floor(F.unix_micros("ts") / F.lit(segment_seconds * 1_000_000)).cast("long"))
+    segs = materialize(s.select(*KEY, "_seg").distinct()
+                        .withColumn("_prev", F.lag("_seg").over(Window.partitionBy(*KEY).orderBy("_seg"))))
+    start = None
+    for _ in range(max_passes):
+        out = _cooldown_fold(s, cooldown_sec, skey, start, num_partitions)
+        end = materialize(out.where(F.col("_kind") == "s")
+                          .select(*KEY, F.col("_seg").alias("_prev"), "last_fired_s"))
+        # the last alert so far: latest end state among the earlier segments of the key
+        chained = segs.where(F.col("_prev").isNotNull()).join(end, KEY + ["_prev"]) \
+                      .select(*skey, "last_fired_s")
+        w = Window.partitionBy(*KEY).orderBy("_seg").rowsBetween(Window.unboundedPreceding, 0)
+        nxt = materialize(chained.withColumn("last_fired_s", F.max("last_fired_s").over(w))
+                          .where(F.col("last_fired_s").isNotNull()))
+        if start is not None:
+            a, b = nxt.alias("a"), start.alias("b")
+            on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in skey]
+            changed = a.join(b, on, "full_outer").where(
+                F.col("a._seg").isNull() | F.col("b._seg").isNull()
+                | ~F.col("a.last_fired_s").eqNullSafe(F.col("b.last_fired_s")))
+            if changed.limit(1).count() == 0:
+                return out.where(F.col("_kind") == "r").select(*anomalies.columns)
+        start = nxt
+    out = _cooldown_fold(anomalies, cooldown_sec, KEY, None, num_partitions)
+    return out.where(F.col("_kind") == "r").select(*anomalies.columns)
 
 
 def route(sev, params: AlertParams = AlertParams()):

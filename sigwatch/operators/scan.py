@@ -5,8 +5,9 @@ holding a third of the table would be one task. Here each key is cut into
 event-time segments (``segment_seconds`` wide). Built-in windows partitioned by
 (key, segment) take local running sums and minima (JVM, codegen). A summary
 table with one row per segment gives every segment its offset (the sum of all
-earlier segments of its key) and the minimum reached before it. The summary is
-added back through a size-checked broadcast join on (key, segment).
+earlier segments of its key) and the minimum reached before it. The summary
+joins back on (key, segment) without moving the rows again: the window has
+already partitioned and sorted them that way (only the summary is shuffled).
 Everything is a deterministic function of the rows, so a lost task recomputes
 the same values.
 """
@@ -16,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .small import bounded_broadcast
 
 DEFAULT_SEGMENT_SECONDS = 3600
 
@@ -46,8 +46,9 @@ def prefix_scan(df: DataFrame, key: list[str], order: list[str], sums: dict[str,
     for o, s_out in mins.items():
         segs = segs.withColumn(f"_pm_{o}", F.min(F.col(f"_o_{s_out}") + F.col(f"_sm_{o}")).over(before))
     keep = key + ["_seg"] + [f"_o_{o}" for o in sums] + [f"_pm_{o}" for o in mins]
-    # one row per (key, segment): broadcast only under the checked row limit
-    j = d.join(bounded_broadcast(segs.select(*keep)), key + ["_seg"])
+    # ``d`` is already hash-partitioned and sorted on (key, segment) by its
+    # window, so this join shuffles only the small summary side
+    j = d.join(segs.select(*keep), key + ["_seg"])
     for o in sums:
         j = j.withColumn(o, F.col(f"_o_{o}") + F.col(f"_l_{o}"))
     for o, s_out in mins.items():

@@ -75,3 +75,15 @@ def test_alert_summary_grouping_sets(spark):
     s = AL.alert_summary(AL.alert_rows(df)).toPandas()
     assert int(s[s.dimension == "total"]["alerts"].iloc[0]) == 2
     assert set(s[s.dimension == "channel"]["key"]) == {"pagerduty", "slack"}
+
+
+def test_segmented_cooldown_equals_sequential(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(f"e{i}", 1_000_000 + rnd.randint(0, 20000), f"s{rnd.randint(0, 1)}", "m", 1.0, True, 0.5, "Medium")
+            for i in range(600)]
+    df = _events(spark, rows)
+    seq = set(AL.cooldown(df, 300).toPandas()["event_id"])
+    seg = set(AL.segmented_cooldown(df, 300, segment_seconds=1000).toPandas()["event_id"])
+    auto = set(AL.cooldown(df, 300, split_rows=50, segment_rows=40).toPandas()["event_id"])
+    assert seg == seq and auto == seq
