@@ -33,6 +33,7 @@ from ..plans.pipeline import EVENT_OUT, Models
 from ..schema import AlertParams, ChartParams
 from ..sources import sinks
 from ..sources.events import adapt_events
+from ..operators.small import materialize
 
 RAW_EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -40,6 +41,8 @@ RAW_EVENTS = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
+CLOCK_STATE = T.StructType([T.StructField("bound_s", T.DoubleType()), T.StructField("late_rows", T.LongType())])
+
 COOL_STATE = T.StructType([T.StructField("service", T.StringType()),
                            T.StructField("metric_name", T.StringType()),
                            T.StructField("last_fired_s", T.DoubleType())])
@@ -81,21 +84,68 @@ class StreamScorer:
     """``foreachBatch`` function: score, fuse, alert, audit; keep state tables."""
 
     def __init__(self, models: Models, out_dir: str, state_dir: str, chart_p: ChartParams = ChartParams(),
-                 alert_p: AlertParams = AlertParams(), batch_rows: int = 500):
+                 alert_p: AlertParams = AlertParams(), batch_rows: int = 500, hold_seconds: float | None = None):
         self.models, self.out_dir, self.state_dir = models, out_dir, state_dir
         self.chart_p, self.alert_p, self.batch_rows = chart_p, alert_p, batch_rows
-        self._init_state = None
+        self.hold_seconds = hold_seconds
+        self.last_batch_id = -1
+
+    # -- T3: event-time ordered release ------------------------------------
+    def _release(self, spark, s: DataFrame, batch_id: int, final: bool = False) -> DataFrame:
+        """Hold rows newer than (max event time - hold) in a pending table and
+        release the rest, so each series is scored in event-time order up to
+        the hold. Rows older than an earlier release point are scored at once
+        (arrival order) and counted in the clock table; none is dropped."""
+        if self.hold_seconds is None:
+            return s
+        pend_schema = s.schema
+        prev = _latest_state(spark, self.state_dir, "pending", batch_id, pend_schema)
+        clock = _latest_state(spark, self.state_dir, "clock", batch_id, CLOCK_STATE)
+        prev_bound = None
+        late_total = 0
+        if clock is not None:
+            c = clock.first()
+            prev_bound, late_total = c["bound_s"], c["late_rows"]
+        allrows = s if prev is None else s.unionByName(prev)
+        t = F.unix_micros("ts") / F.lit(1e6)
+        mx = allrows.agg(F.max(t)).first()[0]
+        if final or mx is None:
+            bound = float("inf") if final else prev_bound
+        else:
+            bound = mx - float(self.hold_seconds)
+            if prev_bound is not None:
+                bound = max(bound, prev_bound)
+        late = 0 if prev_bound is None else s.where(t <= F.lit(prev_bound)).count()
+        rel = allrows if bound == float("inf") else (allrows.where(F.lit(False)) if bound is None
+                                                     else allrows.where(t <= F.lit(bound)))
+        held = allrows.where(F.lit(False)) if bound == float("inf") else (
+            allrows if bound is None else allrows.where(t > F.lit(bound)))
+        held.write.mode("overwrite").parquet(_state_path(self.state_dir, "pending", batch_id))
+        spark.createDataFrame([(None if bound in (None, float("inf")) else float(bound), int(late_total + late))],
+                              CLOCK_STATE).write.mode("overwrite").parquet(
+            _state_path(self.state_dir, "clock", batch_id))
+        return materialize(rel)
+
+    def flush(self, spark) -> None:
+        """Score everything still held (end of an available-now run)."""
+        bid = self.last_batch_id + 1
+        empty = spark.createDataFrame([], RAW_EVENTS)
+        self(adapt_events(empty), bid, final=True)
 
     def chart_state_schema(self):
         key = list(self.chart_p.series_key)
         return T.StructType([T.StructField(k, T.StringType()) for k in key]
                             + [T.StructField(n, t) for n, t in charts.STATE_FIELDS])
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
         spark = batch.sparkSession
         m = self.models
+        self.last_batch_id = max(self.last_batch_id, batch_id)
         s = batch.withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type") \
                  .select(*EVENT_OUT)
+        s = self._release(spark, s, batch_id, final)
+        if s.limit(1).count() == 0:
+            return
         s = FT.add_row_index(s, batch_rows=self.batch_rows)
         f = FT.autoencoder_features(s, m.metric_index)
         f = IF.decision(f, FT.FOREST_FEATURES, m.forest)
@@ -142,13 +192,17 @@ class StreamScorer:
 
 
 def run_stream(spark: SparkSession, source_path: str, models: Models, out_dir: str, checkpoint_dir: str,
-               available_now: bool = True, alert_p: AlertParams = AlertParams(), max_files_per_trigger: int = 1):
-    """Start the scoring query; returns the StreamingQuery."""
+               available_now: bool = True, alert_p: AlertParams = AlertParams(), max_files_per_trigger: int = 1,
+               hold_seconds: float | None = None, chart_p: ChartParams = ChartParams()):
+    """Start the scoring query; returns (StreamingQuery, scorer). With
+    ``hold_seconds`` rows are released in event-time order (T3); call
+    ``scorer.flush(spark)`` after an available-now run to score the tail."""
     ev = event_stream(spark, source_path, max_files_per_trigger)
-    scorer = StreamScorer(models, out_dir, os.path.join(checkpoint_dir, "state"), alert_p=alert_p)
+    scorer = StreamScorer(models, out_dir, os.path.join(checkpoint_dir, "state"), chart_p=chart_p,
+                          alert_p=alert_p, hold_seconds=hold_seconds)
     w = ev.writeStream.foreachBatch(scorer).option("checkpointLocation", os.path.join(checkpoint_dir, "query"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return w.start(), scorer
 
 
 def bucket_kpi_stream(spark: SparkSession, source_path: str, checkpoint_dir: str, out_path: str,
