@@ -66,6 +66,7 @@ def iso_utc(ts="ts") -> Column:
 
 
 def alert_id(event_id="event_id") -> Column:
+    """``ALT-`` + first 8 characters of the event id."""
     return F.concat(F.lit("ALT-"), F.substring(c(event_id), 1, 8))
 
 

@@ -48,7 +48,9 @@ def fit(baseline: DataFrame, forest_p: ForestParams = ForestParams(),
 def score(stream: DataFrame, models: Models, chart_p: ChartParams = ChartParams(),
           batch_rows: int | None = 500, strategy: str = "majority_vote",
           weights: dict | None = None) -> DataFrame:
-    """F7 score. ``batch_rows=None`` makes every event its own batch (F8)."""
+    """F7 score. ``batch_rows=None`` makes every event its own batch (F8).
+    J1: the three detectors' results are columns of the same row, so no
+    positional alignment or re-join is needed."""
     s = stream.withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type") \
               .select(*EVENT_OUT)
     if batch_rows:

@@ -9,6 +9,8 @@
 * T5: ``dropDuplicatesWithinWatermark`` on ``event_id``.
 * T6: tumbling per-day KPI as a second, windowed aggregation query.
 * T7: rates and latencies come from ``StreamingQueryProgress``.
+* U2: results of all micro-batches append into one table (``batch_id``
+  partitions, replaced as a whole when a batch is replayed).
 
 Within a micro-batch rows are scored in event-time order per series; rows
 that arrive after later rows of their series were already scored are
