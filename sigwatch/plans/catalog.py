@@ -468,7 +468,7 @@ def timeline_rows(spark, sf_dir, metric="view", n=800):
     f = fused(spark, sf_dir).where(F.col("metric_name") == metric)
     head = f.orderBy("ts", "event_id").limit(n)
     w = Window.orderBy("ts", "event_id")
-    return head.select(F.row_number().over(w).alias("idx"), "event_id", "value", "label",
+    return head.select(F.row_number().over(w).cast("long").alias("idx"), "event_id", "value", "label",
                        "is_anomaly", "ensemble_confidence")
 
 
