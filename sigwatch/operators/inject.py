@@ -1,10 +1,10 @@
 """Known-fault overlay (scenario injection) for back-testing on any event table.
 
 The scenario table is small and its size is checked before it is broadcast.
-Each event looks up the scenarios of its own metric through an equi-join on
-``metric_name`` (one array of scenarios per metric, sorted by priority), and
-the first scenario whose closed interval and service match wins -- no
-cross join, no shuffle of the event table.
+Events meet it in a broadcast hash join on ``metric_name`` with the interval
+and service test as join condition; when scenarios overlap, each event
+instead picks the first match by priority from its metric's scenario array.
+No cross join, no shuffle of the event table.
 """
 
 from __future__ import annotations
@@ -78,19 +78,45 @@ def scenario_table(spark: SparkSession, scenarios: list[Scenario]) -> DataFrame:
     return spark.createDataFrame(rows, SCENARIO_SCHEMA)
 
 
+def _overlapping(scenarios: DataFrame) -> bool:
+    """True when two scenarios could match the same event: same metric,
+    intersecting closed intervals, compatible services (checked on the small
+    scenario table by an equi-join on metric)."""
+    a = scenarios.alias("a")
+    b = scenarios.alias("b")
+    pairs = a.join(b, F.col("a.metric_name") == F.col("b.metric_name")).where(
+        (F.col("a.priority") < F.col("b.priority"))
+        & (F.col("a.start_s") <= F.col("b.end_s")) & (F.col("b.start_s") <= F.col("a.end_s"))
+        & (F.col("a.service").isNull() | F.col("b.service").isNull()
+           | (F.col("a.service") == F.col("b.service"))))
+    return pairs.limit(1).count() > 0
+
+
 def match_scenarios(events: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Add ``_sc`` (first matching scenario struct or null) and ``progress``."""
+    """Add ``_sc`` (first matching scenario struct or null) and ``progress``.
+
+    When no two scenarios can match the same event, this is a broadcast
+    hash join on ``metric_name`` with the interval and service test as the
+    join condition (codegen, at most one match per event). Otherwise every
+    event takes the first match, by priority, from its metric's scenario array."""
     n = scenarios.count()
     if n > MAX_SCENARIOS:
         raise ValueError(f"scenario table has {n} rows; broadcast limit is {MAX_SCENARIOS}")
-    by_metric = scenarios.groupBy("metric_name").agg(
-        F.array_sort(F.collect_list(F.struct("priority", "name", "start_s", "end_s", "service",
-                                             "base_mean"))).alias("_scs"))
     t = epoch_sec("ts")
-    joined = events.join(F.broadcast(by_metric), "metric_name", "left")
-    hits = F.filter("_scs", lambda s: (s["start_s"] <= t) & (t <= s["end_s"])
-                    & (s["service"].isNull() | (s["service"] == F.col("service"))))
-    joined = joined.withColumn("_sc", F.try_element_at(hits, F.lit(1))).drop("_scs")
+    fields = ("priority", "name", "start_s", "end_s", "service", "base_mean")
+    if not _overlapping(scenarios):
+        sc = scenarios.select(F.col("metric_name").alias("_sc_metric"), F.struct(*fields).alias("_sc"))
+        cond = ((F.col("metric_name") == F.col("_sc_metric")) & (F.col("_sc.start_s") <= t)
+                & (t <= F.col("_sc.end_s"))
+                & (F.col("_sc.service").isNull() | (F.col("_sc.service") == F.col("service"))))
+        joined = events.join(F.broadcast(sc), cond, "left").drop("_sc_metric")
+    else:
+        by_metric = scenarios.groupBy("metric_name").agg(
+            F.array_sort(F.collect_list(F.struct(*fields))).alias("_scs"))
+        joined = events.join(F.broadcast(by_metric), "metric_name", "left")
+        hits = F.filter("_scs", lambda x: (x["start_s"] <= t) & (t <= x["end_s"])
+                        & (x["service"].isNull() | (x["service"] == F.col("service"))))
+        joined = joined.withColumn("_sc", F.try_element_at(hits, F.lit(1))).drop("_scs")
     sc = F.col("_sc")
     span = sc["end_s"] - sc["start_s"]
     progress = F.when(span > 0, (t - sc["start_s"]) / span).otherwise(F.lit(0.0))

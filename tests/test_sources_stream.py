@@ -191,3 +191,16 @@ def test_bucket_kpi_stream_matches_batch(spark, tmp_path):
     merged = got.merge(want, on=["bucket_start", "service"], suffixes=("", "_b"))
     assert len(got) > 0 and len(merged) == len(got)
     assert (merged["events"] == merged["events_b"]).all()
+
+
+def test_overlapping_scenarios_first_priority_wins(spark, lev):
+    """J4 with overlapping scenarios: the array path picks the first by priority."""
+    from sigwatch.operators import inject as I
+    from sigwatch.sources.events import load_events
+    plan = (("error_storm", 4 * 86400.0, 10 * 86400.0, "view", None, 50.0),
+            ("traffic_spike", 5 * 86400.0, 3 * 86400.0, "view", "svc-0", 50.0))
+    sc = I.scenario_table(spark, I.scenario_plan(plan=plan))
+    assert I._overlapping(sc)
+    m = I.scenario_matches(load_events(spark, "/root/testdata/sf0.01"), sc).toPandas()
+    assert set(m["scenario"]) == {"error_storm"}
+    assert not I._overlapping(data.scenarios(spark))
