@@ -83,3 +83,43 @@ def test_ensemble_end_to_end(spark, lev):
     # single-event scoring: IF confidence is 0 for a batch of one (reference behaviour)
     one = pipeline.score(data.stream(lev).limit(50), models, batch_rows=None).toPandas()
     assert (one["if_confidence"] == 0).all()
+
+
+def _walk(forest, x):
+    """Brute force: walk every tree row by row."""
+    import math as m
+    out = []
+    for row in (x - forest.scaler_mean) / forest.scaler_std:
+        tot = 0.0
+        for t in range(forest.feature.shape[0]):
+            node = 0
+            while forest.feature[t, node] >= 0:
+                f = forest.feature[t, node]
+                node = forest.left[t, node] if row[f] < forest.split[t, node] else forest.right[t, node]
+            tot += forest.leaf_path[t, node]
+        c = IF.avg_path_length(np.array([forest.sample_size]))[0]
+        out.append(-m.pow(2.0, -(tot / forest.feature.shape[0]) / c))
+    return np.array(out)
+
+
+def test_forest_scores_equal_brute_force(feats, forest):
+    _, s = feats
+    pdf = IF.decision(s.limit(150), FT.FOREST_FEATURES, forest) \
+        .select(*FT.FOREST_FEATURES, "if_decision").toPandas()
+    x = pdf[list(FT.FOREST_FEATURES)].to_numpy()
+    want = _walk(forest, x) - forest.offset
+    assert np.allclose(pdf["if_decision"].to_numpy(), want, rtol=0, atol=1e-12)
+
+
+def test_autoencoder_scores_equal_local_numpy(feats, ae):
+    _, s = feats
+    pdf = AE.score(s.limit(150), FT.AE_FEATURES, ae).select(*FT.AE_FEATURES, "reconstruction_error").toPandas()
+    x = (pdf[list(FT.AE_FEATURES)].to_numpy() - ae.mean) / (ae.std + 1e-8)
+    h = x
+    ws = AE.unflatten(ae.weights, ae.n_in, ae.params)
+    for i in range(0, len(ws), 2):
+        h = h @ ws[i] + ws[i + 1]
+        if i < len(ws) - 2:
+            h = np.maximum(h, 0.0)
+    err = ((x - h) ** 2).mean(axis=1)
+    assert np.allclose(pdf["reconstruction_error"].to_numpy(), np.round(err, 8), atol=1e-8)
