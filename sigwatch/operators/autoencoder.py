@@ -137,7 +137,8 @@ def fit_autoencoder(train: DataFrame, feature_cols, p: AutoencoderParams = Autoe
     frac = min(1.0, p.max_rows / max(n_rows, 1))
     rows = train.select("event_id", *cols)
     if frac < 1.0:
-        rows = rows.where(F.abs(F.xxhash64("event_id", F.lit(p.seed))) % 1_000_000 < int(frac * 1_000_000))
+        rows = rows.where(F.pmod(F.xxhash64("event_id", F.lit(p.seed)), F.lit(1_000_000))
+                          < F.lit(int(frac * 1_000_000)))
     shard = F.pmod(F.xxhash64("event_id", F.lit(p.seed + 1)), F.lit(p.shards)).cast("int")
     data = materialize(rows.withColumn("shard", shard))   # re-read every round
     n_in = len(cols)
