@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import log_magnitude, scaled_square
-from .small import bounded_broadcast
 
 ORDER = ("ts", "event_id")
+MAX_METRICS = 100_000
 LOW_BITS = 33
 
 
@@ -82,8 +82,14 @@ def metric_index(baseline: DataFrame) -> DataFrame:
 def autoencoder_features(df: DataFrame, metric_idx: DataFrame) -> DataFrame:
     """``[v, log1p|v|, v^2/1e6, diff, v/(roll50+1e-8), metric_pos/n]``;
     an unseen metric maps to position 0."""
-    mi = bounded_broadcast(metric_idx.select("metric_name", "m_pos", "m_count"))
-    n_metrics = metric_idx.agg(F.max("m_count")).first()[0] or 1
+    # one bounded fetch gives both the broadcast rows and the metric count
+    rows = metric_idx.select("metric_name", "m_pos").limit(MAX_METRICS + 1).collect()
+    if len(rows) > MAX_METRICS:  # too many to broadcast: a shuffle join instead
+        mi = metric_idx.select("metric_name", F.col("m_pos").cast("int").alias("m_pos"))
+        n_metrics = metric_idx.count()
+    else:
+        mi = F.broadcast(df.sparkSession.createDataFrame(rows, "metric_name string, m_pos int"))
+        n_metrics = len(rows) or 1
     d = with_rolling_ratio(with_diff(df))
     d = d.join(mi.select("metric_name", "m_pos"), "metric_name", "left")
     return (d.withColumn("f_value", F.col("value"))
