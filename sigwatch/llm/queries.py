@@ -6,7 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import start, table
 from .decontaminate import decontaminate
+from .deobfuscate import personal_data
+from .line_dedup import repeated_units
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
+from .warc_bundles import read_bundles, write_bundles
+
+
+def op2_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,4 +27,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
-QUERIES = {"op6_decontaminate": op6_decontaminate}
+def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return read_bundles(*write_bundles(table(spark, sf_dir, "pages")))
+
+
+QUERIES = {"op2_deobfuscate": op2_deobfuscate, "op3_line_dedup": op3_line_dedup,
+           "op6_decontaminate": op6_decontaminate, "op10_warc_bundles": op10_warc_bundles}

@@ -26,4 +26,34 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hitwords USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op6_decontaminate": DECONTAMINATE}
+LINE_DEDUP = r"""
+WITH l AS (
+  SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+u AS (
+  SELECT doc_id, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS a,
+         sum(CASE WHEN line <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS unit_no
+  FROM l),
+n AS (
+  SELECT doc_id, unit_no, a, length(line) AS size, regexp_extract_all(lower(line), '[^\s]+') AS w FROM u WHERE line <> ''),
+k AS (
+  SELECT *, array_to_string(w, ' ') AS key FROM n WHERE len(w) >= 5),
+f AS (
+  SELECT *, first_value(doc_id) OVER o AS kept_doc_id, first_value(unit_no) OVER o AS kept_unit_no, row_number() OVER o AS r
+  FROM k WINDOW o AS (PARTITION BY key ORDER BY doc_id, unit_no))
+SELECT doc_id, unit_no::BIGINT AS unit_no, a::BIGINT AS start, (a + size)::BIGINT AS "end", len(w)::BIGINT AS n_words,
+       kept_doc_id, kept_unit_no::BIGINT AS kept_unit_no
+FROM f WHERE r > 1
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY n, digest) AS response FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM g
+"""
+
+ORACLE = {"op3_line_dedup": LINE_DEDUP, "op6_decontaminate": DECONTAMINATE, "op10_warc_bundles": WARC}
