@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import start, table
 from .decontaminate import decontaminate
 from .deobfuscate import personal_data
+from .license_scan import license_report
 from .line_dedup import repeated_units
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
 from .warc_bundles import read_bundles, write_bundles
@@ -22,6 +23,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(spark)
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
@@ -33,4 +39,4 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_deobfuscate": op2_deobfuscate, "op3_line_dedup": op3_line_dedup,
-           "op6_decontaminate": op6_decontaminate, "op10_warc_bundles": op10_warc_bundles}
+           "op4_license_scan": op4_license_scan, "op6_decontaminate": op6_decontaminate, "op10_warc_bundles": op10_warc_bundles}
