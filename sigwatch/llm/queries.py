@@ -9,10 +9,17 @@ from .decontaminate import decontaminate
 from .deobfuscate import personal_data
 from .license_scan import license_report
 from .line_dedup import repeated_units
+from .outliers import quality
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
 from .warc_bundles import read_bundles, write_bundles
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 def op2_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(spark)
     return personal_data(table(spark, sf_dir, "documents"))
@@ -38,5 +45,5 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bundles(*write_bundles(table(spark, sf_dir, "pages")))
 
 
-QUERIES = {"op2_deobfuscate": op2_deobfuscate, "op3_line_dedup": op3_line_dedup,
+QUERIES = {"op1_robust_outliers": op1_robust_outliers, "op2_deobfuscate": op2_deobfuscate, "op3_line_dedup": op3_line_dedup,
            "op4_license_scan": op4_license_scan, "op6_decontaminate": op6_decontaminate, "op10_warc_bundles": op10_warc_bundles}
