@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_gru import identify
 from .common import start, table
 from .decontaminate import decontaminate
 from .deobfuscate import personal_data
 from .license_scan import license_report
 from .line_dedup import repeated_units
 from .outliers import quality
+from .parity_join import classes
+from .piece_sampler import digests, encoded
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
 from .warc_bundles import read_bundles, write_bundles
 
@@ -40,10 +43,26 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op7_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return classes(table(spark, sf_dir, "documents"))
+
+
+def op8_byte_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_piece_sampler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return digests(encoded(table(spark, sf_dir, "documents")))
+
+
 def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(spark)
     return read_bundles(*write_bundles(table(spark, sf_dir, "pages")))
 
 
-QUERIES = {"op1_robust_outliers": op1_robust_outliers, "op2_deobfuscate": op2_deobfuscate, "op3_line_dedup": op3_line_dedup,
-           "op4_license_scan": op4_license_scan, "op6_decontaminate": op6_decontaminate, "op10_warc_bundles": op10_warc_bundles}
+QUERIES = {f.__name__: f for f in (
+    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op4_license_scan, op6_decontaminate, op7_parity_join,
+    op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}
