@@ -279,7 +279,14 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its
-    columns. Rows that repeat it become one; documents with a null id stay."""
-    gone = (classes(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    columns. Rows that repeat an id become one; documents with a null id stay.
+
+    Only ids are classed and counted; the texts are filtered by two small
+    tables of ids, which the planner broadcasts or shuffles by their size."""
+    found = staged(classes(docs).select("doc_id", "component_id"), "classes")
+    gone = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    repeated = staged(found.where("component_id = doc_id").groupBy(F.col("doc_id").alias("_id")).count()
+                      .where("count > 1").select("_id"), "repeated")
+    same = F.col("doc_id").cast("long") == F.col("_id")
+    once = docs.join(gone.union(repeated), same, "left_anti")
+    return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))

@@ -14,6 +14,7 @@ from .outliers import quality
 from .parity_join import classes
 from .piece_sampler import digests, encoded
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
+from .token_trees import counted
 from .warc_bundles import read_bundles, write_bundles
 
 
@@ -38,6 +39,11 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
 
+def op5_token_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start(spark)
+    return counted(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(spark)
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
@@ -64,5 +70,5 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op4_license_scan, op6_decontaminate, op7_parity_join,
-    op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}
+    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op4_license_scan, op5_token_trees, op6_decontaminate,
+    op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}

@@ -56,4 +56,21 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM g
 """
 
-ORACLE = {"op3_line_dedup": LINE_DEDUP, "op6_decontaminate": DECONTAMINATE, "op10_warc_bundles": WARC}
+PARITY_JOIN = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACE_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g
+  FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a, b FROM both_ways UNION SELECT r.a, x.b FROM r JOIN both_ways x ON r.b = x.a)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(min(b), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+ORACLE = {"op3_line_dedup": LINE_DEDUP, "op6_decontaminate": DECONTAMINATE, "op7_parity_join": PARITY_JOIN,
+          "op10_warc_bundles": WARC}
