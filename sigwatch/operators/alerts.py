@@ -79,7 +79,7 @@ def _cooldown_fold(anomalies: DataFrame, cooldown_sec: float, key: list[str], st
 
 
 def cooldown(anomalies: DataFrame, cooldown_sec: float, num_partitions: int | None = None,
-             split_rows: int = 2_000_000, segment_rows: int = 500_000, max_passes: int = 12) -> DataFrame:
+             split_rows: int = 2_000_000, segment_rows: int = 500_000) -> DataFrame:
     """H1: keep the anomalies that fire. A key with more than ``split_rows``
     anomalies is folded in parallel event-time segments (``segmented_cooldown``).
     The anomalies (a small share of the rows) are written once first, so the
@@ -91,24 +91,26 @@ def cooldown(anomalies: DataFrame, cooldown_sec: float, num_partitions: int | No
     if st is not None and st["n"] is not None and st["n"] > split_rows:
         span = max(1.0, (st["t1"] - st["t0"]).total_seconds())
         seg = max(1, int(span * segment_rows / st["n"]))
-        return segmented_cooldown(anomalies, cooldown_sec, seg, num_partitions, max_passes)
+        return segmented_cooldown(anomalies, cooldown_sec, seg, num_partitions)
     out = _cooldown_fold(anomalies, cooldown_sec, KEY, None, num_partitions)
     return out.where(F.col("_kind") == "r").select(*anomalies.columns)
 
 
 def segmented_cooldown(anomalies: DataFrame, cooldown_sec: float, segment_seconds: int,
-                       num_partitions: int | None = None, max_passes: int = 12) -> DataFrame:
+                       num_partitions: int | None = None) -> DataFrame:
     """Cooldown with every key cut into event-time segments folded in
     parallel; segment start states (last fired time) are iterated to their
     fixed point, so the result equals the sequential greedy fold. A segment
-    forgets its start state one cooldown period after its first alert."""
+    forgets its start state one cooldown period after its first alert. Every
+    pass settles one more segment at least, so the passes end, and none folds
+    a whole key in one task."""
     from .small import materialize
     skey = KEY + ["_seg"]
     s = anomalies.withColumn("_seg", F.floor(F.unix_micros("ts") / F.lit(segment_seconds * 1_000_000)).cast("long"))
     segs = materialize(s.select(*KEY, "_seg").distinct()
                         .withColumn("_prev", F.lag("_seg").over(Window.partitionBy(*KEY).orderBy("_seg"))))
     start = None
-    for _ in range(max_passes):
+    while True:
         out = _cooldown_fold(s, cooldown_sec, skey, start, num_partitions)
         end = materialize(out.where(F.col("_kind") == "s")
                           .select(*KEY, F.col("_seg").alias("_prev"), "last_fired_s"))
@@ -127,8 +129,6 @@ def segmented_cooldown(anomalies: DataFrame, cooldown_sec: float, segment_second
             if changed.limit(1).count() == 0:
                 return out.where(F.col("_kind") == "r").select(*anomalies.columns)
         start = nxt
-    out = _cooldown_fold(anomalies, cooldown_sec, KEY, None, num_partitions)
-    return out.where(F.col("_kind") == "r").select(*anomalies.columns)
 
 
 def route(sev, params: AlertParams = AlertParams()):

@@ -134,12 +134,9 @@ def fit_autoencoder(train: DataFrame, feature_cols, p: AutoencoderParams = Autoe
     mean = np.array([st[f"m{i}"] for i in range(len(cols))], dtype=np.float64)
     std = np.array([st[f"s{i}"] for i in range(len(cols))], dtype=np.float64)
     n_rows = int(st["n"])
-    frac = min(1.0, p.max_rows / max(n_rows, 1))
+    shards = max(p.shards, -(-n_rows // p.shard_rows))
     rows = train.select("event_id", *cols)
-    if frac < 1.0:
-        rows = rows.where(F.pmod(F.xxhash64("event_id", F.lit(p.seed)), F.lit(1_000_000))
-                          < F.lit(int(frac * 1_000_000)))
-    shard = F.pmod(F.xxhash64("event_id", F.lit(p.seed + 1)), F.lit(p.shards)).cast("int")
+    shard = F.pmod(F.xxhash64("event_id", F.lit(p.seed + 1)), F.lit(shards)).cast("int")
     data = materialize(rows.withColumn("shard", shard))   # re-read every round
     n_in = len(cols)
     vec = flatten(init_weights(n_in, p))
@@ -150,17 +147,24 @@ def fit_autoencoder(train: DataFrame, feature_cols, p: AutoencoderParams = Autoe
         ep = min(p.epochs_per_round, p.epochs - r * p.epochs_per_round)
         cur = vec.copy()
 
-        res = data.groupBy("shard").applyInPandas(_local_round(cur, ep, r, cols, m_b, s_b, n_in, p),
-                                                  SHARD_SCHEMA).toPandas()
-        w = res["n"].to_numpy(dtype=np.float64)
-        vec = np.average(np.stack(res["weights"].map(np.asarray).to_list()), axis=0, weights=w)
-        history += list(np.average(np.stack(res["losses"].map(np.asarray).to_list()), axis=0, weights=w))
+        res = materialize(data.groupBy("shard").applyInPandas(
+            _local_round(cur, ep, r, cols, m_b, s_b, n_in, p), SHARD_SCHEMA))
+        # the shards' weights are averaged in Spark: one row per weight comes back
+        vec = _averaged(res, "weights")
+        history += list(_averaged(res, "losses"))
     model = AutoencoderModel(vec, n_in, p, mean, std, losses=history)
     errs = errors(data, cols, model, "_e")
     model.threshold = float(errs.agg(F.percentile("_e", p.threshold_percentile / 100.0)).first()[0])
     return model
 
 
+def _averaged(res: DataFrame, column: str) -> np.ndarray:
+    """Element-wise mean of an array column, weighted by the shards' rows."""
+    at = res.select("n", F.posexplode(column).alias("k", "x")).groupBy("k") \
+            .agg((F.sum(F.col("n") * F.col("x")) / F.sum("n")).alias("x")).collect()
+    return np.array([r["x"] for r in sorted(at, key=lambda r: r["k"])])
+
+
 def errors(df: DataFrame, feature_cols, model: AutoencoderModel, out: str = "ae_error") -> DataFrame:
     bc = df.sparkSession.sparkContext.broadcast(model)
 

@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 from ..functions.columns import epoch_sec, hashed_normal, hashed_uniform
 from ..schema import EVENT_COLUMNS
 
-MAX_SCENARIOS = 10_000
+# Scenarios up to this many are broadcast; more are joined by time bucket.
+BROADCAST_SCENARIOS = 10_000
+BUCKET_SECONDS = 3600
 
 SCENARIO_SCHEMA = T.StructType([
     T.StructField("priority", T.IntegerType(), False),
@@ -92,19 +94,33 @@ def _overlapping(scenarios: DataFrame) -> bool:
     return pairs.limit(1).count() > 0
 
 
-def match_scenarios(events: DataFrame, scenarios: DataFrame) -> DataFrame:
+def _match_by_bucket(events: DataFrame, scenarios: DataFrame, t, fields) -> DataFrame:
+    """First matching scenario by priority, any number of scenarios: intervals
+    are listed under every hour that they touch, and events meet them there."""
+    hour = lambda x: F.floor(x / BUCKET_SECONDS)
+    listed = scenarios.select(F.col("metric_name").alias("_sc_metric"), F.struct(*fields).alias("_one"),
+                              F.explode(F.sequence(hour(F.col("start_s")), hour(F.col("end_s")))).alias("_hour"))
+    hits = (events.select("event_id", "metric_name", "service", t.alias("_t"))
+            .join(listed, (F.col("metric_name") == F.col("_sc_metric")) & (hour(F.col("_t")) == F.col("_hour")))
+            .where((F.col("_one.start_s") <= F.col("_t")) & (F.col("_t") <= F.col("_one.end_s"))
+                   & (F.col("_one.service").isNull() | (F.col("_one.service") == F.col("service"))))
+            .groupBy("event_id").agg(F.min("_one").alias("_sc")))
+    return events.join(hits, "event_id", "left")
+
+
+def match_scenarios(events: DataFrame, scenarios: DataFrame, broadcast_rows: int = BROADCAST_SCENARIOS) -> DataFrame:
     """Add ``_sc`` (first matching scenario struct or null) and ``progress``.
 
     When no two scenarios can match the same event, this is a broadcast
     hash join on ``metric_name`` with the interval and service test as the
     join condition (codegen, at most one match per event). Otherwise every
-    event takes the first match, by priority, from its metric's scenario array."""
-    n = scenarios.count()
-    if n > MAX_SCENARIOS:
-        raise ValueError(f"scenario table has {n} rows; broadcast limit is {MAX_SCENARIOS}")
+    event takes the first match, by priority, from its metric's scenario array.
+    A scenario table too large to broadcast is joined on (metric, hour)."""
     t = epoch_sec("ts")
     fields = ("priority", "name", "start_s", "end_s", "service", "base_mean")
-    if not _overlapping(scenarios):
+    if scenarios.count() > broadcast_rows:
+        joined = _match_by_bucket(events, scenarios, t, fields)
+    elif not _overlapping(scenarios):
         sc = scenarios.select(F.col("metric_name").alias("_sc_metric"), F.struct(*fields).alias("_sc"))
         cond = ((F.col("metric_name") == F.col("_sc_metric")) & (F.col("_sc.start_s") <= t)
                 & (t <= F.col("_sc.end_s"))

@@ -1,26 +1,10 @@
-"""Small model/lookup tables: broadcast only with a checked size."""
+"""Lineage cuts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint in ``spark.checkpoint.dir``."""
     return df.checkpoint(eager=True)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    One bounded fetch (``limit(max_rows + 1)``) both proves the size and
-    yields the rows, which a broadcast would ship through the driver anyway;
-    they come back as a local relation. A larger table is returned unhinted so
-    the planner (and AQE at run time, from real sizes) picks a shuffle join."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -74,7 +74,6 @@ class ChartParams:
     # parallel (exact, by fixed-point iteration of segment start states)
     split_rows: int = 2_000_000
     segment_rows: int = 500_000
-    max_passes: int = 12
 
 
 @dataclass(frozen=True)
@@ -94,8 +93,9 @@ class AutoencoderParams:
     batch_size: int = 128
     epochs: int = 80
     epochs_per_round: int = 10
+    # fewest shards, and rows per shard: shards follow the data
     shards: int = 4
-    max_rows: int = 200_000
+    shard_rows: int = 50_000
     threshold_percentile: float = 97.5
     seed: int = 42
 

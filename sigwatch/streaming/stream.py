@@ -6,15 +6,17 @@
   under ``<state_dir>``; batch N reads the state of batch N-1 and writes its
   own, so a replayed batch recomputes the same output (idempotent sinks).
   The state stays distributed: one row per series / per alert key.
-* T5: ``dropDuplicatesWithinWatermark`` on ``event_id``.
-* T6: tumbling per-day KPI as a second, windowed aggregation query.
+* T5: repeated ``event_id`` rows are dropped against the ids seen so far
+  (a table by event date; a batch reads the dates that it holds), never by a
+  watermark, so a late row is never lost.
+* T6: tumbling per-day KPI as partial counts per micro-batch, summed on read.
 * T7: rates and latencies come from ``StreamingQueryProgress``.
 * U2: results of all micro-batches append into one table (``batch_id``
   partitions, replaced as a whole when a batch is replayed).
 
 Within a micro-batch rows are scored in event-time order per series; rows
 that arrive after later rows of their series were already scored are
-scored in arrival order (the watermark bounds how late they can be).
+scored in arrival order, however late they are.
 """
 
 from __future__ import annotations
@@ -43,6 +45,9 @@ RAW_EVENTS = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
+SEEN = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("batch_id", T.IntegerType()),
+                     T.StructField("_date", T.DateType())])
+
 CLOCK_STATE = T.StructType([T.StructField("bound_s", T.DoubleType()), T.StructField("late_rows", T.LongType())])
 
 COOL_STATE = T.StructType([T.StructField("service", T.StringType()),
@@ -50,12 +55,10 @@ COOL_STATE = T.StructType([T.StructField("service", T.StringType()),
                            T.StructField("last_fired_s", T.DoubleType())])
 
 
-def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1,
-                 watermark: str = "2 days", dedup: bool = True) -> DataFrame:
-    """S3 + T5: a stream of metric events from parquet files of the raw table."""
+def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
+    """S3: a stream of metric events from parquet files of the raw table."""
     raw = spark.readStream.schema(RAW_EVENTS).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
-    ev = adapt_events(raw).withWatermark("ts", watermark)
-    return ev.dropDuplicatesWithinWatermark(["event_id"]) if dedup else ev
+    return adapt_events(raw)
 
 
 def _state_path(state_dir: str, name: str, batch_id: int) -> str:
@@ -91,6 +94,7 @@ class StreamScorer:
         self.chart_p, self.alert_p, self.batch_rows = chart_p, alert_p, batch_rows
         self.hold_seconds = hold_seconds
         self.last_batch_id = -1
+        self.has_seen = False
 
     # -- T3: event-time ordered release ------------------------------------
     def _release(self, spark, s: DataFrame, batch_id: int, final: bool = False) -> DataFrame:
@@ -128,6 +132,23 @@ class StreamScorer:
             _state_path(self.state_dir, "clock", batch_id))
         return materialize(rel)
 
+    # -- T5 ------------------------------------------------------------------
+    def _unseen(self, spark, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Rows whose (date, event_id) no earlier batch has had, once each.
+        Only the dates in the batch are read from the table of seen ids, and
+        their number is bounded by the batch."""
+        batch = materialize(batch.dropDuplicates(["event_id"]).withColumn("_date", F.to_date("ts")))
+        path = os.path.join(self.state_dir, "seen")
+        dates = [r[0] for r in batch.select("_date").distinct().collect()]
+        out = batch
+        if self.has_seen:
+            seen = spark.read.schema(SEEN).parquet(path).where(F.col("_date").isin(dates) & (F.col("batch_id") < batch_id))
+            out = materialize(batch.join(seen.select("_date", "event_id"), ["_date", "event_id"], "left_anti"))
+        out.select("event_id", "_date").withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite") \
+           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "_date").parquet(path)
+        self.has_seen = True
+        return out.drop("_date")
+
     def flush(self, spark) -> None:
         """Score everything still held (end of an available-now run)."""
         bid = self.last_batch_id + 1
@@ -143,6 +164,7 @@ class StreamScorer:
         spark = batch.sparkSession
         m = self.models
         self.last_batch_id = max(self.last_batch_id, batch_id)
+        batch = self._unseen(spark, batch, batch_id)
         s = batch.withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type") \
                  .select(*EVENT_OUT)
         s = self._release(spark, s, batch_id, final)
@@ -208,14 +230,26 @@ def run_stream(spark: SparkSession, source_path: str, models: Models, out_dir: s
 
 
 def bucket_kpi_stream(spark: SparkSession, source_path: str, checkpoint_dir: str, out_path: str,
-                      bucket: str = "1 day", watermark: str = "2 days"):
-    """Tumbling per-bucket, per-service event counts (append mode)."""
-    ev = event_stream(spark, source_path, watermark=watermark, dedup=False)
-    agg = ev.groupBy(F.window("ts", bucket).alias("w"), "service").agg(F.count("*").alias("events"),
-                                                                       F.sum("value").alias("value_sum"))
-    out = agg.select(F.col("w.start").alias("bucket_start"), "service", "events", "value_sum")
-    return (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
-               .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+                      bucket: str = "1 day"):
+    """Tumbling per-bucket, per-service event counts. Every micro-batch
+    writes its own partial counts (replaced as a whole if it is replayed), so
+    no bucket waits for a watermark and late rows count; ``bucket_kpi_table``
+    sums them."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = batch.groupBy(F.window("ts", bucket).alias("w"), "service").agg(
+            F.count("*").alias("events"), F.sum("value").alias("value_sum"))
+        part.select(F.col("w.start").alias("bucket_start"), "service", "events", "value_sum",
+                    F.lit(int(batch_id)).alias("batch_id")) \
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
+
+    return (event_stream(spark, source_path).writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+
+
+def bucket_kpi_table(spark: SparkSession, out_path: str) -> DataFrame:
+    """The buckets of all micro-batches so far."""
+    return spark.read.parquet(out_path).groupBy("bucket_start", "service").agg(
+        F.sum("events").alias("events"), F.sum("value_sum").alias("value_sum"))
 
 
 def progress_rows(query) -> list[dict]:

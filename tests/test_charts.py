@@ -1,69 +1,76 @@
-"""Adaptive chart fold, cusum scan and Shewhart against plain loops."""
-
-from collections import deque
+"""Adaptive chart, cusum scan and Shewhart: recursive queries and properties."""
 
 import numpy as np
-import pandas as pd
+import pytest
 
 from sigwatch.operators import charts
+from sigwatch.operators.chart_fold import SeriesFold
 from sigwatch.plans import data
 from sigwatch.schema import ChartParams
 
 
-def loop_chart(base: pd.DataFrame, stream: pd.DataFrame, key, adaptive=True):
-    """Straightforward per-row loop with the reference's chart rules."""
-    out = {}
-    for k, g in stream.sort_values(["ts", "event_id"]).groupby(key, sort=False):
-        b = base[(base[key] == pd.Series(k if isinstance(k, tuple) else (k,), index=key)).all(axis=1)] \
-            if len(key) > 1 else base[base[key[0]] == (k[0] if isinstance(k, tuple) else k)]
-        b = b.sort_values(["ts", "event_id"])
-        win = deque(b["value"].tolist()[-500:], maxlen=500)
-        fit = (b["value"].mean(), b["value"].std(ddof=0) + 1e-8) if len(b) else None
-        cp = cn = 0.0
-        for _, r in g.iterrows():
-            if adaptive and len(win) >= 30:
-                a = np.array(win); m, s = a.mean(), a.std() + 1e-8
-            elif fit is not None:
-                m, s = fit
-            elif len(win):
-                a = np.array(win); m, s = a.mean(), a.std() + 1e-8
-            else:
-                m, s = 0.0, 1.0
-            z = (r["value"] - m) / s
-            cp = max(0.0, cp + z - 0.5)
-            cn = max(0.0, cn - z - 0.5)
-            rule = "3sigma" if abs(z) > 3 else "cusum_up" if cp > 5 else "cusum_down" if cn > 5 else ""
-            if rule == "" or not adaptive:
-                win.append(r["value"])
-            if rule in ("cusum_up", "cusum_down"):
-                cp = cn = 0.0
-            out[r["event_id"]] = (rule, round(z, 3), round(cp, 3))
-    return out
-
-
 def _frames(lev):
     cols = ["event_id", "ts", "service", "metric_name", "value"]
     return data.baseline(lev).select(*cols), data.stream(lev).select(*cols)
 
 
-def test_adaptive_chart_equals_loop(lev):
-    b, s = _frames(lev)
-    res = charts.adaptive_chart(s, b, ChartParams()).toPandas()
-    ref = loop_chart(b.toPandas(), s.toPandas(), ["metric_name"])
-    assert len(res) == len(ref)
-    bad = 0
-    for _, r in res.iterrows():
-        rule, z, cp = ref[r["event_id"]]
-        if r["rule_triggered"] != rule or abs(r["z_score"] - z) > 2e-3 or abs(r["cusum_pos"] - cp) > 2e-3:
-            bad += 1
-    assert bad == 0
-
-
-def test_fixed_chart_equals_loop(lev):
-    b, s = _frames(lev)
-    res = charts.adaptive_chart(s, b, ChartParams(adaptive=False)).toPandas()
-    ref = loop_chart(b.toPandas(), s.toPandas(), ["metric_name"], adaptive=False)
-    assert all(r["rule_triggered"] == ref[r["event_id"]][0] for _, r in res.iterrows())
+def _oracle(name):
+    import duckdb
+    from sigwatch.plans.sql import SQL
+    from conftest import SF01
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF01}/events.parquet')")
+    return con.execute(SQL[name]).df()
+
+
+@pytest.mark.parametrize("name", ["adaptive_control_chart", "fixed_control_chart"])
+def test_chart_equals_recursive_query(spark, name):
+    from conftest import SF01
+    from sigwatch.plans.registry import QUERIES
+    got = QUERIES[name](spark, SF01).toPandas()
+    want = _oracle(name)
+    for df in (got, want):
+        df["event_id"] = df["event_id"].astype(str)
+    got, want = (df.sort_values("event_id").reset_index(drop=True) for df in (got, want))
+    assert len(got) == len(want)
+    assert (got["rule_triggered"].fillna("") == want["rule_triggered"].fillna("")).all()
+
+
+def test_large_offset_keeps_the_deviation():
+    rng = np.random.default_rng(5)
+    for offset in (0.0, 1e7, 1e9):
+        v = rng.normal(0, 1, 3000) + offset
+        fold = SeriesFold(ChartParams(), window=v[:500])
+        got = fold.fold(v[500:])
+        clean = [x for x, flag in zip(v[500:], got["cc_is_anomaly"]) if not flag]
+        last = np.array(list(v[:500]) + clean)[-500:]
+        assert abs(got["control_std"][-1] - last.std()) < 0.05
+        assert sum(got["cc_is_anomaly"]) < 0.2 * 2500
+
+
+def test_values_that_are_no_numbers_leave_the_series_alone():
+    rng = np.random.default_rng(6)
+    v = rng.normal(50, 1, 2000)
+    holes = v.copy()
+    holes[::97] = np.nan
+    holes[::101] = np.inf
+    ok = np.isfinite(holes)
+    with_holes = SeriesFold(ChartParams(), window=v[:100]).fold(np.append(holes, 9999.0))
+    without = SeriesFold(ChartParams(), window=v[:100]).fold(np.append(v[ok], 9999.0))
+    kept = [z for z, good in zip(with_holes["z_score"], np.append(ok, True)) if good]
+    assert kept == without["z_score"]
+    assert with_holes["rule_triggered"][-1] == "3sigma"
+    assert all(z is None for z, good in zip(with_holes["z_score"], ok) if not good)
+
+
+def test_batches_do_not_matter_and_a_level_shift_is_frozen():
+    v = np.concatenate([np.full(200, 50.0) + np.tile([0.0, 1.0], 100), np.full(3000, 200.0)])
+    whole = SeriesFold(ChartParams()).fold(v)
+    parts = SeriesFold(ChartParams())
+    cut = [parts.fold(p) for p in np.array_split(v, 37)]
+    assert whole["rule_triggered"] == [r for p in cut for r in p["rule_triggered"]]
+    assert set(whole["rule_triggered"][200:]) == {"3sigma"}
+    assert len(set(whole["control_mean"][200:])) == 1
 
 
 def test_chart_properties(lev):
@@ -137,7 +144,7 @@ def test_segmented_chart_equals_sequential(lev):
     assert len(seg) == len(seq)
     for c in ("z_score", "cusum_pos", "cusum_neg", "control_mean", "rule_triggered", "cc_confidence"):
         assert (seg[c] == seq[c]).all(), c
-    # the dispatcher switches to segments for series above split_rows
+    # a series above split_rows is cut into many segments
     auto = charts.adaptive_chart(s, b, ChartParams(split_rows=100, segment_rows=700)).toPandas()
     auto = auto.set_index("event_id").sort_index()
     assert (auto["rule_triggered"] == seq["rule_triggered"]).all()
