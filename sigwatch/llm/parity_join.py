@@ -188,16 +188,23 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 # ---- what the first links leave open ------------------------------------------
 
-def _block_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """From (key, node, component, n, words): the (u, v) of different
-    components, sizes and sketches that admit a link. A key's members are dealt
-    into blocks of about ``block`` by a hash; every pair of blocks is one group."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    rows = (members.join(sizes, "key").withColumn("mine", mine)
+def _blocks(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """From (key, node, component): (key, p, q, mine, node, component). Of keys
+    with equal members one is left. A key's members are dealt into blocks of
+    about ``block`` by a hash; every pair of blocks (p, q) is one group."""
+    sizes = (members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                        F.bit_xor(F.xxhash64(F.lit(1), F.col("node"))).alias("y"))
+             .groupBy("n", "x", "y").agg(F.min("key").alias("key"))
+             .select("key", F.ceil(F.col("n") / block).alias("blocks")))
+    return (members.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")))
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .select("key", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"),
-                    "mine", "node", "component", "n", "words"))
+                    "mine", "node", "component"))
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """From the groups' rows with sizes and sketches (n, words): the (u, v) of
+    different components whose sizes and sketches admit a link."""
 
     def admitted(group):
         _, p, q, mine, node, component, n, words = (np.array(c) for c in zip(*group))
@@ -267,9 +274,10 @@ def classes(docs: DataFrame) -> DataFrame:
     # a node's sketch is held by any document of its set
     holder = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     words = F.when(F.col("key").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1)), F.col("own")).otherwise(F.col("next"))
-    members = (members.join(holder, "node").join(linkable.where(F.size("own") > 0).select("doc_id", "n", "band", "own", "next"), "doc_id")
-               .select("key", "node", "component", "n", words.alias("words")))
-    second = verified(docs, _block_pairs(members))
+    rows = (_blocks(members).join(holder, "node")
+            .join(linkable.where(F.size("own") > 0).select("doc_id", "n", "band", "own", "next"), "doc_id")
+            .select("key", "p", "q", "mine", "node", "component", "n", words.alias("words")))
+    second = verified(docs, _block_pairs(rows))
     labels = components(first.union(second))
     classed = _labelled(equal, labels, "node", "component_id").select("hi", "lo", "component_id")
     return (sets.select("doc_id", F.col("n").alias("n_shingles"), "hi", "lo").join(classed, ["hi", "lo"], "left")
