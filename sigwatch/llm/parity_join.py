@@ -4,15 +4,16 @@ Every text becomes its set of word shingles (64-bit hashes). A set's parity
 sketch is a bit vector in which each shingle flips one bit: the Hamming
 distance of two sketches never exceeds the symmetric difference of the sets.
 Linked sets of a size band differ in fewer shingles than the band's sketch has
-parts, so by the pigeonhole principle they agree in at least one part. Joining
-on (band, part number, part) therefore loses no link.
+parts, so by the pigeonhole principle they agree in ``shared_in`` parts or
+more. Joining on (band, part number, part) therefore loses no link.
 
 1. Equal sets are linked by a 128-bit digest (a partial aggregate).
 2. Documents that share a key are linked to the key's smallest document where
    the sets, recomputed from the texts, are similar enough: each document is
    tried with the smallest document of most of its keys. Verified links are
    joined to components.
-3. Only keys whose documents are in different components are left. Their pairs
+3. Only keys whose documents are in different components are left, and of their
+   documents those that have as many such keys as linked sets share. Pairs
    are compared sketch against sketch in numpy, in blocks of bounded size; no
    pair is a row unless the Hamming distance admits the link. Those pairs are
    verified on the texts as well.
@@ -37,7 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import as_batch, staged, start
 from .components import components
-from .shingles import DEN, NUM, bands_of, difference_limit, linked, part_words, shingle_set, shingle_sets
+from .shingles import (DEN, EDGES, NARROW, NUM, bands_of, difference_limit, linked, own_band, part_words, parts_of,
+                       shared_in, shingle_set, shingle_sets)
 
 #: Bits of the filter that spares texts without a candidate the shuffle.
 FILTER_BITS = 1 << 23
@@ -69,14 +71,12 @@ def sketched(docs: DataFrame) -> DataFrame:
             for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist())):
                 digest = blake2b(s.tobytes(), digest_size=16).digest()
                 hi, lo = np.frombuffer(digest, "<i8").tolist()
-                bands = bands_of(len(s)) if len(s) else [0]
-                rows.append((doc_id, len(s), hi, lo, bands[0]))
-                if not len(s) or doc_id is None or digest in seen:
-                    bands = []
-                else:
-                    seen.add(digest)
-                own.append(part_words(s, bands[0]).ravel() if bands else empty)
-                following.append(part_words(s, bands[1]).ravel() if len(bands) > 1 else empty)
+                band = own_band(len(s))
+                rows.append((doc_id, len(s), hi, lo, band))
+                bands = bands_of(len(s)) if len(s) and doc_id is not None and digest not in seen else []
+                seen.add(digest)
+                own.append(part_words(s, band).ravel() if band in bands else empty)
+                following.append(part_words(s, band + 1).ravel() if band + 1 in bands else empty)
             yield pa.RecordBatch.from_arrays([*as_batch(rows, _HEAD).columns, _lists(own), _lists(following)],
                                              [*(n for n, _ in _HEAD), "own", "next"])
 
@@ -101,7 +101,6 @@ def _folded(words: Column) -> Column:
 
 
 def _first_wide() -> int:
-    from .shingles import EDGES, NARROW, parts_of
     return next(b for b in range(len(EDGES) - 1) if parts_of(b) > NARROW)
 
 
@@ -239,6 +238,23 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
             .mapInArrow(compare, "u long, v long").distinct())
 
 
+def _shared(band: Column) -> Column:
+    """Parts that linked sets of a band share at least."""
+    return F.element_at(F.array(*(F.lit(shared_in(b)) for b in range(len(EDGES) - 1))), (band + 1).cast("int"))
+
+
+def _open(members: DataFrame, holder: DataFrame) -> DataFrame:
+    """The (key, node, component) that can still hold a link: keys of several
+    components, and nodes with at least as many of them, in one band, as
+    linked sets share."""
+    span = members.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    mixed = members.join(span.where("a <> b").select("key"), "key", "left_semi").withColumn("odd", F.col("key").bitwiseAND(F.lit(1)))
+    enough = (mixed.groupBy("node", "odd").agg(F.count("*").alias("keys")).join(holder.select("node", "band"), "node")
+              .where(F.col("keys") >= _shared(F.col("band") + F.when(F.col("odd") == F.col("band").bitwiseAND(F.lit(1)), 0).otherwise(1)))
+              .select("node", "odd"))
+    return mixed.join(enough, ["node", "odd"], "left_semi").select("key", "node", "component")
+
+
 def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
     """Adds the component of a node; a node without links is its own."""
     label = labels.select(F.col("node").alias(node), F.col("component").alias("_c"))
@@ -253,30 +269,32 @@ def classes(docs: DataFrame) -> DataFrame:
     linkable = sets.where("n > 0 and doc_id is not null")
     equal = staged(linkable.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")), "equal-sets")
     # one row per document that has sketches, with the node of its set
-    nodes = staged(linkable.where(F.size("own") > 0).select("doc_id", "hi", "lo").join(equal, ["hi", "lo"])
-                   .groupBy("doc_id").agg(F.min("node").alias("node")), "nodes")
+    held = linkable.where("size(own) + size(next) > 0")
+    nodes = staged(held.select("doc_id", "hi", "lo", "band").join(equal, ["hi", "lo"])
+                   .groupBy("doc_id").agg(F.min("node").alias("node"), F.min("band").alias("band")), "nodes")
     star = stars(keyed(sets))
-    star = (star.join(nodes.withColumnRenamed("node", "v"), "doc_id")
+    star = (star.join(nodes.select("doc_id", F.col("node").alias("v"), "band"), "doc_id")
             .join(nodes.select(F.col("doc_id").alias("pivot"), F.col("node").alias("u")), "pivot")
-            .where("u <> v").select("key", "u", "v"))
+            .where("u <> v").select("key", "u", "v", "band"))
     star = staged(star, "stars")
 
-    shared = star.groupBy("u", "v").agg(F.count("*").alias("keys"))
+    # half of what linked sets share: a document's keys may have several pivots
+    shared = (star.groupBy("u", "v").agg(F.count("*").alias("keys"), F.min("band").alias("band"))
+              .where(2 * F.col("keys") >= _shared(F.col("band"))))
     best = shared.groupBy("v").agg(F.max_by("u", F.struct("keys", -F.col("u"))).alias("u"))
     first = verified(docs, best)
     labels = components(first)
 
-    marked = staged(_labelled(_labelled(star, labels, "u", "cu"), labels, "v", "cv"), "open")
-    span = marked.groupBy("key").agg(F.min(F.least("cu", "cv")).alias("a"), F.max(F.greatest("cu", "cv")).alias("b"))
-    mixed = marked.join(span.where("a <> b").select("key"), "key", "left_semi")
-    members = (mixed.select("key", F.col("u").alias("node"), F.col("cu").alias("component"))
-               .union(mixed.select("key", "v", "cv")).distinct())
-    # a node's sketch is held by any document of its set
-    holder = nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    words = F.when(F.col("key").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1)), F.col("own")).otherwise(F.col("next"))
-    rows = (_blocks(members).join(holder, "node")
-            .join(linkable.where(F.size("own") > 0).select("doc_id", "n", "band", "own", "next"), "doc_id")
-            .select("key", "p", "q", "mine", "node", "component", "n", words.alias("words")))
+    marked = _labelled(_labelled(star, labels, "u", "cu"), labels, "v", "cv")
+    members = (marked.select("key", F.col("u").alias("node"), F.col("cu").alias("component"))
+               .union(marked.select("key", "v", "cv")).distinct())
+    holder = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("band").alias("band")), "holders")
+    for _ in range(2):  # fewer keys leave documents with too few, and so on
+        members = staged(_open(members, holder), "open")
+    own = F.col("key").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1))
+    rows = (_blocks(members).join(holder.select("node", "doc_id"), "node")
+            .join(held.select("doc_id", "n", "band", "own", "next"), "doc_id")
+            .select("key", "p", "q", "mine", "node", "component", "n", F.when(own, F.col("own")).otherwise(F.col("next")).alias("words")))
     second = verified(docs, _block_pairs(rows))
     labels = components(first.union(second))
     classed = _labelled(equal, labels, "node", "component_id").select("hi", "lo", "component_id")

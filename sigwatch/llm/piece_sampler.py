@@ -48,7 +48,10 @@ BYTE_PENALTY = 4.0
 #: Added to a rank before its logarithm: flattens the head of the Zipf law.
 RANK_SHIFT = 10.0
 #: Filters that a Python worker keeps (about half a kilobyte each).
-KEPT_SEGMENTS = 400_000
+KEPT_SEGMENTS = 100_000
+
+#: Rows whose segments are drawn together.
+ROWS = 200
 
 _MARK = "▁"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -302,7 +305,9 @@ def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: flo
         lattice = worker_lattice(model, alpha)
         for batch in batches:
             keys, texts = (c.to_pylist() for c in batch.columns)
-            ids = encode_batch(lattice, keys, texts, seed)
+            ids = []
+            for a in range(0, len(keys), ROWS):  # bounds the draws that are held at once
+                ids += encode_batch(lattice, keys[a:a + ROWS], texts[a:a + ROWS], seed)
             same = [decode(lattice.vocab, None if i is None else i.tolist()) == t for i, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())),

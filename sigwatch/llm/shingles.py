@@ -96,6 +96,11 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * common >= NUM * (len(a) + len(b) - common)
 
 
+def difference_limit(a, b):
+    """Largest symmetric difference of linked sets of these sizes."""
+    return (a + b) * (DEN - NUM) // (DEN + NUM)
+
+
 # ---- size bands --------------------------------------------------------------
 
 def band_edges(limit: int = 1 << 40) -> list[int]:
@@ -109,18 +114,33 @@ def band_edges(limit: int = 1 << 40) -> list[int]:
 EDGES = np.array(band_edges(), dtype=np.int64)
 
 
+def difference_in(band: int) -> int:
+    """Largest symmetric difference of two linked sets whose larger one is in
+    the band: with J >= t it is at most (a + b)(1 - t)/(1 + t)."""
+    return difference_limit(2 * (int(EDGES[band + 1]) - 1), 0)
+
+
+def shared_in(band: int) -> int:
+    """Parts that linked sets share at least. More than one, so that sets which
+    agree in a part by chance (mostly an empty one) are told from linked ones."""
+    return 1 + difference_in(band) // 8
+
+
 def parts_of(band: int) -> int:
-    """One more than the largest symmetric difference of two linked sets whose
-    larger one is in the band: with J >= t it is at most (a + b)(1 - t)/(1 + t)."""
-    largest = int(EDGES[band + 1]) - 1
-    return 2 * largest * (DEN - NUM) // (DEN + NUM) + 1
+    """Each differing shingle spoils one part, so ``shared_in`` parts are left."""
+    return difference_in(band) + shared_in(band)
+
+
+def own_band(n: int) -> int:
+    return max(0, int(np.searchsorted(EDGES, n, "right")) - 1)
 
 
 def bands_of(n: int) -> list[int]:
     """Bands in which a set of n shingles is looked up: its own, and the next
     one if a linked larger set can be there. Linked sets share a band."""
-    own = int(np.searchsorted(EDGES, n, "right")) - 1
-    return [own, own + 1] if DEN * n >= NUM * int(EDGES[own + 1]) else [own]
+    own = own_band(n)
+    bands = [own, own + 1] if DEN * n >= NUM * int(EDGES[own + 1]) else [own]
+    return [b for b in bands if difference_in(b)]  # no difference: equal sets, found by digest
 
 
 def sketch(s: np.ndarray, parts: int) -> np.ndarray:
@@ -136,7 +156,7 @@ def sketch(s: np.ndarray, parts: int) -> np.ndarray:
 
 #: Words per part where a band has at most this many parts: with so few
 #: shingles a single 64-bit word would not tell sets apart.
-NARROW, WIDE = 2, 16
+NARROW, WIDE = 3, 16
 
 
 def part_words(s: np.ndarray, band: int) -> np.ndarray:
@@ -144,8 +164,3 @@ def part_words(s: np.ndarray, band: int) -> np.ndarray:
     parts = parts_of(band)
     width = WIDE if parts <= NARROW else 1
     return sketch(s, width * parts).reshape(parts, width)
-
-
-def difference_limit(a, b):
-    """Largest symmetric difference of linked sets of these sizes."""
-    return (a + b) * (DEN - NUM) // (DEN + NUM)
