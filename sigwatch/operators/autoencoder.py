@@ -1,10 +1,9 @@
 """Autoencoder detector: data-parallel training by parameter mixing.
 
-Training rows (a bounded hash sample of the baseline) are hashed into a
-fixed number of shards. Each round every shard runs a few local SGD epochs
+All training rows are hashed into shards whose number follows the data. Each round every shard runs a few local SGD epochs
 from the current weights inside ``applyInPandas`` and returns its weights,
-row count and epoch losses; the driver averages the weights by row count
-(only ``shards`` x parameter-count numbers cross to the driver). Scoring is
+row count and epoch losses; Spark averages the weights by row count (one
+row per weight comes to the driver). Scoring is
 an Arrow ``pandas_udf`` with the weights broadcast.
 """
 
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import AutoencoderParams
+from .quantiles import percentiles
 from .small import materialize
 
 SHARD_SCHEMA = T.StructType([
@@ -154,7 +154,7 @@ def fit_autoencoder(train: DataFrame, feature_cols, p: AutoencoderParams = Autoe
         history += list(_averaged(res, "losses"))
     model = AutoencoderModel(vec, n_in, p, mean, std, losses=history)
     errs = errors(data, cols, model, "_e")
-    model.threshold = float(errs.agg(F.percentile("_e", p.threshold_percentile / 100.0)).first()[0])
+    model.threshold = float(percentiles(errs, "_e", {"thr": p.threshold_percentile / 100.0}).first()["thr"])
     return model
 
 

@@ -73,12 +73,35 @@ def metric_index(baseline: DataFrame) -> DataFrame:
                 .withColumn("m_count", F.count("*").over(Window.partitionBy()))
 
 
-def autoencoder_features(df: DataFrame, metric_idx: DataFrame) -> DataFrame:
+def one_row_batches(df: DataFrame) -> DataFrame:
+    """W2 + W3 where every row is its own batch: no window is needed."""
+    return (df.withColumn("f_diff", F.lit(0.0))
+              .withColumn("f_roll_ratio", F.col("value") / (F.col("value") + F.lit(1e-8))))
+
+
+#: Rows per block of a whole-sequence feature window, and rows that the
+#: longest window looks back.
+SEQUENCE_BLOCK, LOOK_BACK = 10_000, 49
+
+
+def whole_sequence(df: DataFrame, features) -> DataFrame:
+    """``features`` over all rows as one sequence (the baseline): blocks of
+    ``SEQUENCE_BLOCK`` rows, each with a copy of the last ``LOOK_BACK`` rows
+    of the block before, so no window is larger than a block."""
+    rows = add_row_index(df)
+    block = F.floor(F.col("row_idx") / SEQUENCE_BLOCK).cast("long")
+    tail = F.col("row_idx") % SEQUENCE_BLOCK >= SEQUENCE_BLOCK - LOOK_BACK
+    places = F.when(tail, F.array(block, block + 1)).otherwise(F.array(block))
+    out = features(rows.select("*", F.explode(places).alias("batch_key")))
+    return out.where(F.col("batch_key") == block)
+
+
+def autoencoder_features(df: DataFrame, metric_idx: DataFrame, one_row: bool = False) -> DataFrame:
     """``[v, log1p|v|, v^2/1e6, diff, v/(roll50+1e-8), metric_pos/n]``;
     an unseen metric maps to position 0."""
     n_metrics = metric_idx.count()
     mi = metric_idx.select("metric_name", F.col("m_pos").cast("int").alias("m_pos"))
-    d = with_rolling_ratio(with_diff(df))
+    d = one_row_batches(df) if one_row else with_rolling_ratio(with_diff(df))
     d = d.join(mi.select("metric_name", "m_pos"), "metric_name", "left")
     return (d.withColumn("f_value", F.col("value"))
              .withColumn("f_log", log_magnitude())

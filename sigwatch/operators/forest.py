@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ForestParams
+from .quantiles import percentiles
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -177,12 +178,11 @@ def fit_forest(train: DataFrame, feature_cols, params: ForestParams = ForestPara
     sample_size = min(params.sample, n_rows)
     forest = Forest.from_nodes(nodes, sample_size, mean, std)
     # contamination offset and threshold from the training scores (Q9), one
-    # pass: percentiles are shift-equivariant, so the threshold on the shifted
+    # selection: percentiles are shift-equivariant, so the threshold on the shifted
     # scores is the plain percentile minus the offset
     scored = score(train, cols, forest, "_s")
     thr_pct = (100.0 - params.threshold_percentile) / 100.0
-    p_off, p_thr = scored.agg(F.percentile("_s", F.array(F.lit(params.contamination),
-                                                         F.lit(thr_pct)))).first()[0]
+    p_off, p_thr = percentiles(scored, "_s", {"off": params.contamination, "thr": thr_pct}).first()
     forest.offset = float(p_off)
     forest.threshold = float(p_thr) - forest.offset
     return forest

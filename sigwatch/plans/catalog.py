@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import derived_event_id, epoch_ms, fround, severity
 from ..operators import charts
 from ..operators.inject import scenario_matches
+from ..operators.quantiles import percentiles
 from ..sources.events import flatten_envelopes, load_events, split_valid
 from . import data
 
@@ -54,9 +55,8 @@ def metric_baseline_stats(spark, sf_dir):
 def percentile_thresholds(spark, sf_dir):
     """A2: linear-interpolation percentiles (2nd and 97.5th) per metric."""
     b = data.baseline(_lev(spark, sf_dir))
-    return b.groupBy("metric_name").agg(
-        r(F.percentile("value", 0.02)).alias("p02"),
-        r(F.percentile("value", 0.975)).alias("p975"))
+    p = percentiles(b, "value", {"p02": 0.02, "p975": 0.975}, ("metric_name",))
+    return p.select("metric_name", r("p02").alias("p02"), r("p975").alias("p975"))
 
 
 def dataset_summary(spark, sf_dir):
@@ -215,11 +215,6 @@ def indexed_stream(spark, sf_dir):
     return FT.add_row_index(data.stream(lev), batch_rows=BATCH)
 
 
-def indexed_baseline(spark, sf_dir):
-    lev = _lev(spark, sf_dir)
-    return FT.add_row_index(data.baseline(lev), batch_rows=BATCH)
-
-
 def micro_batch_index(spark, sf_dir):
     """Exact stream position and 500-row batch key (no global window)."""
     return indexed_stream(spark, sf_dir).select("event_id", "row_idx", "batch_key")
@@ -233,7 +228,7 @@ def forest_features_q(spark, sf_dir):
 
 def forest_scaler_q(spark, sf_dir):
     """Standard scaler of the baseline forest features (std 0 -> 1)."""
-    f = FT.forest_features(indexed_baseline(spark, sf_dir))
+    f = FT.whole_sequence(data.baseline(_lev(spark, sf_dir)), FT.forest_features)
     s = FT.scaler(f, FT.FOREST_FEATURES, zero_std_to_one=True)
     return s.select(*[r(c).alias(c) for c in s.columns])
 
@@ -247,8 +242,9 @@ def autoencoder_features_q(spark, sf_dir):
 
 def autoencoder_scaler_q(spark, sf_dir):
     """Mean / population std of the baseline autoencoder features."""
-    b = indexed_baseline(spark, sf_dir)
-    f = FT.autoencoder_features(b, FT.metric_index(b))
+    b = data.baseline(_lev(spark, sf_dir))
+    mi = FT.metric_index(b)
+    f = FT.whole_sequence(b, lambda rows: FT.autoencoder_features(rows, mi))
     s = FT.scaler(f, FT.AE_FEATURES, zero_std_to_one=False)
     return s.select(*[r(c).alias(c) for c in s.columns])
 
@@ -311,10 +307,13 @@ TRIO_WEIGHTS = {"Shewhart": 0.35, "Cusum": 0.35, "ControlCharts": 0.30}
 COOLDOWN_SEC = 86400.0
 
 
-def trio_scored(spark, sf_dir) -> DataFrame:
+def trio_scored(spark, sf_dir, metric: str | None = None) -> DataFrame:
     """Stream rows with the three detectors' votes and confidences; labels
-    are renamed to ``label`` / ``label_type``."""
+    are renamed to ``label`` / ``label_type``. Every detector works within a
+    metric, so a wanted ``metric`` is picked before they run."""
     lev = _lev(spark, sf_dir)
+    if metric is not None:
+        lev = lev.where(F.col("metric_name") == metric)
     base = data.baseline(lev).select("event_id", "ts", "service", "metric_name", "value")
     s = (data.stream(lev).withColumnRenamed("is_anomaly", "label")
          .withColumnRenamed("anomaly_type", "label_type")
@@ -329,8 +328,8 @@ def trio_scored(spark, sf_dir) -> DataFrame:
     return charts.adaptive_chart(cu, base, ChartParams())
 
 
-def fused(spark, sf_dir, strategy="majority_vote"):
-    return EN.fuse(trio_scored(spark, sf_dir), TRIO, strategy, TRIO_WEIGHTS)
+def fused(spark, sf_dir, strategy="majority_vote", metric: str | None = None):
+    return EN.fuse(trio_scored(spark, sf_dir, metric), TRIO, strategy, TRIO_WEIGHTS)
 
 
 def _fuse_q(strategy):
@@ -445,7 +444,7 @@ def lag_sla_q(spark, sf_dir):
 
 def kpi_row(spark, sf_dir):
     """A12 + V6: one-row run summary of the fused detector."""
-    f = fused(spark, sf_dir)
+    f = materialize(fused(spark, sf_dir))  # read by four aggregates
     long = EV.unpivot_methods(f, METHODS[3:])
     q = EV.confusion(long).select("precision", "recall", "f1")
     lag = EV.mean_lag(EV.detection_lag(long)).select("avg_lag_sec")
@@ -465,7 +464,7 @@ def confidence_histogram_q(spark, sf_dir):
 
 def timeline_rows(spark, sf_dir, metric="view", n=800):
     """W11 + V1: first ``n`` rows of one metric with flag, label and confidence."""
-    f = fused(spark, sf_dir).where(F.col("metric_name") == metric)
+    f = fused(spark, sf_dir, metric=metric)
     head = f.orderBy("ts", "event_id").limit(n)
     w = Window.orderBy("ts", "event_id")
     return head.select(F.row_number().over(w).cast("long").alias("idx"), "event_id", "value", "label",
@@ -494,7 +493,7 @@ def _fit_inputs(spark, sf_dir):
     lev = _lev(spark, sf_dir)
     base = data.baseline(lev)
     mi = FT.metric_index(base)
-    b = FT.autoencoder_features(FT.add_row_index(base, batch_rows=BATCH), mi).select("event_id", *FT.AE_FEATURES)
+    b = FT.whole_sequence(base, lambda rows: FT.autoencoder_features(rows, mi)).select("event_id", *FT.AE_FEATURES)
     b = materialize(b)  # read by several fit jobs
     s = FT.autoencoder_features(FT.add_row_index(data.stream(lev), batch_rows=BATCH), mi)
     return b, s
@@ -562,7 +561,7 @@ def prediction_alignment(spark, sf_dir):
 
 def service_counters(spark, sf_dir):
     """A10: per service: requests scored, anomalies detected, alerts fired."""
-    f = fused(spark, sf_dir)
+    f = materialize(fused(spark, sf_dir).select(*AL.KEY, "event_id", "ts", "is_anomaly"))  # read twice
     fired = AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC).select("event_id").withColumn("_fired", F.lit(1))
     j = f.join(fired, "event_id", "left")
     return j.groupBy("service").agg(F.count("*").alias("requests"),

@@ -34,10 +34,10 @@ class Models:
 
 
 def fit(baseline: DataFrame, forest_p: ForestParams = ForestParams(),
-        ae_p: AutoencoderParams = AutoencoderParams(), batch_rows: int = 500) -> Models:
-    """F7 fit: both models on the baseline features (500-row batches)."""
+        ae_p: AutoencoderParams = AutoencoderParams()) -> Models:
+    """F7 fit: both models on the baseline features (one whole sequence)."""
     mi = FT.metric_index(baseline)
-    b = FT.autoencoder_features(FT.add_row_index(baseline, batch_rows=batch_rows), mi)
+    b = FT.whole_sequence(baseline, lambda rows: FT.autoencoder_features(rows, mi))
     # the training table is read by several fit jobs: write it once
     b = materialize(b.select("event_id", *FT.AE_FEATURES))
     forest = IF.fit_forest(b, FT.FOREST_FEATURES, forest_p)
@@ -59,11 +59,14 @@ def score(stream: DataFrame, models: Models, chart_p: ChartParams = ChartParams(
         # the index is checkpointed: series sizes come from a cheap read
         size = charts.series_size(s, list(chart_p.series_key))
     else:
-        s = s.withColumn("batch_key", F.xxhash64("event_id"))
-    f = FT.autoencoder_features(s, models.metric_index)
+        s = s.withColumn("batch_key", F.lit(None).cast("long"))
+    f = FT.autoencoder_features(s, models.metric_index, one_row=not batch_rows)
     f = IF.decision(f, FT.FOREST_FEATURES, models.forest)
-    f = FT.batch_minmax_confidence(f, "if_decision", "_ifc")
-    f = f.withColumn("if_confidence", F.round("_ifc", 4))
+    if batch_rows:
+        f = FT.batch_minmax_confidence(f, "if_decision", "_ifc")
+        f = f.withColumn("if_confidence", F.round("_ifc", 4))
+    else:  # a batch of one row is flat
+        f = f.withColumn("if_confidence", F.lit(0.0))
     f = AE.score(f, FT.AE_FEATURES, models.autoencoder)
     f = f.select(*EVENT_OUT, "batch_key", "if_score", "if_is_anomaly", "if_confidence",
                  "reconstruction_error", "ae_is_anomaly", "ae_confidence")
@@ -75,6 +78,6 @@ def score(stream: DataFrame, models: Models, chart_p: ChartParams = ChartParams(
 def run(spark: SparkSession, sf_dir: str, params: RunParams = RunParams(),
         forest_p: ForestParams = ForestParams(), ae_p: AutoencoderParams = AutoencoderParams()):
     lev = data.labelled_events(spark, sf_dir, params)
-    models = fit(data.baseline(lev, params), forest_p, ae_p, params.batch_rows)
+    models = fit(data.baseline(lev, params), forest_p, ae_p)
     return models, score(data.stream(lev, params), models, batch_rows=params.batch_rows,
                          strategy=params.fusion, weights=params.weights)

@@ -160,10 +160,10 @@ SQL["micro_batch_index"] = L + _IDX + """
 SELECT event_id, row_idx, batch_key FROM sb"""
 
 
-def _ffeat(src: str) -> str:
+def _ffeat(src: str, part: str = "PARTITION BY batch_key") -> str:
     return f"""SELECT *, value AS f_value, ln(1 + abs(value)) AS f_log,
-       coalesce(value - lag(value) OVER (PARTITION BY batch_key ORDER BY ts, event_id), 0.0) AS f_diff,
-       value / (avg(value) OVER (PARTITION BY batch_key ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) + 1e-8::DOUBLE) AS f_roll_ratio,
+       coalesce(value - lag(value) OVER ({part} ORDER BY ts, event_id), 0.0) AS f_diff,
+       value / (avg(value) OVER ({part} ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) + 1e-8::DOUBLE) AS f_roll_ratio,
        value * value / 1e6::DOUBLE AS f_sq
 FROM {src}"""
 
@@ -173,7 +173,7 @@ ff AS ({_ffeat('sb')})
 SELECT event_id, batch_key, round(f_value, 4) AS f_value, round(f_log, 4) AS f_log, round(f_diff, 4) AS f_diff FROM ff"""
 
 SQL["forest_scaler"] = L + _IDX + f""",
-ff AS ({_ffeat('bb')})
+ff AS ({_ffeat('bi', '')})
 SELECT """ + ", ".join(
     f"round(avg({c}), 4) AS {c}_mean, round(CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END, 4) AS {c}_std"
     for c in ("f_value", "f_log", "f_diff")) + " FROM ff"
@@ -191,7 +191,7 @@ fa AS (SELECT ff.*, coalesce(mi.m_pos, 0) / (SELECT m_count FROM mn)::DOUBLE AS
 SELECT event_id, """ + ", ".join(f"round({c}, 4) AS {c}" for c in _AE_COLS) + " FROM fa"
 
 SQL["autoencoder_scaler"] = L + _IDX + _MI + f""",
-ff AS ({_ffeat('bb')}),
+ff AS ({_ffeat('bi', '')}),
 fa AS (SELECT ff.*, coalesce(mi.m_pos, 0) / (SELECT m_count FROM mn)::DOUBLE AS f_metric
        FROM ff LEFT JOIN mi USING (metric_name))
 SELECT """ + ", ".join(f"round(avg({c}), 4) AS {c}_mean, round(stddev_pop({c}), 4) AS {c}_std"

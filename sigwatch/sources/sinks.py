@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.alerts import pagerduty_json, slack_json
+from ..operators.small import materialize
 
 AUDIT_COLUMNS = ["event_id", "timestamp", "service", "metric_name", "value", "is_anomaly",
                  "ensemble_confidence", "severity", "votes", "detector_confidences", "fusion_strategy"]
@@ -20,8 +21,7 @@ def audit_rows(results: DataFrame, batch_id: int | None = None) -> DataFrame:
         "value", "is_anomaly", "ensemble_confidence", "severity", "votes", "detector_confidences",
         "fusion_strategy",
         F.current_timestamp().alias("_audit_ts"),
-        F.date_format("ts", "yyyy-MM-dd").alias("date"),
-        F.col("service").alias("_partition_service"))
+        F.date_format("ts", "yyyy-MM-dd").alias("date"))
     if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(int(batch_id)))
     return out
@@ -31,7 +31,7 @@ def write_audit(results: DataFrame, path: str, fmt: str = "parquet", batch_id: i
     """``date=/service=`` layout (plus ``batch_id=`` for stream batches, with
     dynamic partition overwrite so a replayed batch replaces only itself)."""
     rows = audit_rows(results, batch_id)
-    parts = ["date", "_partition_service"] + (["batch_id"] if batch_id is not None else [])
+    parts = ["date", "service"] + (["batch_id"] if batch_id is not None else [])
     w = rows.write.format(fmt).partitionBy(*parts)
     if batch_id is not None:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -63,7 +63,7 @@ def read_audit_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
     raw = (spark.read.schema(AUDIT_JSON_SCHEMA).option("multiLine", "true")
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
            .json(path))
-    raw = raw.cache()  # Spark requires it before filtering on the corrupt column alone
+    raw = materialize(raw)  # Spark does not filter files on the corrupt column alone
     bad = raw.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
     good = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     good = good.withColumn("is_anomaly", _bool(F.col("is_anomaly"))) \
@@ -85,4 +85,4 @@ def write_alert_log(alerts: DataFrame, path: str) -> None:
 
 def write_report(df: DataFrame, path: str) -> None:
     """Small report tables (evaluation, lag) as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)

@@ -65,21 +65,30 @@ def _state_path(state_dir: str, name: str, batch_id: int) -> str:
     return os.path.join(state_dir, name, f"batch={batch_id}")
 
 
-def _latest_state(spark: SparkSession, state_dir: str, name: str, batch_id: int, schema):
-    """State written by the newest earlier batch (batch ids may skip). Lists
-    through the Hadoop file system, so any shared store works."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def _written_batches(spark: SparkSession, state_dir: str, name: str) -> list[int]:
+    """Ids of the batches whose state was written whole. Lists through the
+    Hadoop file system, so any shared store works."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(os.path.join(state_dir, name))
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(base):
-        return None
-    prev = []
+        return []
+    found = []
     for st in fs.listStatus(base):
         d = st.getPath().getName()
         if d.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            b = int(d.split("=", 1)[1])
-            if b < batch_id:
-                prev.append(b)
+            found.append(int(d.split("=", 1)[1]))
+    return found
+
+
+def _latest_state(spark: SparkSession, state_dir: str, name: str, batch_id: int, schema):
+    """State written by the newest earlier batch (batch ids may skip)."""
+    prev = [b for b in _written_batches(spark, state_dir, name) if b < batch_id]
     if not prev:
         return None
     return spark.read.schema(schema).parquet(_state_path(state_dir, name, max(prev)))
@@ -141,7 +150,7 @@ class StreamScorer:
         path = os.path.join(self.state_dir, "seen")
         dates = [r[0] for r in batch.select("_date").distinct().collect()]
         out = batch
-        if self.has_seen:
+        if self.has_seen or _exists(spark, path):  # an earlier run of the query may have written it
             seen = spark.read.schema(SEEN).parquet(path).where(F.col("_date").isin(dates) & (F.col("batch_id") < batch_id))
             out = materialize(batch.join(seen.select("_date", "event_id"), ["_date", "event_id"], "left_anti"))
         out.select("event_id", "_date").withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite") \
@@ -151,7 +160,9 @@ class StreamScorer:
 
     def flush(self, spark) -> None:
         """Score everything still held (end of an available-now run)."""
-        bid = self.last_batch_id + 1
+        # a new scorer knows no ids: the state tables do
+        known = [b for name in ("pending", "chart") for b in _written_batches(spark, self.state_dir, name)]
+        bid = max([self.last_batch_id, *known]) + 1
         empty = spark.createDataFrame([], RAW_EVENTS)
         self(adapt_events(empty), bid, final=True)
 
