@@ -15,6 +15,7 @@ from sigwatch.llm.decontaminate import keep_clean
 from sigwatch.llm.deobfuscate import redact
 from sigwatch.llm.parity_join import keep_representatives
 from sigwatch.llm.piece_sampler import encoded
+from sigwatch.llm.shingles import CONTRACT, Rule
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,10 +24,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: Rule = CONTRACT) -> DataFrame:
     """Of each class of near copies the document with the smallest id stays."""
     start(spark)
-    return keep_representatives(docs)
+    return keep_representatives(docs, rule)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import as_batch, staged, start
 from .components import components
-from .shingles import (DEN, EDGES, NARROW, NUM, bands_of, difference_limit, linked, own_band, part_words, parts_of,
+from .shingles import (CONTRACT, EDGES, NARROW, Rule, bands_of, difference_limit, linked, own_band, part_words, parts_of,
                        shared_in, shingle_set, shingle_sets)
 
 #: Bits of the filter that spares texts without a candidate the shuffle.
@@ -57,7 +57,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, set size n, 128-bit digest of the set (hi, lo), size band, its
     sketch for the band (own) and, if a linked set can be there, for the next
     one (next). Of equal sets in one task only the first has sketches: the
@@ -68,15 +68,15 @@ def sketched(docs: DataFrame) -> DataFrame:
         empty = np.empty(0, np.uint64)
         for batch in batches:
             rows, own, following = [], [], []
-            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist())):
+            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), rule.words)):
                 digest = blake2b(s.tobytes(), digest_size=16).digest()
                 hi, lo = np.frombuffer(digest, "<i8").tolist()
                 band = own_band(len(s))
                 rows.append((doc_id, len(s), hi, lo, band))
-                bands = bands_of(len(s)) if len(s) and doc_id is not None and digest not in seen else []
+                bands = bands_of(len(s), rule) if len(s) and doc_id is not None and digest not in seen else []
                 seen.add(digest)
-                own.append(part_words(s, band).ravel() if band in bands else empty)
-                following.append(part_words(s, band + 1).ravel() if band + 1 in bands else empty)
+                own.append(part_words(s, band, rule).ravel() if band in bands else empty)
+                following.append(part_words(s, band + 1, rule).ravel() if band + 1 in bands else empty)
             yield pa.RecordBatch.from_arrays([*as_batch(rows, _HEAD).columns, _lists(own), _lists(following)],
                                              [*(n for n, _ in _HEAD), "own", "next"])
 
@@ -84,12 +84,13 @@ def sketched(docs: DataFrame) -> DataFrame:
     return df.mapInArrow(scan, _SETS_SQL)
 
 
-def keyed(sets: DataFrame) -> DataFrame:
+def keyed(sets: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """(key, doc_id): one key per band and part of a sketch. The key's lowest
     bit is the band's, which tells the two bands of a document apart."""
+    wide = next(b for b in range(len(EDGES) - 1) if parts_of(b, rule) > NARROW)
     parts = lambda words, band: F.when(
         (F.size(words) == 0), F.array().cast("array<bigint>")).otherwise(F.transform(
-            F.when(band >= _FIRST_WIDE, words).otherwise(_folded(words)),
+            F.when(band >= wide, words).otherwise(_folded(words)),
             lambda w, i: F.xxhash64(band, i, w).bitwiseAND(F.lit(-2)).bitwiseOR(band.bitwiseAND(F.lit(1)))))
     keys = F.concat(parts(F.col("own"), F.col("band")), parts(F.col("next"), F.col("band") + 1))
     return sets.select("doc_id", keys.alias("keys")).select(F.explode_outer("keys").alias("key"), "doc_id").where("key is not null")
@@ -100,12 +101,6 @@ def _folded(words: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.size(words), F.lit(16)), lambda i: F.xxhash64(F.slice(words, i, 16)))
 
 
-def _first_wide() -> int:
-    return next(b for b in range(len(EDGES) - 1) if parts_of(b) > NARROW)
-
-
-_FIRST_WIDE = _first_wide()
-
 _STAR = [("key", pa.int64()), ("pivot", pa.int64()), ("doc_id", pa.int64())]
 _STAR_SQL = "key long, pivot long, doc_id long"
 
@@ -156,7 +151,7 @@ def _candidate_texts(docs: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -
     return rows.mapInArrow(keep, "doc_id long, text string")
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """Of (u, v) pairs the linked ones. Pairs are grouped by u; a u with many
     partners is split into groups of about ``GROUP``, each with a copy of u's
     text. A group's rows are streamed, one set is held."""
@@ -177,8 +172,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             for u, g, role, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if role == 0:
                     if (u, g) != now:
-                        now, held = (u, g), shingle_set(text)
-                elif (u, g) == now and linked(held, shingle_set(text)):
+                        now, held = (u, g), shingle_set(text, rule.words)
+                elif (u, g) == now and linked(held, shingle_set(text, rule.words), rule):
                     out.append((u, doc_id))
             yield as_batch(out, [("u", pa.int64()), ("v", pa.int64())])
 
@@ -201,7 +196,7 @@ def _blocks(members: DataFrame, block: int = BLOCK) -> DataFrame:
                     "mine", "node", "component"))
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
+def _block_pairs(rows: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """From the groups' rows with sizes and sketches (n, words): the (u, v) of
     different components whose sizes and sketches admit a link."""
 
@@ -213,10 +208,10 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
         for i in left:
             other = right[right > i] if p[0] == q[0] else right
             other = other[(component[other] != component[i])
-                          & (DEN * np.minimum(n[other], n[i]) >= NUM * np.maximum(n[other], n[i]))]
+                          & (rule.den * np.minimum(n[other], n[i]) >= rule.num * np.maximum(n[other], n[i]))]
             if len(other):
                 distance = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-                for j in other[distance <= difference_limit(n[other], n[i])]:
+                for j in other[distance <= difference_limit(n[other], n[i], rule)]:
                     yield int(min(node[i], node[j])), int(max(node[i], node[j]))
 
     def compare(batches):
@@ -238,19 +233,19 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
             .mapInArrow(compare, "u long, v long").distinct())
 
 
-def _shared(band: Column) -> Column:
+def _shared(band: Column, rule: Rule) -> Column:
     """Parts that linked sets of a band share at least."""
-    return F.element_at(F.array(*(F.lit(shared_in(b)) for b in range(len(EDGES) - 1))), (band + 1).cast("int"))
+    return F.element_at(F.array(*(F.lit(shared_in(b, rule)) for b in range(len(EDGES) - 1))), (band + 1).cast("int"))
 
 
-def _open(members: DataFrame, holder: DataFrame) -> DataFrame:
+def _open(members: DataFrame, holder: DataFrame, rule: Rule) -> DataFrame:
     """The (key, node, component) that can still hold a link: keys of several
     components, and nodes with at least as many of them, in one band, as
     linked sets share."""
     span = members.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     mixed = members.join(span.where("a <> b").select("key"), "key", "left_semi").withColumn("odd", F.col("key").bitwiseAND(F.lit(1)))
     enough = (mixed.groupBy("node", "odd").agg(F.count("*").alias("keys")).join(holder.select("node", "band"), "node")
-              .where(F.col("keys") >= _shared(F.col("band") + F.when(F.col("odd") == F.col("band").bitwiseAND(F.lit(1)), 0).otherwise(1)))
+              .where(F.col("keys") >= _shared(F.col("band") + F.when(F.col("odd") == F.col("band").bitwiseAND(F.lit(1)), 0).otherwise(1), rule))
               .select("node", "odd"))
     return mixed.join(enough, ["node", "odd"], "left_semi").select("key", "node", "component")
 
@@ -261,18 +256,20 @@ def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFra
     return df.join(label, node, "left").withColumn(name, F.coalesce("_c", node)).drop("_c")
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id reachable by links)."""
+    if 5 * rule.num < 4 * rule.den or rule.num >= rule.den:
+        raise ValueError("the size bands hold similarities from 0.8 to below 1")
     start(docs.sparkSession)
-    sets = staged(sketched(docs), "sketches")
+    sets = staged(sketched(docs, rule), "sketches")
     linkable = sets.where("n > 0 and doc_id is not null")
     equal = staged(linkable.groupBy("hi", "lo").agg(F.min("doc_id").alias("node")), "equal-sets")
     # one row per document that has sketches, with the node of its set
     held = linkable.where("size(own) + size(next) > 0")
     nodes = staged(held.select("doc_id", "hi", "lo", "band").join(equal, ["hi", "lo"])
                    .groupBy("doc_id").agg(F.min("node").alias("node"), F.min("band").alias("band")), "nodes")
-    star = stars(keyed(sets))
+    star = stars(keyed(sets, rule))
     star = (star.join(nodes.select("doc_id", F.col("node").alias("v"), "band"), "doc_id")
             .join(nodes.select(F.col("doc_id").alias("pivot"), F.col("node").alias("u")), "pivot")
             .where("u <> v").select("key", "u", "v", "band"))
@@ -280,9 +277,9 @@ def classes(docs: DataFrame) -> DataFrame:
 
     # half of what linked sets share: a document's keys may have several pivots
     shared = (star.groupBy("u", "v").agg(F.count("*").alias("keys"), F.min("band").alias("band"))
-              .where(2 * F.col("keys") >= _shared(F.col("band"))))
+              .where(2 * F.col("keys") >= _shared(F.col("band"), rule)))
     best = shared.groupBy("v").agg(F.max_by("u", F.struct("keys", -F.col("u"))).alias("u"))
-    first = verified(docs, best)
+    first = verified(docs, best, rule)
     labels = components(first)
 
     marked = _labelled(_labelled(star, labels, "u", "cu"), labels, "v", "cv")
@@ -290,12 +287,12 @@ def classes(docs: DataFrame) -> DataFrame:
                .union(marked.select("key", "v", "cv")).distinct())
     holder = staged(nodes.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("band").alias("band")), "holders")
     for _ in range(2):  # fewer keys leave documents with too few, and so on
-        members = staged(_open(members, holder), "open")
+        members = staged(_open(members, holder, rule), "open")
     own = F.col("key").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1))
     rows = (_blocks(members).join(holder.select("node", "doc_id"), "node")
             .join(held.select("doc_id", "n", "band", "own", "next"), "doc_id")
             .select("key", "p", "q", "mine", "node", "component", "n", F.when(own, F.col("own")).otherwise(F.col("next")).alias("words")))
-    second = verified(docs, _block_pairs(rows))
+    second = verified(docs, _block_pairs(rows, rule), rule)
     labels = components(first.union(second))
     classed = _labelled(equal, labels, "node", "component_id").select("hi", "lo", "component_id")
     return (sets.select("doc_id", F.col("n").alias("n_shingles"), "hi", "lo").join(classed, ["hi", "lo"], "left")
@@ -303,13 +300,13 @@ def classes(docs: DataFrame) -> DataFrame:
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
-def keep_representatives(docs: DataFrame) -> DataFrame:
+def keep_representatives(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its
     columns. Rows that repeat an id become one; documents with a null id stay.
 
     Only ids are classed and counted; the texts are filtered by two small
     tables of ids, which the planner broadcasts or shuffles by their size."""
-    found = staged(classes(docs).select("doc_id", "component_id"), "classes")
+    found = staged(classes(docs, rule).select("doc_id", "component_id"), "classes")
     gone = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
     repeated = staged(found.where("component_id = doc_id").groupBy(F.col("doc_id").alias("_id")).count()
                       .where("count > 1").select("_id"), "repeated")

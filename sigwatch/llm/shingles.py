@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import xxhash
 
 from .common import utf8
 
-WORDS = 3
-#: Two sets link when NUM/DEN of their union is shared.
-NUM, DEN = 90, 100
+
+class Rule(NamedTuple):
+    """Words a shingle, and the similarity: two sets link when num/den of their
+    union is shared. From 4/5 on, linked sets are in the same or the next band."""
+
+    words: int = 3
+    num: int = 90
+    den: int = 100
+
+
+#: The contract's rule.
+CONTRACT = Rule()
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
@@ -50,7 +61,7 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(out + size.astype(np.uint64)), starts
 
 
-def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], size: int = CONTRACT.words) -> list[np.ndarray]:
     """Per text, the sorted distinct 64-bit hashes of its word shingles: A-Z
     lower-cased, words between ASCII white space; a text of fewer words is one
     shingle, one without words none. Texts are hashed together, a batch at a time."""
@@ -74,31 +85,33 @@ def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]
             np.not_equal(s[1:], s[:-1], out=keep[1:])
             out.append(s[keep])
         elif b > a:
-            whole = h[a:b] * _MIX[:b - a]
-            out.append(mix(whole.sum(keepdims=True) + np.uint64(b - a)))
+            whole = h[a:a + 1] * _MIX[0]
+            for k in range(1, b - a):
+                whole = mix(whole) + h[a + k:a + k + 1] * _MIX[k % 3]
+            out.append(mix(whole + np.uint64(b - a)))
         else:
             out.append(h[:0])
     return out
 
 
-def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+def shingle_set(text: str | None, size: int = CONTRACT.words) -> np.ndarray:
     return shingle_sets([text], size)[0]
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, rule: Rule = CONTRACT) -> bool:
     """Whether two sets reach the similarity."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
-    if not len(small) or DEN * len(small) < NUM * len(large):
+    if not len(small) or rule.den * len(small) < rule.num * len(large):
         return False
     at = np.searchsorted(large, small)
     at[at == len(large)] = 0
     common = int(np.count_nonzero(large[at] == small))
-    return DEN * common >= NUM * (len(a) + len(b) - common)
+    return rule.den * common >= rule.num * (len(a) + len(b) - common)
 
 
-def difference_limit(a, b):
+def difference_limit(a, b, rule: Rule = CONTRACT):
     """Largest symmetric difference of linked sets of these sizes."""
-    return (a + b) * (DEN - NUM) // (DEN + NUM)
+    return (a + b) * (rule.den - rule.num) // (rule.den + rule.num)
 
 
 # ---- size bands --------------------------------------------------------------
@@ -114,33 +127,33 @@ def band_edges(limit: int = 1 << 40) -> list[int]:
 EDGES = np.array(band_edges(), dtype=np.int64)
 
 
-def difference_in(band: int) -> int:
+def difference_in(band: int, rule: Rule = CONTRACT) -> int:
     """Largest symmetric difference of two linked sets whose larger one is in
     the band: with J >= t it is at most (a + b)(1 - t)/(1 + t)."""
-    return difference_limit(2 * (int(EDGES[band + 1]) - 1), 0)
+    return difference_limit(2 * (int(EDGES[band + 1]) - 1), 0, rule)
 
 
-def shared_in(band: int) -> int:
+def shared_in(band: int, rule: Rule = CONTRACT) -> int:
     """Parts that linked sets share at least. More than one, so that sets which
     agree in a part by chance (mostly an empty one) are told from linked ones."""
-    return 1 + difference_in(band) // 8
+    return 1 + difference_in(band, rule) // 8
 
 
-def parts_of(band: int) -> int:
+def parts_of(band: int, rule: Rule = CONTRACT) -> int:
     """Each differing shingle spoils one part, so ``shared_in`` parts are left."""
-    return difference_in(band) + shared_in(band)
+    return difference_in(band, rule) + shared_in(band, rule)
 
 
 def own_band(n: int) -> int:
     return max(0, int(np.searchsorted(EDGES, n, "right")) - 1)
 
 
-def bands_of(n: int) -> list[int]:
+def bands_of(n: int, rule: Rule = CONTRACT) -> list[int]:
     """Bands in which a set of n shingles is looked up: its own, and the next
     one if a linked larger set can be there. Linked sets share a band."""
     own = own_band(n)
-    bands = [own, own + 1] if DEN * n >= NUM * int(EDGES[own + 1]) else [own]
-    return [b for b in bands if difference_in(b)]  # no difference: equal sets, found by digest
+    bands = [own, own + 1] if rule.den * n >= rule.num * int(EDGES[own + 1]) else [own]
+    return [b for b in bands if difference_in(b, rule)]  # no difference: equal sets, found by digest
 
 
 def sketch(s: np.ndarray, parts: int) -> np.ndarray:
@@ -159,8 +172,8 @@ def sketch(s: np.ndarray, parts: int) -> np.ndarray:
 NARROW, WIDE = 3, 16
 
 
-def part_words(s: np.ndarray, band: int) -> np.ndarray:
+def part_words(s: np.ndarray, band: int, rule: Rule = CONTRACT) -> np.ndarray:
     """The set's sketch for a band, as one row of 64-bit words per part."""
-    parts = parts_of(band)
+    parts = parts_of(band, rule)
     width = WIDE if parts <= NARROW else 1
     return sketch(s, width * parts).reshape(parts, width)

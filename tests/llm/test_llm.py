@@ -304,3 +304,32 @@ def test_pipeline_stages_equal_brute_force(spark):
     clean = {d for d, t in docs.select("doc_id", "text").collect() if not judged(*scan_text(found, t), (1, 20))[2]}
     assert {r[0] for r in stages["decontamination"](spark, docs, SF).select("doc_id").collect()} == clean
     assert all("@" not in r[0] for r in stages["personal_data"](spark, docs, SF).select("text").collect())
+
+
+def test_near_copies_by_another_rule(spark, docs):
+    from sigwatch.llm.parity_join import keep_representatives
+    from sigwatch.llm.shingles import Rule, shingle_set
+    words = [f"w{i}" for i in range(200)]
+    edited = [w if i % 50 != 25 else "new" + w for i, w in enumerate(words)]
+    texts = [(9000, " ".join(words)), (9001, " ".join(edited)), (9002, " ".join(words[:170])),
+             (9003, "a b c d"), (9004, "d b c a"), (9005, "A b c d")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(texts, "doc_id long, text string"))
+
+    def shingles(text):
+        w = text.encode().lower().split()
+        return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else frozenset([tuple(w)])
+    sets = sorted((d, shingles(t)) for d, t in df.collect())
+    root = {d: d for d, _ in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[i + 1:]:
+            if 100 * len(x & y) >= 80 * len(x | y):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    left = sorted(r[0] for r in keep_representatives(df, Rule(5, 80, 100)).select("doc_id").collect())
+    assert left == [d for d in root if find(d) == d]
+    assert 9000 in left and 9004 in left and not {9001, 9002, 9005} & set(left)
+    assert shingle_set("a b c d", 5) != shingle_set("d b c a", 5)
