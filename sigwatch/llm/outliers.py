@@ -16,7 +16,8 @@ collected, and the result does not depend on how rows are partitioned.
 
 Groups under ``min_rows`` share the estimate of their language's small groups;
 where even that is under ``min_rows``, all rows are kept. A variance floor per
-statistic keeps the covariance regular where a share is constant (mostly 0).
+statistic and group, the square of what one text can resolve, keeps the
+covariance regular where a share is constant (mostly 0).
 
 Defined results: null and empty texts have zero words and fail the base rule;
 null language or source is a group of its own; repeated rows count and return
@@ -37,11 +38,11 @@ DIM = 4
 SHARE = 0.75
 STEPS = 6
 MIN_ROWS = 80
-#: Smallest standard deviation per statistic: a table's column marks or one
-#: repeated heading are no outliers, however uniform the rest of a source is.
-FLOOR = (0.08, 0.04, 0.1, 0.1)
+#: Deviation of the logarithm of a word's length, and words that the smallest
+#: repeat of a 3-word window covers.
+WORD_SPREAD, LEAST_REPEAT = 0.5, 6
 #: Chi-square probability of the cut-off.
-PROBABILITY = 0.999999
+PROBABILITY = 0.999
 #: Bins per unit of a statistic (start) and per doubling of a distance (steps).
 STAT_BINS, DISTANCE_BINS = 256, 32
 
@@ -119,25 +120,35 @@ def vector() -> list[Column]:
             part("n_symbols", "word_chars"), part("n_dup_lines", "n_lines"), part("n_repeat_words", "n_words")]
 
 
+def resolution() -> list[Column]:
+    """Squares of the smallest differences that a text of this length can show:
+    the sampling error of its mean word length, and one symbol, one repeated
+    line, one repeated window. Their group means are the variance floors."""
+    unit = lambda size, b: F.pow(F.lit(float(size)) / F.greatest(F.col(b), F.lit(1)), F.lit(2.0))
+    return [F.lit(WORD_SPREAD ** 2) / F.greatest(F.col("n_words"), F.lit(1)), unit(1, "word_chars"), unit(1, "n_lines"),
+            unit(LEAST_REPEAT, "n_words")]
+
+
 # ---- estimates --------------------------------------------------------------
 
 X = [f"x{i}" for i in range(DIM)]
+FLOORS = [f"f{i}" for i in range(DIM)]
 PAIRS = [(i, j) for i in range(DIM) for j in range(i + 1)]
 
 
 def with_factor(df: DataFrame) -> DataFrame:
-    """From means m_i and covariances c_ij (floors added): the Cholesky factor
-    l_ij, column by column."""
+    """From means m_i, covariances c_ij (floors added) and floors f_i: the
+    Cholesky factor l_ij, column by column."""
     for i, j in PAIRS:
         rest = F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-        value = F.sqrt(F.greatest(rest, F.lit(FLOOR[i] ** 2 / 16))) if i == j else rest / F.col(f"l{j}{j}")
+        value = F.sqrt(F.greatest(rest, F.col(FLOORS[i]) / 16)) if i == j else rest / F.col(f"l{j}{j}")
         df = df.withColumn(f"l{i}{j}", value)
-    return df.select("g", *(f"m{i}" for i in range(DIM)), *(f"l{i}{j}" for i, j in PAIRS))
+    return df.select("g", *FLOORS, *(f"m{i}" for i in range(DIM)), *(f"l{i}{j}" for i, j in PAIRS))
 
 
 def with_distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
     """Squared Mahalanobis distance d2 of every row to its group's estimate."""
-    df = rows.join(estimate, "g", how)
+    df = rows.drop(*FLOORS).join(estimate, "g", how)
     for i in range(DIM):
         rest = F.col(X[i]) - F.col(f"m{i}") - sum((F.col(f"l{i}{k}") * F.col(f"y{k}") for k in range(i)), F.lit(0.0))
         df = df.withColumn(f"y{i}", rest / F.col(f"l{i}{i}"))
@@ -146,7 +157,8 @@ def with_distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> D
 
 
 def start_estimate(rows: DataFrame) -> DataFrame:
-    """Medians and quartile spreads per group, from exact fixed-width bins."""
+    """Medians and quartile spreads per group, from exact fixed-width bins, and
+    the group's floors."""
     stats = F.explode(F.array(*(F.struct(F.lit(i).alias("stat"), F.floor(F.col(X[i]) * STAT_BINS).alias("bin"))
                                 for i in range(DIM))))
     counts = rows.select("g", stats.alias("s")).select("g", "s.*").groupBy("g", "stat", "bin").count()
@@ -157,8 +169,9 @@ def start_estimate(rows: DataFrame) -> DataFrame:
           for q, name in ((0.25, "q1"), (0.5, "q2"), (0.75, "q3"))))
     wide = picked.groupBy("g").agg(
         *(F.max(F.when(F.col("stat") == i, (F.col("q2") + 0.5) / STAT_BINS)).alias(f"m{i}") for i in range(DIM)),
-        *(F.max(F.when(F.col("stat") == i, F.pow((F.col("q3") - F.col("q1")) / STAT_BINS / 1.349, F.lit(2.0))
-                       + FLOOR[i] ** 2)).alias(f"c{i}{i}") for i in range(DIM)))
+        *(F.max(F.when(F.col("stat") == i, F.pow((F.col("q3") - F.col("q1")) / STAT_BINS / 1.349, F.lit(2.0)))).alias(f"c{i}{i}") for i in range(DIM)))
+    wide = wide.join(rows.groupBy("g").agg(*(F.avg(f).alias(f) for f in FLOORS)), "g")
+    wide = wide.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + F.col(FLOORS[i]) for i in range(DIM)})
     return with_factor(wide.withColumns({f"c{i}{j}": F.lit(0.0) for i, j in PAIRS if i != j}))
 
 
@@ -167,20 +180,20 @@ def concentrate(rows: DataFrame, estimate: DataFrame, share: float = SHARE) -> D
     smallest distance that hold ``share`` of them."""
     near = with_distance(rows, estimate)
     moments = (near.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * DISTANCE_BINS)).groupBy("g", "bin")
-               .agg(F.count("*").alias("n"), *(F.sum(x).alias(f"s{x}") for x in X),
+               .agg(F.count("*").alias("n"), *(F.max(f).alias(f) for f in FLOORS), *(F.sum(x).alias(f"s{x}") for x in X),
                     *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"p{i}{j}") for i, j in PAIRS)))
     by = Window.partitionBy("g")
     kept = (moments.withColumn("before", F.coalesce(F.sum("n").over(
                 by.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("total", F.sum("n").over(by)).where(F.col("before") < share * F.col("total")))
-    sums = kept.groupBy("g").agg(F.sum("n").alias("n"), *(F.sum(f"s{x}").alias(f"s{x}") for x in X),
+    sums = kept.groupBy("g").agg(F.sum("n").alias("n"), *(F.max(f).alias(f) for f in FLOORS), *(F.sum(f"s{x}").alias(f"s{x}") for x in X),
                                  *(F.sum(f"p{i}{j}").alias(f"p{i}{j}") for i, j in PAIRS))
     sums = sums.withColumns({f"m{i}": F.col(f"s{X[i]}") / F.col("n") for i in range(DIM)})
     # the subset is cut at the share's quantile: scale to a normal sample's covariance
     consistency = share / chi_square_cdf(chi_square_quantile(share, DIM), DIM + 2)
     return with_factor(sums.withColumns({
         f"c{i}{j}": consistency * (F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-        + F.lit(FLOOR[i] ** 2 if i == j else 0.0) for i, j in PAIRS}))
+        + (F.col(FLOORS[i]) if i == j else F.lit(0.0)) for i, j in PAIRS}))
 
 
 def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS, min_rows: int = MIN_ROWS,
@@ -188,7 +201,7 @@ def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS,
     """Adds base_failed, kept and distance (null where no estimate applies) to
     the counts. Estimates use the rows that pass the base rule."""
     one = F.struct(F.col("lang"), F.col("source"))
-    all_rows = counts.withColumn("base_failed", base_failed()).withColumns(dict(zip(X, vector())))
+    all_rows = counts.withColumn("base_failed", base_failed()).withColumns(dict(zip(X + FLOORS, vector() + resolution())))
     rows = staged(all_rows, "statistics")
     fit = rows.where(~F.col("base_failed"))
     sizes = fit.groupBy("lang", "source").agg(F.count("*").alias("size"))
@@ -201,7 +214,7 @@ def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS,
     groups = staged(groups, "groups")
     grouped = rows.join(groups, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")),
                         "left").drop("_lang", "_source")
-    fit = grouped.where(~F.col("base_failed") & F.col("g").isNotNull()).select("g", *X)
+    fit = grouped.where(~F.col("base_failed") & F.col("g").isNotNull()).select("g", *X, *FLOORS)
     estimate = staged(start_estimate(fit), "estimate")
     for _ in range(steps):
         estimate = staged(concentrate(fit, estimate, share), "estimate")

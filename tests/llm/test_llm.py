@@ -333,3 +333,15 @@ def test_near_copies_by_another_rule(spark, docs):
     assert left == [d for d in root if find(d) == d]
     assert 9000 in left and 9004 in left and not {9001, 9002, 9005} & set(left)
     assert shingle_set("a b c d", 5) != shingle_set("d b c a", 5)
+
+
+def test_one_odd_statistic_is_an_outlier(spark):
+    from sigwatch.llm.outliers import robust_verdict
+    rng = np.random.default_rng(4)
+    rows = [(i, "en", "s", int(n), int(n * rng.normal(5, 0.1)), 0, 0, 0, 10) for i, n in enumerate(rng.integers(60, 900, 200))]
+    rows += [(1000 + i, "en", "s", 200, 1000, 50 + 10 * i, 0, 0, 10) for i in range(11)]  # symbols: 5 to 15 %
+    rows += [(2000, "en", "s", 200, 1000, 0, 1, 6, 10)]  # one repeated line
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+                                     "n_dup_lines long, n_repeat_words long, n_lines long")
+    kept = {r["doc_id"]: r["kept"] for r in robust_verdict(df).collect()}
+    assert not any(kept[1000 + i] for i in range(11)) and kept[2000] and sum(kept[i] for i in range(200)) >= 198
