@@ -15,7 +15,8 @@ any size is partially aggregated before the shuffle, nothing is sorted or
 collected, and the result does not depend on how rows are partitioned.
 
 Groups under ``min_rows`` share the estimate of their language's small groups;
-where even that is under ``min_rows``, all rows are kept. A variance floor per
+where even that is under ``min_rows``, that of their whole language, and where
+the language is under it too, that of all rows. A variance floor per
 statistic and group, the square of what one text can resolve, keeps the
 covariance regular where a share is constant (mostly 0).
 
@@ -198,23 +199,32 @@ def concentrate(rows: DataFrame, estimate: DataFrame, share: float = SHARE) -> D
 
 def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS, min_rows: int = MIN_ROWS,
                    probability: float = PROBABILITY) -> DataFrame:
-    """Adds base_failed, kept and distance (null where no estimate applies) to
-    the counts. Estimates use the rows that pass the base rule."""
+    """Adds base_failed, kept and distance (null where no row passes the base
+    rule) to the counts. Estimates use the rows that pass the base rule."""
     one = F.struct(F.col("lang"), F.col("source"))
     all_rows = counts.withColumn("base_failed", base_failed()).withColumns(dict(zip(X + FLOORS, vector() + resolution())))
     rows = staged(all_rows, "statistics")
-    fit = rows.where(~F.col("base_failed"))
-    sizes = fit.groupBy("lang", "source").agg(F.count("*").alias("size"))
-    pooled = Window.partitionBy("lang", F.col("size") < min_rows)
-    groups = (sizes.withColumn("g", F.when(F.col("size") >= min_rows, F.xxhash64(F.to_json(one)))
-                               .otherwise(F.xxhash64(F.lit("pooled"), F.to_json(F.struct("lang")))))
-              .withColumn("pool", F.sum("size").over(pooled))
-              .where((F.col("size") >= min_rows) | (F.col("pool") >= min_rows))
-              .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "g"))
-    groups = staged(groups, "groups")
-    grouped = rows.join(groups, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")),
-                        "left").drop("_lang", "_source")
-    fit = grouped.where(~F.col("base_failed") & F.col("g").isNotNull()).select("g", *X, *FLOORS)
+    sizes = rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("size"))
+    key = lambda name, *c: F.xxhash64(F.lit(name), F.to_json(F.struct(*c)))
+    by_language = Window.partitionBy("lang")
+    large = F.col("size") >= min_rows
+    groups = (sizes.withColumn("pool", F.sum("size").over(Window.partitionBy("lang", large)))
+              .withColumn("whole", F.sum("size").over(by_language))
+              .withColumn("level", F.when(large, 0).when(F.col("pool") >= min_rows, 1).when(F.col("whole") >= min_rows, 2).otherwise(3))
+              .withColumn("widened", F.max(F.col("level") == 2).over(by_language))
+              .select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "level", "widened",
+                      key("language", "lang").alias("language"), F.lit(0).cast("long").alias("all"),
+                      F.when(F.col("level") == 0, F.xxhash64(F.to_json(one)))
+                      .when(F.col("level") == 1, key("pooled", "lang")).alias("g")))
+    groups = staged(groups.withColumn("g", F.when(F.col("level") == 2, F.col("language"))
+                                      .when(F.col("level") == 3, F.col("all")).otherwise(F.col("g"))), "groups")
+    all_needed = bool(groups.where("level = 3").take(1))
+    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
+    grouped = rows.join(groups.select("_lang", "_source", "g"), same, "left").drop("_lang", "_source")
+    # a row counts in its own group's estimate and in the wider ones that other rows fall back to
+    members = groups.select("_lang", "_source", F.explode(F.array_distinct(F.array_compact(F.array(
+        F.col("g"), F.when(F.col("widened"), F.col("language")), F.when(F.lit(all_needed), F.col("all")))))).alias("g"))
+    fit = rows.where(~F.col("base_failed")).join(members, same).select("g", *X, *FLOORS)
     estimate = staged(start_estimate(fit), "estimate")
     for _ in range(steps):
         estimate = staged(concentrate(fit, estimate, share), "estimate")

@@ -345,3 +345,18 @@ def test_one_odd_statistic_is_an_outlier(spark):
                                      "n_dup_lines long, n_repeat_words long, n_lines long")
     kept = {r["doc_id"]: r["kept"] for r in robust_verdict(df).collect()}
     assert not any(kept[1000 + i] for i in range(11)) and kept[2000] and sum(kept[i] for i in range(200)) >= 198
+
+
+def test_rare_languages_and_small_sources_are_judged(spark):
+    from sigwatch.llm.outliers import robust_verdict
+    rng = np.random.default_rng(5)
+    groups = [("en", "big", 200), ("en", "small", 5), ("de", "a", 3), (None, None, 2)]
+    rows = [(1000 * k + i, lang, source, 300, int(300 * rng.normal(5, 0.1)), 0, 0, 0, 10)
+            for k, (lang, source, n) in enumerate(groups) for i in range(n)]
+    rows += [(1000 * k + 900, lang, source, 200, 1600, 600, 0, 0, 10) for k, (lang, source, _) in enumerate(groups)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+                                     "n_dup_lines long, n_repeat_words long, n_lines long")
+    got = robust_verdict(df).collect()
+    assert len(got) == len(rows) and all(r["distance"] is not None for r in got)
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] % 1000 == 900 and not r["kept"]) == [900, 1900, 2900, 3900]
+    assert sum(r["kept"] for r in got if r["doc_id"] % 1000 != 900) >= 208
