@@ -4,8 +4,10 @@ Base detection runs on the text as it stands. Then two transducers rewrite it:
 
 1. characters: compatibility forms and look-alike letters become their ASCII
    letter, invisible characters vanish;
-2. tokens: spelled digit runs ("four one five") become digits, bracketed or
-   worded ``at`` / ``dot`` inside an address become ``@`` / ``.``.
+2. tokens: runs of spelled digits, digits and bracketed or worded dots ("four
+   one five", "10 dot 0 dot 0 dot 1") become a number where the whole run then
+   is an identifier; bracketed or worded ``at`` / ``dot`` inside an address
+   become ``@`` / ``.``.
 
 Each keeps the segments of its output with their source range, so that a span
 found in the rewritten text is mapped back to code points of the source. Spans
@@ -152,14 +154,17 @@ def fold_characters(text: str) -> Rewrite | None:
 DIGIT_NAMES = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5",
                "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _NAME = "zero|oh|one|two|three|four|five|six|seven|eight|nine"
-_GAP = r"[ \t-]{1,3}"
-_TOKEN = rf"(?:{_NAME}|dot|point|[0-9.]+)"
-#: A run of digit names, digits and worded dots that starts with a name or a plus.
-_RUN = re.compile(rf"\b(?:plus{_GAP})?(?:{_NAME})\b(?:{_GAP}{_TOKEN}\b)+|\+ ?(?:{_NAME})\b(?:{_GAP}{_TOKEN}\b)+", re.I)
-#: On lower-cased text: a name followed by another token, which every run has.
-_PAIR = re.compile(rf"(?:{_NAME}){_GAP}(?:(?:{_NAME}|dot|point)\b|[0-9.])")
-_RUN_TOKEN = re.compile(rf"plus|\+|{_NAME}|dot|point|[0-9.]+", re.I)
-MIN_NAMES = 3
+#: What may stand between two tokens of a run: blanks, hyphens, a comma.
+_GAP = r"(?:[ \t-]{1,3}|[ \t]?,[ \t]{0,2})"
+#: A dot in words or brackets, with what stands around it.
+_SPOKEN = r"(?:[ \t-]{0,3}[\(\[\{<][ \t]?(?:dot|point|\.)[ \t]?[\)\]\}>][ \t-]{0,3}|[ \t-]{1,3}(?:dot|point)\b[ \t-]{1,3})"
+_DIGITS = rf"(?:(?:{_NAME})\b|[0-9]++(?:\.[0-9]++)*+(?![A-Za-z_]))"
+#: A run of digit names, digits and dots, with a plus in front or not.
+_RUN = re.compile(rf"(?:\+[ \t]?|\bplus{_GAP}|(?<![A-Za-z0-9_.+])){_DIGITS}(?:(?:{_SPOKEN}|{_GAP}){_DIGITS})++", re.I)
+#: On lower-cased text: what every run that is rewritten has, a name or a dot
+#: in words or brackets next to another token.
+_PAIR = re.compile(rf"(?:{_NAME})(?:{_GAP}|{_SPOKEN})(?:(?:{_NAME})\b|[0-9])|[0-9](?:{_GAP}(?:{_NAME})\b|{_SPOKEN}(?:(?:{_NAME})\b|[0-9]))")
+_RUN_TOKEN = re.compile(rf"plus|\+|{_NAME}|{_SPOKEN}|[0-9.]+", re.I)
 
 _WORD = r"[A-Za-z0-9_%+-]+"
 _AT = r"(?:[ \t]{0,2}[\(\[\{<][ \t]?(?:at|@)[ \t]?[\)\]\}>][ \t]{0,2}|[ \t]{1,2}at[ \t]{1,2}|[ \t]?@[ \t]?)"
@@ -205,18 +210,41 @@ def _numbers(text: str, low: str) -> list[tuple[int, str, int]]:
     if not _PAIR.search(low):
         return edits
     for run in _RUN.finditer(text):
-        tokens = list(_RUN_TOKEN.finditer(run[0]))
-        if sum(t[0].lower() in DIGIT_NAMES for t in tokens) < MIN_NAMES:
+        tokens = [(t, _value(t[0])) for t in _RUN_TOKEN.finditer(run[0])]
+        if all(value == t[0] for t, value in tokens):
+            continue  # digits as they are: the base patterns see them
+        # joined, or with a blank where a name meets digits: "one 10.0.0.1" is not "110.0.0.1"
+        joined = [(a.end(), b.start(), "") for (a, _), (b, _) in zip(tokens, tokens[1:])]
+        named = [t[0].lower() in DIGIT_NAMES for t, _ in tokens]
+        written = [t[0][0].isdigit() for t, _ in tokens]
+        spaced = [(a, b, " " if named[k] and written[k + 1] or written[k] and named[k + 1] else "")
+                  for k, (a, b, _) in enumerate(joined)]
+        best = _reading(tokens, joined, spaced)
+        if best is None:
             continue
-        previous = run.start()
-        for t in tokens:
-            name = t[0].lower()
-            value = DIGIT_NAMES.get(name) or {"plus": "+", "dot": ".", "point": "."}.get(name, t[0])
-            edits.append((previous, value, run.start() + t.end()))
-            previous = run.start() + t.end()
+        edits += [(run.start() + t.start(), value, run.start() + t.end()) for t, value in tokens]
+        edits += [(run.start() + a, gap, run.start() + b) for a, b, gap in best if a < b]
     return edits
 
 
+def _reading(tokens: list, joined: list, spaced: list) -> list | None:
+    """The gaps that make the run an identifier, or else hold one."""
+    found = []
+    for gaps in (joined, spaced):
+        number = tokens[0][1] + "".join(gap + value for (_, _, gap), (_, value) in zip(gaps, tokens[1:]))
+        spans = base_spans(number)
+        if any(a == 0 and b == len(number) for a, _, b in spans):
+            return gaps
+        found.append(spans)
+    return spaced if found[1] else joined if found[0] else None
+
+
+def _value(token: str) -> str:
+    """What a token of a run stands for."""
+    name = token.lower()
+    return DIGIT_NAMES.get(name) or ("+" if name == "plus" else "." if re.search(r"dot|point|[\(\[{<]", name) else token)
+
+
 def rewrite_tokens(text: str) -> Rewrite | None:
     """Second transducer; None if it leaves the text alone."""
     low = text.lower()

@@ -360,3 +360,21 @@ def test_rare_languages_and_small_sources_are_judged(spark):
     assert len(got) == len(rows) and all(r["distance"] is not None for r in got)
     assert sorted(r["doc_id"] for r in got if r["doc_id"] % 1000 == 900 and not r["kept"]) == [900, 1900, 2900, 3900]
     assert sum(r["kept"] for r in got if r["doc_id"] % 1000 != 900) >= 208
+
+
+@pytest.mark.parametrize("text, kind, what", [
+    ("ip 192 dot 168 dot 10 dot 1 x", 1, "192 dot 168 dot 10 dot 1"), ("ip 192[.]168[.]10[.]1 x", 1, "192[.]168[.]10[.]1"),
+    ("ip 192(dot)168(dot)10(dot)1", 1, "192(dot)168(dot)10(dot)1"), ("had one 192[.]168[.]1[.]1 and one", 1, "192[.]168[.]1[.]1"),
+    ("call +four four, two zero, seven nine four six, zero nine five now", 3, "+four four, two zero, seven nine four six, zero nine five"),
+    ("call plus 44 20 seven nine four six zero nine five.", 3, "plus 44 20 seven nine four six zero nine five"),
+    ("card four one one one, 1111 1111 1111 ok", 2, "four one one one, 1111 1111 1111")])
+def test_partly_spelled_numbers_map_back(text, kind, what):
+    from sigwatch.llm.deobfuscate import find_spans
+    base, added = find_spans(text)
+    assert not base and [(k, text[a:b]) for a, k, b in added] == [(kind, what)]
+
+
+def test_numbers_that_are_no_identifier_stay():
+    from sigwatch.llm.deobfuscate import find_spans
+    for t in ("version 1 dot 2 dot 3", "999 dot 1 dot 1 dot 1", "one, two, three, four, five, six, seven, eight, nine", "1, 2, 3"):
+        assert find_spans(t) == ([], []), t
