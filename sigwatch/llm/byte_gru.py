@@ -8,8 +8,9 @@ letters and bytes of other scripts). Whole texts are read, none is cut short.
 Training is numpy backpropagation through time on a bounded sample: per
 language the ``PER_LANGUAGE`` documents of smallest hashed id among the
 labelled rows outside the held-out fold, ``WINDOWS`` windows spread evenly over
-each; at most ``MAX_LANGUAGES`` languages (the most frequent). Only that sample
-reaches the driver. Source and id are never inputs.
+each. Every language is learned: with more of them each has fewer documents
+(``SAMPLE`` in all, but one each at least), and the network has more states and
+rounds. Only that sample reaches the driver. Source and id are never inputs.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; without a labelled row every text is ``und``; rows with a null id are in the
@@ -30,15 +31,16 @@ from pyspark.sql.window import Window
 from .common import as_batch, start, utf8
 
 PER_LANGUAGE = 600
-MAX_LANGUAGES = 64
+SAMPLE = 38400
 WINDOWS = 6
 LENGTH = 64
+#: States a direction and training rounds, at least; both grow with the languages.
 HIDDEN = 6
-ROUNDS = 320
+ROUNDS, ROUNDS_EACH = 320, 20
 BATCH = 128
 RATE = 0.012
-#: Windows that the network reads side by side.
-BLOCK = 2048
+#: Windows that the network reads side by side, and probabilities held for them.
+BLOCK, HELD = 2048, 1 << 23
 
 _LETTER = re.compile(r"[^\W\d_]")
 _COUNTS = np.zeros(256, np.float32)
@@ -62,6 +64,10 @@ def windows_of(raw: bytes, length: int = LENGTH) -> np.ndarray:
 # and s(x) = (1 + tanh x) / 2 (the usual factor 1/2 is part of the weights).
 # Arrays are (feature, batch), so that every operation runs along memory.
 
+def states_for(n_labels: int) -> int:
+    return max(HIDDEN, int(np.ceil(3 * np.sqrt(n_labels))))
+
+
 def new_network(n_labels: int, hidden: int = HIDDEN, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     net = {"out": rng.normal(0, 0.3, (n_labels, 2 * hidden)), "bias": np.zeros((n_labels, 1))}
@@ -149,10 +155,11 @@ def gradients(net: dict, x: np.ndarray, labels: np.ndarray) -> tuple[float, dict
     return loss, grads
 
 
-def train(x: np.ndarray, labels: np.ndarray, n_labels: int, rounds: int = ROUNDS, batch: int = BATCH,
+def train(x: np.ndarray, labels: np.ndarray, n_labels: int, rounds: int | None = None, batch: int = BATCH,
           rate: float = RATE, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam over random batches, languages drawn evenly; x is (windows, length)."""
-    net = new_network(n_labels, seed=seed)
+    rounds = rounds or max(ROUNDS, ROUNDS_EACH * n_labels)
+    net = new_network(n_labels, states_for(n_labels), seed)
     rng = np.random.default_rng(seed)
     by_label = [np.flatnonzero(labels == k) for k in range(n_labels)]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.items()}
@@ -172,6 +179,7 @@ def train(x: np.ndarray, labels: np.ndarray, n_labels: int, rounds: int = ROUNDS
 def pooled(net: dict, raws: list[bytes], block: int = BLOCK) -> np.ndarray:
     """Mean label probabilities of each text over its letter positions (zeros
     where there is none)."""
+    block = max(1, min(block, HELD // (LENGTH * len(net["out"]))))
     counts = [max(1, -(-len(r) // LENGTH)) for r in raws]
     x = np.concatenate([windows_of(r) for r in raws])
     sums = np.empty((len(x), len(net["out"])), np.float64)
@@ -192,12 +200,12 @@ def training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray
     """Languages, windows and labels of the sample."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    top = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    names = sorted(r["lang"] for r in top)
+    names = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
     if not names:
         return [], np.empty((0, LENGTH), np.uint8), np.empty(0, np.int64)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = (usable.where(F.col("lang").isin(names)).withColumn("r", rank).where(F.col("r") <= PER_LANGUAGE)
+    each = min(PER_LANGUAGE, max(1, SAMPLE // len(names)))
+    chosen = (usable.withColumn("r", rank).where(F.col("r") <= each)
               .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
 
     def cut(batches):
@@ -209,7 +217,7 @@ def training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray
                 rows.append((doc_id, lang, x[at].tobytes()))
             yield as_batch(rows, [("doc_id", pa.int64()), ("lang", pa.string()), ("x", pa.binary())])
 
-    # at most PER_LANGUAGE x MAX_LANGUAGES ids: a bounded broadcast
+    # at most SAMPLE ids, or one for each language: a bounded broadcast
     sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                           F.col("text").cast("string").alias("text"))
               .join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")))

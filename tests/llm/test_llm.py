@@ -378,3 +378,17 @@ def test_numbers_that_are_no_identifier_stay():
     from sigwatch.llm.deobfuscate import find_spans
     for t in ("version 1 dot 2 dot 3", "999 dot 1 dot 1 dot 1", "one, two, three, four, five, six, seven, eight, nine", "1, 2, 3"):
         assert find_spans(t) == ([], []), t
+
+
+def test_more_languages_than_sixty_four(spark):
+    from sigwatch.llm.byte_gru import fit, judged
+    rng = np.random.default_rng(6)
+    words = {f"l{k:02}": [chr(0x4e00 + 40 * k + a) + chr(97 + k % 26) for a in range(12)] for k in range(70)}
+    text = lambda lang: " ".join(rng.choice(words[lang], 60))
+    rows = [(1000 * k + i, lang, text(lang)) for k, lang in enumerate(words) for i in range(20 if k < 64 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = fit(docs)
+    assert model[0] == sorted(words)
+    found = judged(model, [text(lang) for lang in words])
+    right = [lang == got[0] for lang, got in zip(words, found)]
+    assert np.mean(right) > 0.9 and sum(right[64:]) >= 5
