@@ -34,6 +34,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_units(table(spark, sf_dir, "documents"))
 
 
+def op3_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3_line_dedup, with short lines (menus, footers) too."""
+    start(spark)
+    return repeated_units(table(spark, sf_dir, "documents"), min_words=1)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(spark)
     return license_report(table(spark, sf_dir, "documents"))
@@ -70,5 +76,5 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op4_license_scan, op5_token_trees, op6_decontaminate,
-    op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}
+    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op3_every_line, op4_license_scan, op5_token_trees,
+    op6_decontaminate, op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}

@@ -72,5 +72,7 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, least(d.doc_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
 """
 
-ORACLE = {"op3_line_dedup": LINE_DEDUP, "op6_decontaminate": DECONTAMINATE, "op7_parity_join": PARITY_JOIN,
+EVERY_LINE = LINE_DEDUP.replace("len(w) >= 5", "len(w) >= 1")
+
+ORACLE = {"op3_line_dedup": LINE_DEDUP, "op3_every_line": EVERY_LINE, "op6_decontaminate": DECONTAMINATE, "op7_parity_join": PARITY_JOIN,
           "op10_warc_bundles": WARC}

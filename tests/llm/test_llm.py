@@ -392,3 +392,15 @@ def test_more_languages_than_sixty_four(spark):
     found = judged(model, [text(lang) for lang in words])
     right = [lang == got[0] for lang, got in zip(words, found)]
     assert np.mean(right) > 0.9 and sum(right[64:]) >= 5
+
+
+def test_short_lines_are_repeats_too(spark, docs):
+    import duckdb
+    from sigwatch.llm.queries import QUERIES
+    from sigwatch.llm.sql import ORACLE
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = sorted(tuple(r) for r in QUERIES["op3_every_line"](spark, SF).collect())
+    assert got == sorted(con.execute(ORACLE["op3_every_line"]).fetchall())
+    assert set(got) > {tuple(r) for r in QUERIES["op3_line_dedup"](spark, SF).collect()}
+    assert any(r[4] < 5 for r in got)
