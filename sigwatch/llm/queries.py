@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .boosted_quality import scored
 from .byte_gru import identify
+from .chat_repair import damaged, repair_report
 from .common import start, table
 from .decontaminate import decontaminate
 from .deobfuscate import personal_data
@@ -12,6 +14,7 @@ from .license_scan import license_report
 from .line_dedup import repeated_units
 from .outliers import quality
 from .parity_join import classes
+from .periodic_runs import planted, run_report
 from .piece_sampler import digests, encoded
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
 from .token_trees import counted
@@ -75,6 +78,25 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bundles(*write_bundles(table(spark, sf_dir, "pages")))
 
 
+def op11_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents; labels of the held-out fold are not read."""
+    start(spark)
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation, one row each."""
+    start(spark)
+    return repair_report(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, after the contract's planting."""
+    start(spark)
+    return run_report(table(spark, sf_dir, "documents"), change=planted).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op3_every_line, op4_license_scan, op5_token_trees,
-    op6_decontaminate, op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles)}
+    op6_decontaminate, op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles,
+    op11_boosted_quality, op12_chat_repair, op13_periodic_runs)}
