@@ -94,10 +94,12 @@ def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     column = "removed"
     while column in names:
         column += "_"
-    cut = (repeated_units(docs, unit, min_words, rank).groupBy("doc_id")
-           .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(column))
-           .withColumnRenamed("doc_id", "_cut_doc"))
-    joined = docs.join(cut, F.col("doc_id").cast("long").eqNullSafe(F.col("_cut_doc")), "left").drop("_cut_doc")
+    key = "_cut_doc"
+    while key in names:
+        key += "_"
+    cut = (repeated_units(docs, unit, min_words, rank).groupBy(F.col("doc_id").alias(key))
+           .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(column)))
+    joined = docs.join(cut, F.col("doc_id").cast("long").eqNullSafe(F.col(key)), "left").drop(key)
     at, spans_at = names.index("text"), len(names)
 
     def drop(batches):

@@ -14,6 +14,7 @@ from .license_scan import license_report
 from .line_dedup import repeated_units
 from .outliers import quality
 from .parity_join import classes
+from .passages import repeated_passages
 from .periodic_runs import planted, run_report
 from .piece_sampler import digests, encoded
 from .sql import ORACLE  # noqa: F401  (re-exported for the entry module)
@@ -33,12 +34,20 @@ def op2_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that stand earlier in the corpus, however
+    their lines break."""
+    start(spark)
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op3_line_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole lines of five words and more that stand earlier in the corpus."""
     start(spark)
     return repeated_units(table(spark, sf_dir, "documents"))
 
 
 def op3_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op3_line_dedup, with short lines (menus, footers) too."""
+    """As op3_line_units, with short lines (menus, footers) too."""
     start(spark)
     return repeated_units(table(spark, sf_dir, "documents"), min_words=1)
 
@@ -97,6 +106,6 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op3_every_line, op4_license_scan, op5_token_trees,
+    op1_robust_outliers, op2_deobfuscate, op3_line_dedup, op3_line_units, op3_every_line, op4_license_scan, op5_token_trees,
     op6_decontaminate, op7_parity_join, op8_byte_gru, op9_piece_sampler, op10_warc_bundles,
     op11_boosted_quality, op12_chat_repair, op13_periodic_runs)}

@@ -72,7 +72,36 @@ SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, least(d.doc_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
 """
 
+#: Words that lie in a 50-word window standing earlier, joined to passages.
+#: Tokens alternate between words and white space, so lengths give the places.
+PASSAGES = rf"""
+WITH d AS (SELECT doc_id, {SPACE_WORDS} AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (
+  SELECT doc_id, i, first_value(doc_id) OVER o AS kept_doc_id, first_value(i) OVER o AS kept, row_number() OVER o AS r
+  FROM g WINDOW o AS (PARTITION BY gram ORDER BY doc_id, i)),
+m AS (
+  SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS new FROM f WHERE r > 1),
+s AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM m),
+p AS (
+  SELECT doc_id, min(i) AS a, max(i) + 49 AS b, arg_min(kept_doc_id, i) AS kept_doc_id, arg_min(kept, i) AS kept
+  FROM s GROUP BY doc_id, island),
+tok AS (
+  SELECT doc_id, unnest(range(1, len(t) + 1)) AS j, unnest(t) AS t
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t FROM documents
+        WHERE doc_id IN (SELECT doc_id FROM p))),
+spot AS (
+  SELECT doc_id, j, regexp_matches(t, '^[^\x20\x09-\x0D]') AS word, length(t) AS n,
+         sum(length(t)) OVER (PARTITION BY doc_id ORDER BY j) AS e FROM tok),
+k AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY j) AS i, e - n AS s, e FROM spot WHERE word)
+SELECT p.doc_id, (a - 1)::BIGINT AS first_word, (b - a + 1)::BIGINT AS n_words, x.s::BIGINT AS start, y.e::BIGINT AS "end",
+       kept_doc_id, (kept - 1)::BIGINT AS kept_word
+FROM p JOIN k x ON x.doc_id = p.doc_id AND x.i = a JOIN k y ON y.doc_id = p.doc_id AND y.i = b
+"""
+
 EVERY_LINE = LINE_DEDUP.replace("len(w) >= 5", "len(w) >= 1")
 
-ORACLE = {"op3_line_dedup": LINE_DEDUP, "op3_every_line": EVERY_LINE, "op6_decontaminate": DECONTAMINATE, "op7_parity_join": PARITY_JOIN,
+ORACLE = {"op3_line_dedup": PASSAGES, "op3_line_units": LINE_DEDUP, "op3_every_line": EVERY_LINE, "op6_decontaminate": DECONTAMINATE, "op7_parity_join": PARITY_JOIN,
           "op10_warc_bundles": WARC}

@@ -402,5 +402,5 @@ def test_short_lines_are_repeats_too(spark, docs):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     got = sorted(tuple(r) for r in QUERIES["op3_every_line"](spark, SF).collect())
     assert got == sorted(con.execute(ORACLE["op3_every_line"]).fetchall())
-    assert set(got) > {tuple(r) for r in QUERIES["op3_line_dedup"](spark, SF).collect()}
+    assert set(got) > {tuple(r) for r in QUERIES["op3_line_units"](spark, SF).collect()}
     assert any(r[4] < 5 for r in got)
