@@ -270,8 +270,14 @@ def identify(docs: DataFrame, model=None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.3, model=None) -> DataFrame:
-    """The documents whose language is known with at least this score, all columns."""
-    shared = start(docs.sparkSession).sparkContext.broadcast(model or fit(docs))
+    """The documents whose language is known with at least this score, all
+    columns. Without any labelled document nothing can be learned, and all
+    documents stay."""
+    spark = start(docs.sparkSession)
+    model = model or fit(docs)
+    if model[1] is None:
+        return docs
+    shared = spark.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def scan(batches):

@@ -9,7 +9,9 @@ the original characters through the word positions.
 
 Defined results: null and empty texts have no words and are not contaminated;
 items without words have no windows; repeated documents are scanned and
-returned once each; repeated items all count; extra columns are ignored.
+returned once each; repeated items all count; items without an id hit like
+others, count as one item together and have no part in ``items_sha256``; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,7 +60,7 @@ def automaton(items: list[tuple[int, str | None]], window: int = WINDOW):
             owners.setdefault(pattern, set()).add(item_id)
     found = ahocorasick.Automaton()
     for pattern, ids in owners.items():
-        found.add_word(pattern, (pattern.count(" ") - 1, len(pattern), tuple(sorted(ids))))
+        found.add_word(pattern, (pattern.count(" ") - 1, len(pattern), tuple(sorted(ids, key=lambda i: (i is not None, i)))))
     if owners:
         found.make_automaton()
     return found
@@ -173,8 +175,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         rows = []
         for doc_id, text, n, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), n_words, hits):
             runs, n_hit, bad = judged(n, found, share)
-            ids = sorted({str(i) for i, _, _ in found})
-            rows.append((doc_id, n, n_hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bad,
+            items = {i for i, _, _ in found}
+            ids = sorted(str(i) for i in items if i is not None)
+            rows.append((doc_id, n, n_hit, len(items), hashlib.sha256(",".join(ids).encode()).hexdigest(), bad,
                          ",".join("%d:%d" % word_offsets(text, a, b) for a, b in runs)))
         return as_batch(rows, RESULT)
 

@@ -171,11 +171,11 @@ _AT = r"(?:[ \t]{0,2}[\(\[\{<][ \t]?(?:at|@)[ \t]?[\)\]\}>][ \t]{0,2}|[ \t]{1,2}
 _DOT = r"(?:[ \t]{0,2}[\(\[\{<][ \t]?(?:dot|\.)[ \t]?[\)\]\}>][ \t]{0,2}|[ \t]{1,2}dot[ \t]{1,2}|\.)"
 #: An address in disguise: word (dot word)* AT word (DOT word)+, found from its AT.
 _DISGUISED_AT = re.compile(_AT, re.I)
-_BEFORE = re.compile(rf"(?:{_WORD}{_DOT})*{_WORD}$", re.I)
+#: The part before the AT, read backwards from it.
+_DOT_BACK = r"(?:[ \t]{0,2}[\)\]\}>][ \t]?(?:tod|\.)[ \t]?[\(\[\{<][ \t]{0,2}|[ \t]{1,2}tod[ \t]{1,2}|\.)"
+_BEFORE = re.compile(rf"{_WORD}(?:{_DOT_BACK}{_WORD})*", re.I)
 _AFTER = re.compile(rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
 _ANY_DOT = re.compile(_DOT, re.I)
-#: Longest local part looked for in front of a disguised ``at``.
-LOCAL_REACH = 128
 
 
 def _addresses(text: str, low: str) -> list[tuple[int, str, int]]:
@@ -183,20 +183,21 @@ def _addresses(text: str, low: str) -> list[tuple[int, str, int]]:
     if "dot" not in low and not ("@" in low or "at" in low and any(c in text for c in "([{<")):
         return []
     edits: list[tuple[int, str, int]] = []
-    last = 0
+    last, backwards = 0, text[::-1]
     for m in _DISGUISED_AT.finditer(text):
         if m.start() < last:
             continue
         after = _AFTER.match(text, m.end())
-        before = after and _BEFORE.search(text[max(last, m.start() - LOCAL_REACH):m.start()])
-        if not before:
+        found = after and _BEFORE.match(backwards, len(text) - m.start(), len(text) - last)
+        if not found:
             continue
-        begin = m.start() - len(before[0])
-        if m[0] == "@" and not re.search(r"dot|[\(\[\{<]", after[0] + before[0], re.I):
+        begin = m.start() - len(found[0])
+        before = text[begin:m.start()]
+        if m[0] == "@" and not re.search(r"dot|[\(\[\{<]", after[0] + before, re.I):
             continue
         if not re.search(r"[\(\[\{<@]", m[0]) and not re.search(r"dot|[\(\[\{<]", after[0], re.I):
             continue  # "look at example.com": prose, not an address
-        edits += [(begin + d.start(), ".", begin + d.end()) for d in _ANY_DOT.finditer(before[0]) if d[0] != "."]
+        edits += [(begin + d.start(), ".", begin + d.end()) for d in _ANY_DOT.finditer(before) if d[0] != "."]
         edits.append((m.start(), "@", m.end()))
         edits += [(m.end() + d.start(), ".", m.end() + d.end()) for d in _ANY_DOT.finditer(after[0]) if d[0] != "."]
         last = after.end()
@@ -279,7 +280,8 @@ def find_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     for begin, kind, end in base_spans(seen):
         for step in reversed(steps):
             begin, end = step.back(begin, end)
-        if not any(a < end and begin < b for a, _, b in base):
+        # what a base span holds whole is known; a larger one is kept beside it
+        if not any(a <= begin and end <= b for a, _, b in base):
             added.append((begin, kind, end))
     return base, added
 

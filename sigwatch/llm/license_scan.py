@@ -14,9 +14,10 @@ so their places are exact up to a 64-bit hash collision with one of some hundred
 The template table is fixed (a parameter), hence its broadcast is bounded;
 a template has at most 64 words, so the 2-grams seen fit one 64-bit mask.
 
-Defined results: one row per doc_id; null and empty texts have no words, no
-labels and score 0; repeated rows of a document count once; extra columns are
-ignored.
+Defined results: one row per document, that is per doc_id and text (a hash of
+the text is part of the key, so documents that share an id, or have none, are
+judged apart); null and empty texts have no words, no labels and score 0; equal
+rows count once; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def _template_grams(templates: tuple[Template, ...]) -> Column:
 def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
                   threshold: float = THRESHOLD, gap: int = MERGE_GAP) -> DataFrame:
     """Verified spans and one marker row (template -1) per document: doc_id,
-    n_words, template, begin, finish (words, inclusive), share."""
+    th (a hash of the text), n_words, template, begin, finish (words, inclusive), share."""
     spark = start(docs.sparkSession)
     grams = (spark.range(1).select(F.explode(_template_grams(templates)).alias("g")).select("g.*")
              .withColumn("h", F.xxhash64("a", "b")))
@@ -100,19 +101,20 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     # letter that becomes ASCII (the Kelvin sign) is taken out first.
     lowered = F.lower(F.replace(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
     words = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                        F.xxhash64(F.col("text").cast("string")).alias("th"),
                         F.array_remove(F.split(lowered, ALNUM_SEPARATORS), "").alias("w"))
-    hashed = words.select("doc_id", F.size("w").cast("long").alias("n_words"),
+    hashed = words.select("doc_id", "th", F.size("w").cast("long").alias("n_words"),
                           F.concat(F.array(F.xxhash64(F.lit(""), F.lit(""))),
                                    F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1)))).alias("h"))
     # entry 0 is the marker; entry i + 1 is the 2-gram at word i. The array is
     # never empty; the outer form keeps the planner from filtering on its size,
     # which would split the text again for every word.
-    places = hashed.select("doc_id", "n_words", F.posexplode_outer("h").alias("at", "h"))
+    places = hashed.select("doc_id", "th", "n_words", F.posexplode_outer("h").alias("at", "h"))
     hits = (places.join(F.broadcast(grams), "h").where((F.col("template") < 0) == (F.col("at") == 0))
-            .select("doc_id", "n_words", "template", "place", (F.col("at") - 1).cast("long").alias("word")))
+            .select("doc_id", "th", "n_words", "template", "place", (F.col("at") - 1).cast("long").alias("word")))
     one = F.lit(1).cast("long")
     votes = (hits.withColumn("diagonal", F.col("word") - F.col("place"))
-             .groupBy("doc_id", "template", "diagonal")
+             .groupBy("doc_id", "th", "template", "diagonal")
              .agg(F.max("n_words").alias("n_words"), F.min("word").alias("lo"), F.max("word").alias("hi"),
                   F.bit_or(F.expr("shiftleft(1L, place)")).alias("mask")))
     exact = F.element_at(F.array(*(F.lit(t.exact) for t in templates)), F.greatest(F.col("template") + 1, F.lit(1)))
@@ -122,17 +124,17 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
              .where((F.col("template") < 0)
                     | F.col("exact") & (F.bit_count("mask") == F.col("total"))
                     | ~F.col("exact") & ((F.bit_count("mask") >= 2) | (F.col("total") <= 2))))
-    by = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    by = Window.partitionBy("doc_id", "th", "template").orderBy("diagonal")
     apart = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(by) > gap)
     spans = (votes.withColumn("new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0))
              .withColumn("island", F.sum("new").over(by))
-             .groupBy("doc_id", "template", "island")
+             .groupBy("doc_id", "th", "template", "island")
              .agg(F.max("n_words").alias("n_words"), F.min("lo").alias("begin"), (F.max("hi") + one).alias("finish"),
                   F.bit_or("mask").alias("mask"), F.max("total").alias("total")))
     share = F.bit_count("mask") / F.col("total")
     return (spans.withColumn("share", F.least(share, F.lit(1.0)))
             .where((F.col("template") < 0) | (F.col("share") >= threshold))
-            .select("doc_id", "n_words", "template", "begin", "finish", "share"))
+            .select("doc_id", "th", "n_words", "template", "begin", "finish", "share"))
 
 
 def license_report(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
@@ -144,8 +146,8 @@ def license_report(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
     label = F.element_at(F.array(*(F.lit(t.label) for t in templates)), of)
     base = (F.col("template") >= 0) & F.element_at(F.array(*(F.lit(t.exact) for t in templates)), of)
     names = lambda when: F.array_join(F.sort_array(F.collect_set(F.when(when, label))), ",")
-    return spans.groupBy("doc_id").agg(
+    return spans.groupBy("doc_id", "th").agg(
         F.max("n_words").alias("n_words"), F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("begin"))).alias("first_word"), F.max(F.when(base, F.col("begin"))).alias("last_word"),
         names(base).alias("base_labels"), names(F.col("template") >= 0).alias("labels"),
-        F.max(F.when(F.col("template") >= 0, F.col("share")).otherwise(0.0)).alias("score"))
+        F.max(F.when(F.col("template") >= 0, F.col("share")).otherwise(0.0)).alias("score")).drop("th")

@@ -306,10 +306,13 @@ def keep_representatives(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
 
     Only ids are classed and counted; the texts are filtered by two small
     tables of ids, which the planner broadcasts or shuffles by their size."""
+    key = "_id"
+    while key in docs.columns:
+        key += "_"
     found = staged(classes(docs, rule).select("doc_id", "component_id"), "classes")
-    gone = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    repeated = staged(found.where("component_id = doc_id").groupBy(F.col("doc_id").alias("_id")).count()
-                      .where("count > 1").select("_id"), "repeated")
-    same = F.col("doc_id").cast("long") == F.col("_id")
+    gone = staged(found.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    repeated = staged(found.where("component_id = doc_id").groupBy(F.col("doc_id").alias(key)).count()
+                      .where("count > 1").select(key), "repeated")
+    same = F.col("doc_id").cast("long") == F.col(key)
     once = docs.join(gone.union(repeated), same, "left_anti")
     return once.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))

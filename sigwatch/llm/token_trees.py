@@ -185,8 +185,8 @@ def update(tree: TokenTree, new_text: str, edits: list[Edit], count: Counter) ->
 
 # ---- on tables --------------------------------------------------------------
 
-_TREE = [("doc_id", pa.int64()), ("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
-_TREE_SQL = "doc_id long, chars array<long>, tokens array<long>"
+_TREE = [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))]
+_TREE_SQL = "doc_id long, text_hash long, chars array<long>, tokens array<long>"
 _UPDATED = [("doc_id", pa.int64()), ("n_before", pa.int64()), ("n_tokens", pa.int64()), ("n_edits", pa.int64()),
             ("n_encoded_again", pa.int64())]
 _UPDATED_SQL = "doc_id long, n_before long, n_tokens long, n_edits long, n_encoded_again long"
@@ -194,7 +194,8 @@ _EDITS_SQL = "array<struct<start:bigint,end:bigint,replacement:string>>"
 
 
 def trees(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """The segment tree of every document: doc_id, chars and tokens (heaps)."""
+    """The segment tree of every document: doc_id, a hash of its text, chars
+    and tokens (heaps). Null and empty texts have a tree of one empty leaf."""
     start(docs.sparkSession)
 
     def scan(batches):
@@ -202,10 +203,10 @@ def trees(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
         for batch in batches:
             built = [build(t, count)[0] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([t.chars for t in built], _TREE[1][1]), pa.array([t.tokens for t in built], _TREE[2][1])],
-                [n for n, _ in _TREE])
+                [batch.column(0), batch.column(2), pa.array([t.chars for t in built], _TREE[2][1]),
+                 pa.array([t.tokens for t in built], _TREE[3][1])], [n for n, _ in _TREE])
 
-    return _texts(docs).mapInArrow(scan, _TREE_SQL)
+    return _texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(scan, _TREE_SQL)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -223,8 +224,11 @@ def _gathered(edits: DataFrame) -> DataFrame:
 
 def apply_edits(docs: DataFrame, kept: DataFrame, edits: DataFrame, ranks: str = RANKS) -> DataFrame:
     """Trees after the edits, from the kept trees: doc_id, chars, tokens,
-    n_before, n_tokens, n_edits, n_encoded_again. Untouched regions are not
-    cut or encoded."""
+    n_before, n_tokens, n_edits, n_encoded_again; one row per document that
+    has a tree. Untouched regions are not cut or encoded.
+
+    A tree belongs to a text, so documents that share an id (or have none) take
+    the tree of their own text and all edits of their id."""
     start(docs.sparkSession)
 
     def scan(batches):
@@ -244,9 +248,14 @@ def apply_edits(docs: DataFrame, kept: DataFrame, edits: DataFrame, ranks: str =
                 [head.column(0), *(pa.array(h, pa.list_(pa.int64())) for h in heaps), *head.columns[1:]],
                 ["doc_id", "chars", "tokens", *(n for n, _ in _UPDATED[1:])])
 
-    rows = _texts(docs).join(kept, "doc_id").join(_gathered(edits), "doc_id", "left")
+    own = (kept.select(F.col("doc_id").alias("_tree_doc"), F.col("text_hash").alias("_tree_text"), "chars", "tokens")
+           .dropDuplicates(["_tree_doc", "_tree_text"]))
+    texts = _texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    rows = texts.join(own, F.col("doc_id").eqNullSafe(F.col("_tree_doc")) & (F.col("text_hash") == F.col("_tree_text")))
+    wanted = _gathered(edits).withColumnRenamed("doc_id", "_edit_doc")
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_edit_doc")), "left")
     return rows.select("doc_id", "text", "chars", "tokens", "edits").mapInArrow(
-        scan, _TREE_SQL + ", " + _UPDATED_SQL.split(", ", 1)[1])
+        scan, _TREE_SQL.replace("text_hash long, ", "") + ", " + _UPDATED_SQL.split(", ", 1)[1])
 
 
 _LONG_DIGITS = regex.compile(r"[0-9]{4,}")
