@@ -1,29 +1,34 @@
-"""Structured Streaming: micro-batch scoring with cross-batch state.
-
-* T1: ``readStream`` (file source; a Kafka source with ``from_json`` into the
-  same schema feeds the same plan) -> ``foreachBatch(score_and_sink)``.
-* T2 / T4: chart state and cooldown state are tables, versioned by batch id
-  under ``<state_dir>``; batch N reads the state of batch N-1 and writes its
-  own, so a replayed batch recomputes the same output (idempotent sinks).
-  The state stays distributed: one row per series / per alert key.
-* T5: repeated ``event_id`` rows are dropped against the ids seen so far
-  (a table by event date; a batch reads the dates that it holds), never by a
-  watermark, so a late row is never lost.
+"""Structured Streaming: scoring with state that the engine keeps.
+
+Two queries:
+
+* ``run_stream`` (T1): ``readStream`` -> chart state per series (T2), event-time
+  release (T3) and de-duplication (T5) in one stateful operator
+  (``series_state.chart_states``) -> ``foreachBatch``: forest and autoencoder
+  scores of the released rows, fusion, one folder of scored rows per batch (U2).
+* ``StreamScorer.alerts`` (T4): reads the scored folders as a stream, keeps the
+  last alert per key (``series_state.cooldown_states``), writes alerts and audit
+  rows.
+
+A batch's folder is written once: a replayed batch whose folder is complete is
+left alone, so the second query sees each row once.
+
+* T3: ``flush`` ends the stream: a row in the control folder moves the watermark
+  past everything, and all waiting rows are released.
 * T6: tumbling per-day KPI as partial counts per micro-batch, summed on read.
-* T7: rates and latencies come from ``StreamingQueryProgress``.
-* U2: results of all micro-batches append into one table (``batch_id``
-  partitions, replaced as a whole when a batch is replayed).
+* T7: rates and latencies come from ``StreamingQueryProgress``; ``counters`` are
+  taken while a batch is written (``Observation``), nothing is scanned twice.
 
-Within a micro-batch rows are scored in event-time order per series; rows
-that arrive after later rows of their series were already scored are
-scored in arrival order, however late they are.
+On a cluster set ``spark.sql.streaming.stateStore.providerClass`` to Spark's
+RocksDB provider, so that state need not fit in memory.
 """
 
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,11 +38,12 @@ from ..operators import charts
 from ..operators import features as FT
 from ..operators import forest as IF
 from ..operators.ensemble import fuse_reference
+from ..operators.small import materialize
 from ..plans.pipeline import EVENT_OUT, Models
 from ..schema import AlertParams, ChartParams
 from ..sources import sinks
 from ..sources.events import adapt_events
-from ..operators.small import materialize
+from .series_state import CONTROL, chart_states, cooldown_states
 
 RAW_EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -45,14 +51,10 @@ RAW_EVENTS = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
-SEEN = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("batch_id", T.IntegerType()),
-                     T.StructField("_date", T.DateType())])
-
-CLOCK_STATE = T.StructType([T.StructField("bound_s", T.DoubleType()), T.StructField("late_rows", T.LongType())])
-
-COOL_STATE = T.StructType([T.StructField("service", T.StringType()),
-                           T.StructField("metric_name", T.StringType()),
-                           T.StructField("last_fired_s", T.DoubleType())])
+#: Later than any event.
+END_OF_STREAM = datetime(9000, 1, 1)
+#: Times in payloads keep their microseconds.
+PAYLOAD_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 
 
 def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -61,183 +63,128 @@ def event_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
     return adapt_events(raw)
 
 
-def _state_path(state_dir: str, name: str, batch_id: int) -> str:
-    return os.path.join(state_dir, name, f"batch={batch_id}")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def _is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to its end. Looks through the Hadoop file
+    system, so any shared store works."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
-def _written_batches(spark: SparkSession, state_dir: str, name: str) -> list[int]:
-    """Ids of the batches whose state was written whole. Lists through the
-    Hadoop file system, so any shared store works."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(os.path.join(state_dir, name))
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    found = []
-    for st in fs.listStatus(base):
-        d = st.getPath().getName()
-        if d.startswith("batch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            found.append(int(d.split("=", 1)[1]))
-    return found
-
-
-def _latest_state(spark: SparkSession, state_dir: str, name: str, batch_id: int, schema):
-    """State written by the newest earlier batch (batch ids may skip)."""
-    prev = [b for b in _written_batches(spark, state_dir, name) if b < batch_id]
-    if not prev:
-        return None
-    return spark.read.schema(schema).parquet(_state_path(state_dir, name, max(prev)))
-
-
 class StreamScorer:
-    """``foreachBatch`` function: score, fuse, alert, audit; keep state tables."""
+    """``foreachBatch`` function: forest, autoencoder, fusion, scored rows."""
 
-    def __init__(self, models: Models, out_dir: str, state_dir: str, chart_p: ChartParams = ChartParams(),
-                 alert_p: AlertParams = AlertParams(), batch_rows: int = 500, hold_seconds: float | None = None):
-        self.models, self.out_dir, self.state_dir = models, out_dir, state_dir
+    def __init__(self, models: Models, out_dir: str, control_dir: str, chart_p: ChartParams = ChartParams(),
+                 alert_p: AlertParams = AlertParams(), batch_rows: int = 500):
+        self.models, self.out_dir, self.control_dir = models, out_dir, control_dir
         self.chart_p, self.alert_p, self.batch_rows = chart_p, alert_p, batch_rows
-        self.hold_seconds = hold_seconds
-        self.last_batch_id = -1
-        self.has_seen = False
-
-    # -- T3: event-time ordered release ------------------------------------
-    def _release(self, spark, s: DataFrame, batch_id: int, final: bool = False) -> DataFrame:
-        """Hold rows newer than (max event time - hold) in a pending table and
-        release the rest, so each series is scored in event-time order up to
-        the hold. Rows older than an earlier release point are scored at once
-        (arrival order) and counted in the clock table; none is dropped."""
-        if self.hold_seconds is None:
-            return s
-        pend_schema = s.schema
-        prev = _latest_state(spark, self.state_dir, "pending", batch_id, pend_schema)
-        clock = _latest_state(spark, self.state_dir, "clock", batch_id, CLOCK_STATE)
-        prev_bound = None
-        late_total = 0
-        if clock is not None:
-            c = clock.first()
-            prev_bound, late_total = c["bound_s"], c["late_rows"]
-        allrows = s if prev is None else s.unionByName(prev)
-        t = F.unix_micros("ts") / F.lit(1e6)
-        mx = allrows.agg(F.max(t)).first()[0]
-        if final or mx is None:
-            bound = float("inf") if final else prev_bound
-        else:
-            bound = mx - float(self.hold_seconds)
-            if prev_bound is not None:
-                bound = max(bound, prev_bound)
-        late = 0 if prev_bound is None else s.where(t <= F.lit(prev_bound)).count()
-        rel = allrows if bound == float("inf") else (allrows.where(F.lit(False)) if bound is None
-                                                     else allrows.where(t <= F.lit(bound)))
-        held = allrows.where(F.lit(False)) if bound == float("inf") else (
-            allrows if bound is None else allrows.where(t > F.lit(bound)))
-        held.write.mode("overwrite").parquet(_state_path(self.state_dir, "pending", batch_id))
-        spark.createDataFrame([(None if bound in (None, float("inf")) else float(bound), int(late_total + late))],
-                              CLOCK_STATE).write.mode("overwrite").parquet(
-            _state_path(self.state_dir, "clock", batch_id))
-        return materialize(rel)
-
-    # -- T5 ------------------------------------------------------------------
-    def _unseen(self, spark, batch: DataFrame, batch_id: int) -> DataFrame:
-        """Rows whose (date, event_id) no earlier batch has had, once each.
-        Only the dates in the batch are read from the table of seen ids, and
-        their number is bounded by the batch."""
-        batch = materialize(batch.dropDuplicates(["event_id"]).withColumn("_date", F.to_date("ts")))
-        path = os.path.join(self.state_dir, "seen")
-        dates = [r[0] for r in batch.select("_date").distinct().collect()]
-        out = batch
-        if self.has_seen or _exists(spark, path):  # an earlier run of the query may have written it
-            seen = spark.read.schema(SEEN).parquet(path).where(F.col("_date").isin(dates) & (F.col("batch_id") < batch_id))
-            out = materialize(batch.join(seen.select("_date", "event_id"), ["_date", "event_id"], "left_anti"))
-        out.select("event_id", "_date").withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite") \
-           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "_date").parquet(path)
-        self.has_seen = True
-        return out.drop("_date")
-
-    def flush(self, spark) -> None:
-        """Score everything still held (end of an available-now run)."""
-        # a new scorer knows no ids: the state tables do
-        known = [b for name in ("pending", "chart") for b in _written_batches(spark, self.state_dir, name)]
-        bid = max([self.last_batch_id, *known]) + 1
-        empty = spark.createDataFrame([], RAW_EVENTS)
-        self(adapt_events(empty), bid, final=True)
-
-    def chart_state_schema(self):
-        key = list(self.chart_p.series_key)
-        return T.StructType([T.StructField(k, T.StringType()) for k in key]
-                            + [T.StructField(n, t) for n, t in charts.STATE_FIELDS])
-
-    def __call__(self, batch: DataFrame, batch_id: int, final: bool = False) -> None:
-        spark = batch.sparkSession
+        self.begin = None  # starts the scoring query again (set by run_stream)
+
+    # -- the control folder --------------------------------------------------
+    def fit_states(self, spark: SparkSession) -> None:
+        """Fitted state of every series, written before the first start."""
+        path = os.path.join(self.control_dir, "fitted")
+        if not _is_written(spark, path):
+            st = charts.initial_state(self.models.baseline, self.chart_p)
+            have = set(st.columns)
+            st.select(*[F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in CONTROL.fields]).write.mode("overwrite").parquet(path)
+
+    def flush(self, spark: SparkSession) -> None:
+        """End the stream: score everything still held, then fire the alerts.
+        Rows that arrive later are scored as they come."""
+        path = os.path.join(self.control_dir, "ended")
+        if not _is_written(spark, path):
+            row = [None] * (len(CONTROL) - 1) + [END_OF_STREAM]
+            spark.createDataFrame([tuple(row)], CONTROL).coalesce(1).write.mode("overwrite").parquet(path)
+        self.begin().awaitTermination()
+        self.alerts(spark).awaitTermination()
+
+    # -- scoring ---------------------------------------------------------------
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Ensemble result of rows that carry their chart columns."""
         m = self.models
-        self.last_batch_id = max(self.last_batch_id, batch_id)
-        batch = self._unseen(spark, batch, batch_id)
-        s = batch.withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type") \
-                 .select(*EVENT_OUT)
-        s = self._release(spark, s, batch_id, final)
-        if s.limit(1).count() == 0:
-            return
-        s = FT.add_row_index(s, batch_rows=self.batch_rows)
+        s = FT.add_row_index(rows, batch_rows=self.batch_rows)
         f = FT.autoencoder_features(s, m.metric_index)
         f = IF.decision(f, FT.FOREST_FEATURES, m.forest)
         f = FT.batch_minmax_confidence(f, "if_decision", "_ifc").withColumn("if_confidence", F.round("_ifc", 4))
         f = AE.score(f, FT.AE_FEATURES, m.autoencoder)
-        f = f.select(*EVENT_OUT, "if_score", "if_is_anomaly", "if_confidence", "reconstruction_error",
-                     "ae_is_anomaly", "ae_confidence")
-        state = _latest_state(spark, self.state_dir, "chart", batch_id, self.chart_state_schema())
-        if state is None:
-            state = charts.initial_state(m.baseline, self.chart_p)
-        folded = charts.chart_with_state(f, state, self.chart_p).checkpoint(eager=True)
-        key = list(self.chart_p.series_key)
-        new_state = folded.where(F.col("_kind") == "s").select(*key, *[n for n, _ in charts.STATE_FIELDS])
-        new_state.write.mode("overwrite").parquet(_state_path(self.state_dir, "chart", batch_id))
-        scored = folded.where(F.col("_kind") == "r").drop("_kind", *[n for n, _ in charts.STATE_FIELDS])
-        result = fuse_reference(scored)
-        self._alerts(spark, result, batch_id)
-        result.drop("votes", "detector_confidences", "voted_detectors") \
-              .withColumn("batch_id", F.lit(int(batch_id))) \
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-              .partitionBy("batch_id").parquet(os.path.join(self.out_dir, "scored"))
-
-    def _alerts(self, spark, result: DataFrame, batch_id: int) -> None:
-        cd = float(self.alert_p.cooldown_sec)
-        prev = _latest_state(spark, self.state_dir, "cooldown", batch_id, COOL_STATE)
-        an = result.where("is_anomaly")
-        if prev is not None:
-            an = an.join(prev, AL.KEY, "left")
-            # drop anomalies still inside the cooldown of an alert from an earlier batch
-            t = F.unix_micros("ts") / F.lit(1e6)
-            an = an.where(F.col("last_fired_s").isNull() | ~(t - F.col("last_fired_s") < F.lit(cd))) \
-                   .drop("last_fired_s")
-        fired = AL.cooldown(an, cd).checkpoint(eager=True)
-        last = fired.groupBy(*AL.KEY).agg(F.max(F.unix_micros("ts") / F.lit(1e6)).alias("last_fired_s"))
-        if prev is not None:
-            last = last.unionByName(prev).groupBy(*AL.KEY).agg(F.max("last_fired_s").alias("last_fired_s"))
-        last.write.mode("overwrite").parquet(_state_path(self.state_dir, "cooldown", batch_id))
-        alerts = AL.alert_rows(fired, self.alert_p)
-        sinks.write_audit(fired if self.alert_p.audit_scope == "fired" else result.where("is_anomaly"),
-                          os.path.join(self.out_dir, "audit"), batch_id=batch_id)
-        alerts.drop("ts").withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite") \
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
+        chart = [n for n, _ in charts.CHART_FIELDS]
+        return fuse_reference(f.select(*EVENT_OUT, "if_score", "if_is_anomaly", "if_confidence", "reconstruction_error",
+                                       "ae_is_anomaly", "ae_confidence", *chart, "late"))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # the stateful plan runs once a batch; a complete folder is a replay
+        rows = materialize(batch)
+        path = os.path.join(self.out_dir, "scored", f"batch_id={int(batch_id)}")
+        if _is_written(spark, path) or rows.isEmpty():
+            return
+        seen = Observation(f"batch {batch_id}")
+        result = self.score(rows).observe(
+            seen, F.count(F.lit(1)).alias("requests"), F.count(F.when(F.col("is_anomaly"), 1)).alias("anomalies"),
+            F.count(F.when(F.col("late"), 1)).alias("late"), F.max("ts").alias("last_ts"))
+        result.write.mode("overwrite").parquet(path)
+        row = {"batch_id": int(batch_id), **seen.get}
+        spark.createDataFrame([row], "batch_id long, requests long, anomalies long, late long, last_ts timestamp") \
+             .coalesce(1).write.mode("overwrite").parquet(os.path.join(self.out_dir, "counters", f"part={int(batch_id)}"))
+
+    # -- alerts ----------------------------------------------------------------
+    def alerts(self, spark: SparkSession, available_now: bool = True):
+        """T4: the alert query over the scored rows; returns the StreamingQuery.
+        The first scored batch must have been written."""
+        path = os.path.join(self.out_dir, "scored")
+        scored = spark.read.parquet(path).schema
+        payload = F.to_json(F.struct(*[F.col(c) for c in scored.names]), PAYLOAD_OPTIONS)
+        anomalies = (spark.readStream.schema(scored).parquet(path).where("is_anomaly")
+                     .select(*AL.KEY, "ts", "event_id", payload.alias("payload")))
+        out = cooldown_states(anomalies, AL.KEY, float(self.alert_p.cooldown_sec))
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            rows = materialize(batch.select(F.from_json("payload", scored, PAYLOAD_OPTIONS).alias("r"), "fired"))
+            if rows.isEmpty():
+                return
+            fired = rows.where("fired").select("r.*").drop("batch_id")
+            audit = fired if self.alert_p.audit_scope == "fired" else rows.select("r.*").drop("batch_id")
+            sinks.write_audit(audit, os.path.join(self.out_dir, "audit"), batch_id=batch_id)
+            AL.alert_rows(fired, self.alert_p).drop("ts").withColumn("batch_id", F.lit(int(batch_id))) \
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id") \
               .json(os.path.join(self.out_dir, "alerts"))
 
+        w = out.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(self.control_dir, "..", "alerts"))
+        return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
 
 def run_stream(spark: SparkSession, source_path: str, models: Models, out_dir: str, checkpoint_dir: str,
                available_now: bool = True, alert_p: AlertParams = AlertParams(), max_files_per_trigger: int = 1,
-               hold_seconds: float | None = None, chart_p: ChartParams = ChartParams()):
+               hold_seconds: float | None = None, chart_p: ChartParams = ChartParams(),
+               remember_seconds: float | None = None):
     """Start the scoring query; returns (StreamingQuery, scorer). With
-    ``hold_seconds`` rows are released in event-time order (T3); call
-    ``scorer.flush(spark)`` after an available-now run to score the tail."""
-    ev = event_stream(spark, source_path, max_files_per_trigger)
-    scorer = StreamScorer(models, out_dir, os.path.join(checkpoint_dir, "state"), chart_p=chart_p,
-                          alert_p=alert_p, hold_seconds=hold_seconds)
-    w = ev.writeStream.foreachBatch(scorer).option("checkpointLocation", os.path.join(checkpoint_dir, "query"))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start(), scorer
+    ``hold_seconds`` rows are released in event-time order (T3). Call
+    ``scorer.flush(spark)`` after an available-now run to score the tail and
+    fire the alerts, or ``scorer.alerts(spark, available_now=False)`` beside a
+    running query. Ids are remembered for ``remember_seconds`` of event time
+    behind the watermark (default: an hour or the hold, whichever is longer)."""
+    control_dir = os.path.join(checkpoint_dir, "control")
+    scorer = StreamScorer(models, out_dir, control_dir, chart_p=chart_p, alert_p=alert_p)
+    scorer.fit_states(spark)
+    remember = max(3600.0, hold_seconds or 0.0) if remember_seconds is None else remember_seconds
+
+    def begin():
+        rows = (event_stream(spark, source_path, max_files_per_trigger)
+                .withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type"))
+        control = spark.readStream.schema(CONTROL).option("recursiveFileLookup", "true").parquet(control_dir)
+        charted = chart_states(rows, control, chart_p, hold_seconds, remember)
+        w = charted.writeStream.foreachBatch(scorer).option("checkpointLocation", os.path.join(checkpoint_dir, "query"))
+        return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+    scorer.begin = begin
+    return begin(), scorer
+
+
+def counters(spark: SparkSession, out_dir: str) -> DataFrame:
+    """A10: requests, anomalies and late rows of each batch, as counted while
+    the batch was written."""
+    return spark.read.parquet(os.path.join(out_dir, "counters")).drop("part")
 
 
 def bucket_kpi_stream(spark: SparkSession, source_path: str, checkpoint_dir: str, out_path: str,
