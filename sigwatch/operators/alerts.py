@@ -1,11 +1,10 @@
 """Alerting: cooldown suppression, routing, alert rows, payloads, summary.
 
-Cooldown (H1) is a greedy fold in event-time order per (service, metric):
-an anomaly fires when no alert of its key fired within ``cooldown_sec``
-before it. Event time replaces the reference's wall clock (deliberate; with
-``cooldown_sec = 0`` nothing is suppressed). Only anomalous rows enter the
-fold, and they are hash-partitioned by key, so each task carries one key's
-last-fired time at a time.
+Cooldown (H1) is greedy in event-time order per (service, metric): an anomaly
+fires when no alert of its key fired within ``cooldown_sec`` before it. Event
+time replaces the reference's wall clock (deliberate; with ``cooldown_sec = 0``
+nothing is suppressed). ``cooldown`` takes it by pointer doubling;
+``segmented_cooldown`` is the same by folds, against which it is tested.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import alert_id, fround, iso_utc, percent2
 from ..schema import AlertParams
+from . import next_fire
 from .carry import ordered_fold
 
 KEY = ["service", "metric_name"]
@@ -79,21 +79,11 @@ def _cooldown_fold(anomalies: DataFrame, cooldown_sec: float, key: list[str], st
 
 
 def cooldown(anomalies: DataFrame, cooldown_sec: float, num_partitions: int | None = None,
-             split_rows: int = 2_000_000, segment_rows: int = 500_000) -> DataFrame:
-    """H1: keep the anomalies that fire. A key with more than ``split_rows``
-    anomalies is folded in parallel event-time segments (``segmented_cooldown``).
-    The anomalies (a small share of the rows) are written once first, so the
-    size check and the fold do not both recompute the detectors upstream."""
-    from .small import materialize
-    anomalies = materialize(anomalies)
-    st = anomalies.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("ts").alias("t0"), F.max("ts").alias("t1")) \
-                  .agg(F.max("n").alias("n"), F.min("t0").alias("t0"), F.max("t1").alias("t1")).first()
-    if st is not None and st["n"] is not None and st["n"] > split_rows:
-        span = max(1.0, (st["t1"] - st["t0"]).total_seconds())
-        seg = max(1, int(span * segment_rows / st["n"]))
-        return segmented_cooldown(anomalies, cooldown_sec, seg, num_partitions)
-    out = _cooldown_fold(anomalies, cooldown_sec, KEY, None, num_partitions)
-    return out.where(F.col("_kind") == "r").select(*anomalies.columns)
+             split_rows: int | None = None, segment_rows: int | None = None) -> DataFrame:
+    """H1: keep the anomalies that fire, for keys of any size by pointer
+    doubling (``next_fire``). ``split_rows`` and ``segment_rows`` have no
+    effect; earlier callers may still pass them."""
+    return next_fire.fired(anomalies, KEY, cooldown_sec, num_partitions)
 
 
 def segmented_cooldown(anomalies: DataFrame, cooldown_sec: float, segment_seconds: int,
