@@ -83,6 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings every job relies on (event time in UTC, checkpoint folder)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # operators with very large rows lower this for themselves
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
