@@ -325,7 +325,7 @@ def trio_scored(spark, sf_dir, metric: str | None = None) -> DataFrame:
     cu = charts.cusum_scan(sh, lim, SERIES)
     cu = cu.select(*sh.columns, F.col("cusum_alarm").alias("cu_vote"),
                    fround(F.least(F.greatest("cusum_pos", "cusum_neg") / 10.0, F.lit(1.0)), 4).alias("cu_conf"))
-    return charts.adaptive_chart(cu, base, ChartParams())
+    return charts.adaptive_chart(cu, base, ChartParams(), rows=s)
 
 
 def fused(spark, sf_dir, strategy="majority_vote", metric: str | None = None):

@@ -53,11 +53,10 @@ def score(stream: DataFrame, models: Models, chart_p: ChartParams = ChartParams(
     positional alignment or re-join is needed."""
     s = stream.withColumnRenamed("is_anomaly", "label").withColumnRenamed("anomaly_type", "label_type") \
               .select(*EVENT_OUT)
-    size = None
+    rows = None
     if batch_rows:
         s = FT.add_row_index(s, batch_rows=batch_rows)
-        # the index is checkpointed: series sizes come from a cheap read
-        size = charts.series_size(s, list(chart_p.series_key))
+        rows = s  # checkpointed: rows are counted by a cheap read
     else:
         s = s.withColumn("batch_key", F.lit(None).cast("long"))
     f = FT.autoencoder_features(s, models.metric_index, one_row=not batch_rows)
@@ -71,7 +70,7 @@ def score(stream: DataFrame, models: Models, chart_p: ChartParams = ChartParams(
     f = f.select(*EVENT_OUT, "batch_key", "if_score", "if_is_anomaly", "if_confidence",
                  "reconstruction_error", "ae_is_anomaly", "ae_confidence")
     base = models.baseline.select("event_id", "ts", "service", "metric_name", "value")
-    f = charts.adaptive_chart(f, base, chart_p, size=size)
+    f = charts.adaptive_chart(f, base, chart_p, rows=rows)
     return fuse_reference(f, strategy, weights)
 
 

@@ -70,10 +70,10 @@ class ChartParams:
     min_window: int = 30
     adaptive: bool = True
     series_key: tuple = ("metric_name",)
-    # a series with more rows than this is folded in time segments in
-    # parallel (exact, by fixed-point iteration of segment start states)
-    split_rows: int = 2_000_000
+    # a series is cut into segments of about so many rows, folded in parallel
     segment_rows: int = 500_000
+    # no effect any more (series above this size were cut); callers may still set it
+    split_rows: int = 2_000_000
 
 
 @dataclass(frozen=True)

@@ -149,3 +149,60 @@ def test_segmented_chart_equals_sequential(lev):
     auto = charts.adaptive_chart(s, b, ChartParams(split_rows=100, segment_rows=700)).toPandas()
     auto = auto.set_index("event_id").sort_index()
     assert (auto["rule_triggered"] == seq["rule_triggered"]).all()
+
+
+def _shifted(spark, days=24, per_hour=60):
+    """Series that leave their level after two days (one comes back on the last
+    day, one swings between two levels) and one that keeps it; a day has more rows than the window."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(8)
+    n, parts = 24 * days * per_hour, []
+    for name, base, up in (("up", 0.0, 80.0), ("down", 0.5, -90.0), ("plain", 0.0, 0.0), ("both", 0.0, 40.0)):
+        v = base + rng.normal(0, 1, n)
+        v[2 * 24 * per_hour:] += up
+        if name == "down":
+            v[-10:] -= up
+        if name == "both":  # far off, now on one side and now on the other
+            v[2 * 24 * per_hour + 1::2] -= 2 * up
+        v[::97] = np.nan
+        parts.append(pd.DataFrame({"event_id": [f"{name}{i:06}" for i in range(n)], "t": np.arange(n) * (3600 // per_hour),
+                                   "metric_name": name, "value": v}))
+    return spark.createDataFrame(pd.concat(parts)).select(
+        "event_id", F.timestamp_seconds("t").alias("ts"), F.lit("svc").alias("service"), "metric_name", "value")
+
+
+@pytest.mark.parametrize("with_baseline", [True, False])
+def test_a_level_shift_over_all_segments_settles_in_few_passes(spark, with_baseline):
+    from pyspark.sql import functions as F
+    df = _shifted(spark)
+    base = df.where(F.col("ts") < F.timestamp_seconds(F.lit(86400))) if with_baseline else None
+    s = df.where(F.col("ts") >= F.timestamp_seconds(F.lit(86400))) if with_baseline else df
+    cut = s.withColumn("_seg", F.floor(F.unix_micros("ts") / F.lit(24 * 3_600_000_000)).cast("long"))
+    n = cut.select("metric_name", "_seg").distinct().count()
+    out, passes = charts.chained_chart(cut, base, ChartParams())
+    got = out.toPandas().set_index("event_id").sort_index()
+    want = charts.sequential_chart(s, base, ChartParams()).toPandas().set_index("event_id").sort_index()
+    assert n >= 92 and passes <= 5, (n, passes)
+    assert (got["rule_triggered"] == want["rule_triggered"]).all() and len(got) == len(want)
+    for c in ("z_score", "cusum_pos", "cusum_neg", "control_mean", "control_std", "cc_confidence"):
+        assert np.allclose(got[c], want[c], atol=2e-4, equal_nan=True), c
+
+
+def test_segments_follow_the_rows(spark):
+    from pyspark.sql import functions as F
+    rows = [("hot", 10 * i) for i in range(2000)] + [("hot", 10 ** 7 + 86400 * i) for i in range(50)] + [("thin", 5)]
+    df = spark.createDataFrame(rows, "metric_name string, t long").withColumn("ts", F.timestamp_seconds("t"))
+    cells = charts.segments_by_rows(df, ["metric_name"], 100)
+    sizes = cells.join(df.withColumn("_cell", charts._cell()), ["metric_name", "_cell"]).groupBy("metric_name", "_seg").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 106 and sizes.count() >= 20
+    assert charts.segments_by_rows(df, ["metric_name"], 5000) is None
+
+
+def test_cut_series_equal_the_whole_fold(lev):
+    b, s = _frames(lev)
+    want = charts.sequential_chart(s, b, ChartParams()).toPandas().set_index("event_id").sort_index()
+    got = charts.adaptive_chart(s, b, ChartParams(segment_rows=300)).toPandas().set_index("event_id").sort_index()
+    assert got.columns.tolist() == want.columns.tolist()
+    for c in ("z_score", "cusum_pos", "cusum_neg", "control_mean", "rule_triggered", "cc_confidence"):
+        assert (got[c] == want[c]).all(), c
