@@ -51,11 +51,9 @@ _UNIT = [("rank", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("nam
          ("lo", pa.int64())]
 _UNIT_SQL = ("rank long, doc_id long, th long, name long, at long, n long, again boolean, start long, end long, "
              "hi long, lo long")
-_WINDOW = [("rank", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()),
-           ("unit_at", pa.int64()), ("at", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("whi", pa.int64()),
+_WINDOW = [("uid", pa.int64()), ("nth", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("whi", pa.int64()),
            ("wlo", pa.int64())]
-_WINDOW_SQL = ("rank long, doc_id long, th long, hi long, lo long, unit_at long, at long, start long, end long, "
-               "whi long, wlo long")
+_WINDOW_SQL = "uid long, nth long, start long, end long, whi long, wlo long"
 
 
 def grams(h: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
@@ -148,13 +146,10 @@ def units_of(h: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, ...] | None
     return names[at], at, n, seen > 1
 
 
-def _spread(batch: pa.RecordBatch, keys: list[int], owner: list, parts: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
-    """Rows of numpy columns (one tuple a part), each with the key columns of
-    the row of ``batch`` that it comes from."""
-    rows = pa.array(np.concatenate(owner) if owner else [], pa.int64())
-    columns = list(zip(*parts)) or [()] * (len(fields) - len(keys))
-    made = [pa.array(np.concatenate(c) if c else [], t) for c, (_, t) in zip(columns, fields[len(keys):])]
-    return pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in keys), *made], [x for x, _ in fields])
+def _columns(parts: list[tuple], fields: list[tuple]) -> list[pa.Array]:
+    """Numpy columns, one tuple a part, laid end to end."""
+    columns = list(zip(*parts)) or [()] * len(fields)
+    return [pa.array(np.concatenate(c) if c else [], t) for c, (_, t) in zip(columns, fields)]
 
 
 def _units(docs: DataFrame, least: int) -> DataFrame:
@@ -172,32 +167,66 @@ def _units(docs: DataFrame, least: int) -> DataFrame:
                 owner.append(np.full(len(at), k))
                 parts.append((names.view(np.int64), at, n, again, starts[at], ends[at + n + least - 2],
                               hi.view(np.int64), lo.view(np.int64)))
-            yield _spread(batch, [0, 1, 2], owner, parts, _UNIT)
+            # each unit has the key columns of its text
+            rows = pa.array(np.concatenate(owner) if owner else [], pa.int64())
+            keys = [batch.column(k).take(rows) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*keys, *_columns(parts, _UNIT[3:])], [x for x, _ in _UNIT])
 
     return docs.mapInArrow(scan, _UNIT_SQL)
 
 
-def _windows(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
-    """The windows of the wanted units, one row each."""
+def _windows(docs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """The windows of the units in ``reps``, one row each: uid, number in the
+    unit, code points, digest."""
     def scan(batches):
         for batch in batches:
-            texts = _Texts(batch.column(3).cast(pa.binary()).to_pylist())
-            owner, parts = [], []
-            for k, units in enumerate(batch.column(4).to_pylist()):
+            texts = _Texts(batch.column(0).cast(pa.binary()).to_pylist())
+            parts = []
+            for k, units in enumerate(batch.column(1).to_pylist()):
                 h, starts, ends = texts.of(k)
                 one, two = grams(h, least).view(np.int64), grams(h, least, 2).view(np.int64)
                 for u in units:
-                    i = np.arange(u["at"], u["at"] + u["n"])
-                    owner.append(np.full(len(i), k))
-                    same = [np.full(len(i), u[x], np.int64) for x in ("hi", "lo", "at")]
-                    parts.append((*same, i, starts[i], ends[i + least - 1], one[i], two[i]))
-            yield _spread(batch, [0, 1, 2], owner, parts, _WINDOW)
-
-    held = wanted.select(F.col("rep.doc_id").alias("_doc"), F.col("rep.th").alias("_th"), F.struct(
-        F.col("rep.at").alias("at"), "n", "hi", "lo").alias("unit")).groupBy("_doc", "_th").agg(
-        F.collect_list("unit").alias("units"))
+                    nth = np.arange(u["n"])
+                    i = u["at"] + nth
+                    parts.append((np.full(len(i), u["uid"], np.int64), nth, starts[i], ends[i + least - 1], one[i], two[i]))
+            yield pa.RecordBatch.from_arrays(_columns(parts, _WINDOW), [x for x, _ in _WINDOW])
+
+    held = reps.groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(
+        F.collect_list(F.struct("at", "n", "uid")).alias("units"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th"))
-    return docs.join(held, same).select("rank", "doc_id", "th", "text", "units").mapInArrow(scan, _WINDOW_SQL)
+    return docs.join(held, same).select("text", "units").mapInArrow(scan, _WINDOW_SQL)
+
+
+def _numbered(live: DataFrame) -> DataFrame:
+    """The units that stand for an ambiguous content, with ``uid``: a number
+    that rises in their order (rank, doc_id, th, at), so that (uid, number of
+    a window) is the order of windows."""
+    n = int(live.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reps = staged(live.where("contents > 1 or again").select("hi", "lo", "n", "rep.*"), "ambiguous")
+    order = ["rank", "doc_id", "th", "at"]
+    return staged(reps.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                  .withColumn("uid", F.monotonically_increasing_id()), "numbered")
+
+
+def _moved(texts: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Ranges of windows of ``reps`` that stand earlier: the unit's content and
+    document, first and last window a and b, code points, the earliest place
+    of the first window, and whether that window heads the unit."""
+    windows = staged(_windows(texts, reps, least), "windows")
+    place = F.struct("uid", "nth")
+    first = (windows.groupBy("whi", "wlo").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+             .select("whi", "wlo", "first"))
+    moved = windows.join(first, ["whi", "wlo"]).where(place != F.col("first"))
+    by = Window.partitionBy("uid").orderBy("nth")
+    new = F.when(F.col("nth") - F.lag("nth").over(by) <= 1, 0).otherwise(1)
+    ranges = (moved.withColumn("new", new).withColumn("island", F.sum("new").over(by)).groupBy("uid", "island")
+              .agg(F.min("nth").alias("from"), F.max("nth").alias("to"), F.min("start").alias("start"),
+                   F.max("end").alias("end"), F.min_by("first", F.struct("nth", "first")).alias("first")))
+    kept = reps.select(F.col("uid").alias("_uid"), F.col("doc_id").alias("kept_doc_id"), F.col("at").alias("_at"))
+    return (ranges.join(reps, "uid").join(kept, F.col("first.uid") == F.col("_uid"))
+            .select("hi", "lo", "doc_id", "th", (F.col("at") + F.col("from")).alias("a"), (F.col("at") + F.col("to")).alias("b"),
+                    "start", "end", "kept_doc_id", (F.col("_at") + F.col("first.nth")).alias("kept_word"),
+                    (F.col("from") == 0).alias("heads")))
 
 
 def _repeats(docs: DataFrame, least: int, rank: Column | None) -> DataFrame:
@@ -209,28 +238,26 @@ def _repeats(docs: DataFrame, least: int, rank: Column | None) -> DataFrame:
                         F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("th"),
                         F.col("text").cast("string").alias("text")).where("text is not null")
     units = staged(_units(texts, least), "units")
-    place = F.struct("rank", "doc_id", "th", "at")
-    apart = lambda c: ~(F.col("doc_id").eqNullSafe(F.col(c + ".doc_id")) & (F.col("th") == F.col(c + ".th"))
-                        & (F.col("at") == F.col(c + ".at")))
-    contents = units.groupBy("name", "hi", "lo").agg(
-        F.min(place).alias("rep"), F.count("*").alias("held"), F.max("n").alias("n"), F.max("again").alias("again"))
+    # the name follows from the content, which is what rows are dealt by
+    contents = units.groupBy("hi", "lo").agg(
+        F.min(F.struct("rank", "doc_id", "th", "at")).alias("rep"), F.count("*").alias("held"), F.max("n").alias("n"),
+        F.max("again").alias("again"), F.max("name").alias("name"))
     names = contents.groupBy("name").agg(F.count("*").alias("contents"), F.sum("held").alias("places"),
                                          F.max("again").alias("any_again")).where("places > 1 or any_again")
     live = staged(contents.join(names.select("name", "contents"), "name"), "contents")
-
-    windows = staged(_windows(texts, live.where("contents > 1 or again"), least), "windows")
-    first = (windows.groupBy("whi", "wlo").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-             .select("whi", "wlo", "first"))
-    moved = staged(windows.join(first, ["whi", "wlo"]).where(apart("first")), "moved")
-
-    own = moved.select("doc_id", "th", F.col("at").alias("a"), F.col("at").alias("b"), "start", "end",
-                       F.col("first.doc_id").alias("kept_doc_id"), F.col("first.at").alias("kept_word"))
-    heads = moved.where("at = unit_at").select("hi", "lo", F.col("first").alias("moved"))
-    kept = (live.where("held > 1").select("name", "hi", "lo", "rep").join(heads, ["hi", "lo"], "left")
-            .select("name", "hi", "lo", "rep", F.coalesce("moved", "rep").alias("first")))
-    others = (units.join(kept, ["name", "hi", "lo"]).where(apart("rep"))
-              .select("doc_id", "th", F.col("at").alias("a"), (F.col("at") + F.col("n") - 1).alias("b"), "start", "end",
-                      F.col("first.doc_id").alias("kept_doc_id"), F.col("first.at").alias("kept_word")))
+    moved = staged(_moved(texts, _numbered(live), least), "moved")
+
+    range_columns = ["doc_id", "th", "a", "b", "start", "end", "kept_doc_id", "kept_word"]
+    own = moved.select(*range_columns)
+    heads = moved.where("heads").select("hi", "lo", F.col("kept_doc_id").alias("_doc"), F.col("kept_word").alias("_word"),
+                                        F.lit(True).alias("_moved"))
+    kept = (live.where("held > 1").join(heads, ["hi", "lo"], "left").select(
+        "hi", "lo", F.struct("rep.doc_id", "rep.th", "rep.at").alias("rep"),
+        F.when(F.col("_moved"), F.col("_doc")).otherwise(F.col("rep.doc_id")).alias("kept_doc_id"),
+        F.coalesce("_word", "rep.at").alias("kept_word")))
+    others = (units.select("doc_id", "th", F.col("at").alias("a"), (F.col("at") + F.col("n") - 1).alias("b"), "start", "end", "hi", "lo")
+              .join(kept, ["hi", "lo"])
+              .where(~F.struct("doc_id", "th", F.col("a").alias("at")).eqNullSafe(F.col("rep"))).select(*range_columns))
     return _joined(own.unionByName(others), least)
 
 
