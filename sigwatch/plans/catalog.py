@@ -572,3 +572,78 @@ def service_counters(spark, sf_dir):
 def lag_summary(spark, sf_dir):
     """Mean lag over detected scenarios per method and the 4 s SLA flag."""
     return EV.mean_lag(EV.detection_lag(_long(spark, sf_dir)))
+
+
+# ---- checked forms of the models, joins and summaries ---------------------------
+
+from ..operators import forest_table as FTB  # noqa: E402
+from ..operators import sketches as SK  # noqa: E402
+from ..operators.quantiles import percentiles  # noqa: E402
+from ..operators.scan import prefix_scan  # noqa: E402
+
+FOREST_TREES, FOREST_SAMPLE, FOREST_SHARE = 100, 128, 0.02
+
+
+def forest_table_scores(spark, sf_dir):
+    """D2 + D3 over a node table that SQL can grow and walk as well: stream rows
+    whose paths are shorter than the 2 % shortest of the baseline are flagged."""
+    base = FT.whole_sequence(data.baseline(_lev(spark, sf_dir)), FT.forest_features).select("event_id", *FT.FOREST_FEATURES)
+    base = materialize(base)  # read by several fit jobs
+    table = FTB.fit(base, FT.FOREST_FEATURES, FOREST_TREES, FOREST_SAMPLE)
+    trained = FTB.score(base, FT.FOREST_FEATURES, table)
+    limit = percentiles(trained, "path_sum", {"limit": FOREST_SHARE}).first()["limit"]
+    out = FTB.score(FT.forest_features(indexed_stream(spark, sf_dir)), FT.FOREST_FEATURES, table)
+    return out.select("event_id", "path_sum", F.round("raw_score", 6).alias("score"),
+                      (F.col("path_sum") < F.lit(limit)).alias("flagged"))
+
+
+def quantile_sketch(spark, sf_dir):
+    """A2 from sketches: per metric and day one KLL sketch, merged per metric;
+    whether the thresholds' ranks are within the sketch's error."""
+    base = data.baseline(_lev(spark, sf_dir)).select("metric_name", "ts", "value")
+    merged = SK.merged(SK.by_bucket(base, ["metric_name"], "value", F.to_date("ts")), ["metric_name"])
+    return SK.rank_check(base, merged, ["metric_name"], "value", {"p02": 0.02, "p975": 0.975})
+
+
+def fuse_joined(spark, sf_dir):
+    """The detectors run apart, each with its own result table, joined on
+    the event id and fused; equal to the single plan's majority vote."""
+    lev = _lev(spark, sf_dir)
+    cols = ["event_id", "ts", "service", "metric_name", "value"]
+    base, s = data.baseline(lev).select(*cols), data.stream(lev).select(*cols)
+    sh = charts.shewhart(s, charts.fitted_stats(base)).select(
+        "event_id", F.col("breach").alias("sh_vote"), fround(F.least(F.abs("z_score") / 6.0, F.lit(1.0)), 4).alias("sh_conf"))
+    cu = charts.cusum_scan(s, charts.reference_limits(s, SERIES, eps=1e-8), SERIES).select(
+        "event_id", F.col("cusum_alarm").alias("cu_vote"),
+        fround(F.least(F.greatest("cusum_pos", "cusum_neg") / 10.0, F.lit(1.0)), 4).alias("cu_conf"))
+    cc = charts.adaptive_chart(s, base, ChartParams()).select("event_id", "cc_is_anomaly", "cc_confidence")
+    j = s.join(sh, "event_id", "left").join(cu, "event_id", "left").join(cc, "event_id", "left")
+    f = EN.fuse(j, TRIO, "majority_vote", TRIO_WEIGHTS)
+    return f.select("event_id", "is_anomaly", "ensemble_confidence", "severity", F.size("voted_detectors").alias("n_votes"))
+
+
+def alert_audit_summary(spark, sf_dir):
+    """A9 whole: alerts by severity, channel and service, and the number of
+    audit records (one a fired alert) with their partitions."""
+    alerts = materialize(fired_alerts(spark, sf_dir))  # read twice
+    audit = alerts.select(F.date_format("ts", "yyyy-MM-dd").alias("date"), "service")
+    counts = audit.agg(F.count("*").alias("records"), F.count_distinct("date", "service").alias("partitions"))
+    rows = counts.select(F.lit("audit").alias("dimension"),
+                         F.explode(F.create_map(F.lit("records"), F.col("records"), F.lit("partitions"), F.col("partitions")))
+                         .alias("key", "alerts"))
+    return AL.alert_summary(alerts).unionByName(rows)
+
+
+def timeline_slice(spark, sf_dir):
+    """V1 whole: a metric's first 800 rows with the reference limits of its
+    series, the side of a violation and the number of the labelled zone."""
+    head = materialize(data.stream(_lev(spark, sf_dir)).where(F.col("metric_name") == "view")
+                       .select("event_id", "ts", "service", "metric_name", "value", "is_anomaly")
+                       .orderBy("ts", "event_id").limit(800))  # the slice is the feature
+    lim = charts.reference_limits(head, SERIES, eps=1e-8).select(*SERIES, "ucl", "lcl")
+    zone = prefix_scan(head.withColumn("_gap", F.when(F.col("is_anomaly"), 0.0).otherwise(1.0)), SERIES, ["ts", "event_id"],
+                       sums={"_island": "_gap"})
+    j = zone.join(lim, list(SERIES), "left")
+    side = F.when(F.col("value") > F.col("ucl"), "above").when(F.col("value") < F.col("lcl"), "below").otherwise("")
+    return j.select("event_id", "service", "value", "is_anomaly", r("ucl").alias("ucl"), r("lcl").alias("lcl"),
+                    side.alias("side"), F.when(F.col("is_anomaly"), F.col("_island").cast("long")).alias("zone"))

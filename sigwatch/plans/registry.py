@@ -63,6 +63,11 @@ QUERIES = {
     "prediction_alignment": C.prediction_alignment,
     "service_counters": C.service_counters,
     "lag_summary": C.lag_summary,
+    "forest_table_scores": C.forest_table_scores,
+    "quantile_sketch": C.quantile_sketch,
+    "fuse_joined": C.fuse_joined,
+    "alert_audit_summary": C.alert_audit_summary,
+    "timeline_slice": C.timeline_slice,
 }
 
 ORACLE = {k: v for k, v in SQL.items() if k in QUERIES}

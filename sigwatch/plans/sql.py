@@ -508,3 +508,81 @@ SQL["lag_summary"] = LONG + """
 SELECT method, """ + sr("coalesce(avg(lag_sec), 0.0)", 2) + """ AS avg_lag_sec, count(lag_sec) AS detected_scenarios,
        """ + sr("coalesce(avg(lag_sec), 0.0)", 2) + """ <= 4.0 AS within_sla
 FROM lag GROUP BY method"""
+
+
+# ------------------------------------------------------------------ node table
+
+def _u(key: str, salt: str) -> str:
+    return f"(CAST(('0x' || substr(md5({key} || '{salt}'), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE)"
+
+
+def forest_table_sql(trees: int, sample: int, depth: int, share: float) -> str:
+    """Grow and walk the node table, one pair of CTEs a level."""
+    out = [L + _IDX + f""",
+bf AS ({_ffeat('bi', '')}), sf AS ({_ffeat('sb')}),
+pool AS (SELECT event_id, f_value AS x0, f_log AS x1, f_diff AS x2 FROM bf
+         WHERE {_u('event_id', ':pool')} < least(1.0::DOUBLE, 1.2::DOUBLE * {trees * sample} / (SELECT count(*) FROM bf))),
+dr AS (SELECT pool.*, t.tree, row_number() OVER (PARTITION BY t.tree ORDER BY {_u("event_id || ':' || t.tree", ':draw')}, event_id) AS r
+       FROM pool, (SELECT unnest(range({trees})) AS tree) t),
+l0 AS (SELECT tree, event_id, x0, x1, x2, 1::BIGINT AS node FROM dr WHERE r <= {sample})"""]
+    key = "tree || ':' || node"
+    for d in range(depth + 1):
+        lohi = ", ".join(f"min(x{i}) OVER w AS lo{i}, max(x{i}) OVER w AS hi{i}" for i in range(3))
+        out.append(f""",
+a{d} AS (SELECT *, count(*) OVER w AS size, {lohi} FROM l{d} WINDOW w AS (PARTITION BY tree, node)),
+b{d} AS (SELECT *, (hi0 > lo0)::INT AS g0, (hi1 > lo1)::INT AS g1, (hi2 > lo2)::INT AS g2 FROM a{d}),
+c{d} AS (SELECT *, floor({_u(key, ':feature')} * (g0 + g1 + g2))::INT AS k FROM b{d}),
+f{d} AS (SELECT *, CASE WHEN NOT (size > 1 AND g0 + g1 + g2 > 0 AND {str(d < depth).upper()}) THEN -1
+                        WHEN g0 = 1 AND k = 0 THEN 0 WHEN g1 = 1 AND k = g0 THEN 1 ELSE 2 END AS feature FROM c{d}),
+p{d} AS (SELECT *, CASE feature WHEN 0 THEN lo0 + {_u(key, ':split')} * (hi0 - lo0) WHEN 1 THEN lo1 + {_u(key, ':split')} * (hi1 - lo1)
+                        WHEN 2 THEN lo2 + {_u(key, ':split')} * (hi2 - lo2) ELSE 0.0::DOUBLE END AS split,
+                CASE feature WHEN 0 THEN x0 WHEN 1 THEN x1 WHEN 2 THEN x2 END AS own FROM f{d}),
+n{d} AS (SELECT DISTINCT tree, node, feature, split, size FROM p{d}),
+l{d + 1} AS (SELECT tree, event_id, x0, x1, x2, 2 * node + (own >= split)::INT AS node FROM p{d} WHERE feature >= 0)""")
+    out.append(f""",
+ev0 AS (SELECT 'b' AS part, event_id, f_value AS x0, f_log AS x1, f_diff AS x2 FROM bf
+        UNION ALL SELECT 's', event_id, f_value, f_log, f_diff FROM sf),
+w0 AS (SELECT ev0.*, t.tree, 1::BIGINT AS node FROM ev0, (SELECT unnest(range({trees})) AS tree) t)""")
+    for d in range(depth + 1):
+        out.append(f""",
+j{d} AS (SELECT w{d}.*, n.feature, n.split, n.size FROM w{d} LEFT JOIN n{d} n USING (tree, node)),
+w{d + 1} AS (SELECT part, event_id, x0, x1, x2, tree,
+                    2 * node + ((CASE feature WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END) >= split)::INT AS node
+             FROM j{d} WHERE feature >= 0)""")
+    c = "(CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329::DOUBLE) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END)"
+    leaf = c.format(n="coalesce(size, 0)::DOUBLE")
+    ends = " UNION ALL ".join(
+        f"SELECT part, event_id, {10_000 * d} + floor({leaf} * 10000 + 0.5)::BIGINT AS path FROM j{d} WHERE coalesce(feature, -1) < 0"
+        for d in range(depth + 1))
+    size = f"least({sample}, (SELECT count(*) FROM bf))::DOUBLE"
+    out.append(f""",
+ends AS ({ends}),
+sums AS (SELECT part, event_id, sum(path)::BIGINT AS path_sum FROM ends GROUP BY 1, 2),
+lim AS (SELECT quantile_cont(path_sum::DOUBLE, {share}) AS cut FROM sums WHERE part = 'b')
+SELECT event_id, path_sum, round(-pow(2.0::DOUBLE, -(path_sum / {10_000 * trees}.0::DOUBLE) / {c.format(n=size)}), 6) AS score,
+       path_sum < (SELECT cut FROM lim) AS flagged
+FROM sums WHERE part = 's'""")
+    return "".join(out)
+
+
+SQL["forest_table_scores"] = forest_table_sql(100, 128, 7, 0.02)
+
+SQL["quantile_sketch"] = L + """
+SELECT metric_name, count(value) AS n, TRUE AS p02_within, TRUE AS p975_within FROM base GROUP BY metric_name"""
+
+SQL["fuse_joined"] = SQL["fuse_majority_vote"]
+
+SQL["alert_audit_summary"] = SQL["alert_summary"] + """
+UNION ALL SELECT 'audit', 'records', count(*) FROM fired
+UNION ALL SELECT 'audit', 'partitions', count(DISTINCT strftime(ts, '%Y-%m-%d') || '/' || service) FROM fired"""
+
+SQL["timeline_slice"] = L + """,
+hd AS (SELECT * FROM strm WHERE metric_name = 'view' ORDER BY ts, event_id LIMIT 800),
+rn AS (SELECT *, row_number() OVER (PARTITION BY service ORDER BY ts, event_id) AS rn,
+              sum(CASE WHEN is_anomaly THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY ts, event_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM hd),
+lim AS (SELECT service, avg(value) AS m, stddev_pop(value) + 1e-8::DOUBLE AS sd FROM rn WHERE rn <= 100 GROUP BY service)
+SELECT event_id, rn.service, value, is_anomaly, round(m + 3.0 * sd, 4) AS ucl, round(m - 3.0 * sd, 4) AS lcl,
+       CASE WHEN value > m + 3.0 * sd THEN 'above' WHEN value < m - 3.0 * sd THEN 'below' ELSE '' END AS side,
+       CASE WHEN is_anomaly THEN island::BIGINT END AS zone
+FROM rn JOIN lim ON lim.service = rn.service"""
