@@ -1,5 +1,7 @@
 """Whole-sequence features over blocks, exact percentiles, restarted streams."""
 
+import datetime as dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -8,7 +10,6 @@ from pyspark.sql import functions as F
 from sigwatch.operators import features as FT
 from sigwatch.operators.quantiles import percentiles
 from sigwatch.plans import data
-from sigwatch.streaming.stream import StreamScorer
 
 
 def test_blocks_join_without_a_seam(lev, monkeypatch):
@@ -38,10 +39,25 @@ def test_percentiles_with_ties_nulls_and_small_groups(spark):
     assert every["c"] == pytest.approx(pd.Series([v for *_, v in rows]).quantile(0.975))
 
 
-def test_a_restarted_scorer_knows_earlier_ids(spark, tmp_path):
-    rows = spark.createDataFrame([("1", "2024-01-05"), ("2", "2024-01-09")], "event_id string, day string") \
-                .select("event_id", F.to_timestamp("day").alias("ts"))
-    again = rows.union(rows.select(F.lit("3").alias("event_id"), "ts").limit(1))
-    new = lambda: StreamScorer(None, str(tmp_path / "out"), str(tmp_path / "state"))
-    assert new()._unseen(spark, rows, 0).count() == 2
-    assert [r["event_id"] for r in new()._unseen(spark, again, 1).collect()] == ["3"]
+def test_a_restarted_query_knows_earlier_ids(spark, tmp_path):
+    from sigwatch.streaming import series_state, stream
+    got = []
+
+    def start(ids):
+        name = f"{tmp_path}/src/{len(ids)}.parquet"
+        spark.createDataFrame([(i, dt.datetime(2024, 1, 4 + i), 1, "view", 1.0, None) for i in ids], stream.RAW_EVENTS) \
+             .toPandas().to_parquet(name, coerce_timestamps="us")
+        rows = stream.event_stream(spark, f"{tmp_path}/src").withColumnRenamed("is_anomaly", "label") \
+                     .withColumnRenamed("anomaly_type", "label_type")
+        control = spark.readStream.schema(series_state.CONTROL).parquet(f"{tmp_path}/control")
+        out = series_state.chart_states(rows, control, remember_seconds=30 * 86400.0)
+        q = out.writeStream.foreachBatch(lambda b, i: got.extend(r["event_id"] for r in b.collect())) \
+               .option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination(200)
+
+    for folder in ("src", "control"):
+        (tmp_path / folder).mkdir()
+    start([1, 2])
+    assert sorted(got) == ["1", "2"]
+    start([1, 2, 3])
+    assert sorted(got) == ["1", "2", "3"]
