@@ -3,9 +3,13 @@
 Every text becomes its set of word shingles (64-bit hashes). A set's parity
 sketch is a bit vector in which each shingle flips one bit: the Hamming
 distance of two sketches never exceeds the symmetric difference of the sets.
-Linked sets of a size band differ in fewer shingles than the band's sketch has
-parts, so by the pigeonhole principle they agree in ``shared_in`` parts or
-more. Joining on (band, part number, part) therefore loses no link.
+A hash deals the shingles of a size band's set into parts, and a part's key is
+the XOR of its shingles' hashes. Linked sets of a band differ in fewer shingles
+than there are parts, so by the pigeonhole principle they agree in
+``shared_in`` parts or more, and joining on (band, part number, key) loses no
+link. A part holds few shingles where the similarity is low, and would often
+agree by chance in a few bits; the keys do not, apart from empty parts, which
+are left out wherever the other shared parts suffice.
 
 1. Equal sets are linked by a 128-bit digest (a partial aggregate).
 2. Documents that share a key are linked to the key's smallest document where
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import as_batch, staged, start
 from .components import components
-from .shingles import (CONTRACT, EDGES, NARROW, Rule, bands_of, difference_limit, linked, own_band, part_words, parts_of,
+from .shingles import (CONTRACT, EDGES, Rule, band_sketch, bands_of, difference_limit, linked, needed_in, own_band, part_keys,
                        shared_in, shingle_set, shingle_sets)
 
 #: Bits of the filter that spares texts without a candidate the shuffle.
@@ -48,26 +52,27 @@ BLOCK = 1024
 GROUP = 256
 
 _HEAD = [("doc_id", pa.int64()), ("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("band", pa.int64())]
-_SETS_SQL = "doc_id long, n long, hi long, lo long, band long, own array<long>, next array<long>"
+_SETS_SQL = ("doc_id long, n long, hi long, lo long, band long, own array<int>, next array<int>, "
+             "own_sketch array<long>, next_sketch array<long>")
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def _lists(arrays: list[np.ndarray], kind) -> pa.ListArray:
     bounds = np.cumsum([0] + [len(a) for a in arrays]).astype(np.int32)
-    flat = np.concatenate(arrays).view(np.int64) if arrays else np.empty(0, np.int64)
+    flat = np.concatenate(arrays).view(kind) if arrays else np.empty(0, kind)
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
 
 def sketched(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     """doc_id, set size n, 128-bit digest of the set (hi, lo), size band, its
-    sketch for the band (own) and, if a linked set can be there, for the next
-    one (next). Of equal sets in one task only the first has sketches: the
-    digest links equal sets, so a group of copies costs one sketch per task."""
+    part keys and bit sketch for the band (own) and, if a linked set can be
+    there, for the next one (next). Of equal sets in one task only the first
+    has them: the digest links equal sets, so a group of copies costs one per task."""
 
     def scan(batches):
         seen: set[bytes] = set()
-        empty = np.empty(0, np.uint64)
+        none = np.empty(0, np.int32), np.empty(0, np.uint64)
         for batch in batches:
-            rows, own, following = [], [], []
+            rows, made = [], {0: [], 1: []}
             for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), rule.words)):
                 digest = blake2b(s.tobytes(), digest_size=16).digest()
                 hi, lo = np.frombuffer(digest, "<i8").tolist()
@@ -75,30 +80,23 @@ def sketched(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
                 rows.append((doc_id, len(s), hi, lo, band))
                 bands = bands_of(len(s), rule) if len(s) and doc_id is not None and digest not in seen else []
                 seen.add(digest)
-                own.append(part_words(s, band, rule).ravel() if band in bands else empty)
-                following.append(part_words(s, band + 1, rule).ravel() if band + 1 in bands else empty)
-            yield pa.RecordBatch.from_arrays([*as_batch(rows, _HEAD).columns, _lists(own), _lists(following)],
-                                             [*(n for n, _ in _HEAD), "own", "next"])
+                for up, parts in made.items():
+                    parts.append((part_keys(s, band + up, rule), band_sketch(s, band + up, rule)) if band + up in bands else none)
+            lists = [_lists([m[k] for m in made[up]], kind) for k, kind in ((0, np.int32), (1, np.int64)) for up in made]
+            yield pa.RecordBatch.from_arrays([*as_batch(rows, _HEAD).columns, *lists],
+                                             [*(n for n, _ in _HEAD), "own", "next", "own_sketch", "next_sketch"])
 
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return df.mapInArrow(scan, _SETS_SQL)
 
 
-def keyed(sets: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
-    """(key, doc_id): one key per band and part of a sketch. The key's lowest
-    bit is the band's, which tells the two bands of a document apart."""
-    wide = next(b for b in range(len(EDGES) - 1) if parts_of(b, rule) > NARROW)
-    parts = lambda words, band: F.when(
-        (F.size(words) == 0), F.array().cast("array<bigint>")).otherwise(F.transform(
-            F.when(band >= wide, words).otherwise(_folded(words)),
-            lambda w, i: F.xxhash64(band, i, w).bitwiseAND(F.lit(-2)).bitwiseOR(band.bitwiseAND(F.lit(1)))))
+def keyed(sets: DataFrame) -> DataFrame:
+    """(key, doc_id): one key per band and part. The key's lowest bit is the
+    band's, which tells the two bands of a document apart."""
+    parts = lambda values, band: F.filter(F.transform(values, lambda x, i: F.when(
+        x != 0, F.xxhash64(band, i, x).bitwiseAND(F.lit(-2)).bitwiseOR(band.bitwiseAND(F.lit(1))))), lambda k: k.isNotNull())
     keys = F.concat(parts(F.col("own"), F.col("band")), parts(F.col("next"), F.col("band") + 1))
-    return sets.select("doc_id", keys.alias("keys")).select(F.explode_outer("keys").alias("key"), "doc_id").where("key is not null")
-
-
-def _folded(words: Column) -> Column:
-    """Hash of each part of 16 words."""
-    return F.transform(F.sequence(F.lit(1), F.size(words), F.lit(16)), lambda i: F.xxhash64(F.slice(words, i, 16)))
+    return sets.select("doc_id", F.explode(keys).alias("key")).select("key", "doc_id")
 
 
 _STAR = [("key", pa.int64()), ("pivot", pa.int64()), ("doc_id", pa.int64())]
@@ -233,19 +231,19 @@ def _block_pairs(rows: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
             .mapInArrow(compare, "u long, v long").distinct())
 
 
-def _shared(band: Column, rule: Rule) -> Column:
-    """Parts that linked sets of a band share at least."""
-    return F.element_at(F.array(*(F.lit(shared_in(b, rule)) for b in range(len(EDGES) - 1))), (band + 1).cast("int"))
+def _per_band(count, band: Column, rule: Rule) -> Column:
+    """A number of parts of each band (``shared_in``, ``needed_in``)."""
+    return F.element_at(F.array(*(F.lit(count(b, rule)) for b in range(len(EDGES) - 1))), (band + 1).cast("int"))
 
 
 def _open(members: DataFrame, holder: DataFrame, rule: Rule) -> DataFrame:
     """The (key, node, component) that can still hold a link: keys of several
     components, and nodes with at least as many of them, in one band, as
-    linked sets share."""
+    linked sets have in common."""
     span = members.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
     mixed = members.join(span.where("a <> b").select("key"), "key", "left_semi").withColumn("odd", F.col("key").bitwiseAND(F.lit(1)))
     enough = (mixed.groupBy("node", "odd").agg(F.count("*").alias("keys")).join(holder.select("node", "band"), "node")
-              .where(F.col("keys") >= _shared(F.col("band") + F.when(F.col("odd") == F.col("band").bitwiseAND(F.lit(1)), 0).otherwise(1), rule))
+              .where(F.col("keys") >= _per_band(needed_in, F.col("band") + F.when(F.col("odd") == F.col("band").bitwiseAND(F.lit(1)), 0).otherwise(1), rule))
               .select("node", "odd"))
     return mixed.join(enough, ["node", "odd"], "left_semi").select("key", "node", "component")
 
@@ -269,7 +267,7 @@ def classes(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
     held = linkable.where("size(own) + size(next) > 0")
     nodes = staged(held.select("doc_id", "hi", "lo", "band").join(equal, ["hi", "lo"])
                    .groupBy("doc_id").agg(F.min("node").alias("node"), F.min("band").alias("band")), "nodes")
-    star = stars(keyed(sets, rule))
+    star = stars(keyed(sets))
     star = (star.join(nodes.select("doc_id", F.col("node").alias("v"), "band"), "doc_id")
             .join(nodes.select(F.col("doc_id").alias("pivot"), F.col("node").alias("u")), "pivot")
             .where("u <> v").select("key", "u", "v", "band"))
@@ -277,7 +275,7 @@ def classes(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
 
     # half of what linked sets share: a document's keys may have several pivots
     shared = (star.groupBy("u", "v").agg(F.count("*").alias("keys"), F.min("band").alias("band"))
-              .where(2 * F.col("keys") >= _shared(F.col("band"), rule)))
+              .where(2 * F.col("keys") >= _per_band(shared_in, F.col("band"), rule)))
     best = shared.groupBy("v").agg(F.max_by("u", F.struct("keys", -F.col("u"))).alias("u"))
     first = verified(docs, best, rule)
     labels = components(first)
@@ -290,8 +288,8 @@ def classes(docs: DataFrame, rule: Rule = CONTRACT) -> DataFrame:
         members = staged(_open(members, holder, rule), "open")
     own = F.col("key").bitwiseAND(F.lit(1)) == F.col("band").bitwiseAND(F.lit(1))
     rows = (_blocks(members).join(holder.select("node", "doc_id"), "node")
-            .join(held.select("doc_id", "n", "band", "own", "next"), "doc_id")
-            .select("key", "p", "q", "mine", "node", "component", "n", F.when(own, F.col("own")).otherwise(F.col("next")).alias("words")))
+            .join(held.select("doc_id", "n", "band", "own_sketch", "next_sketch"), "doc_id")
+            .select("key", "p", "q", "mine", "node", "component", "n", F.when(own, F.col("own_sketch")).otherwise(F.col("next_sketch")).alias("words")))
     second = verified(docs, _block_pairs(rows, rule), rule)
     labels = components(first.union(second))
     classed = _labelled(equal, labels, "node", "component_id").select("hi", "lo", "component_id")

@@ -135,8 +135,18 @@ def difference_in(band: int, rule: Rule = CONTRACT) -> int:
 
 def shared_in(band: int, rule: Rule = CONTRACT) -> int:
     """Parts that linked sets share at least. More than one, so that sets which
-    agree in a part by chance (mostly an empty one) are told from linked ones."""
-    return 1 + difference_in(band, rule) // 8
+    agree in a part by chance are told from linked ones."""
+    return 1 + difference_in(band, rule) // 6
+
+
+def spared_in(band: int, rule: Rule = CONTRACT) -> int:
+    """Empty parts that a set may leave out: fewer than linked sets share."""
+    return 3 * shared_in(band, rule) // 4
+
+
+def needed_in(band: int, rule: Rule = CONTRACT) -> int:
+    """Keys that linked sets have in common at least, empty parts left out."""
+    return shared_in(band, rule) - spared_in(band, rule)
 
 
 def parts_of(band: int, rule: Rule = CONTRACT) -> int:
@@ -156,24 +166,36 @@ def bands_of(n: int, rule: Rule = CONTRACT) -> list[int]:
     return [b for b in bands if difference_in(b, rule)]  # no difference: equal sets, found by digest
 
 
-def sketch(s: np.ndarray, parts: int) -> np.ndarray:
-    """Parity sketch of ``parts`` 64-bit words: every shingle flips one bit, so
-    the Hamming distance of two sketches is at most the symmetric difference,
-    and sets that differ in fewer than ``parts`` shingles agree in a word."""
+def sketch(s: np.ndarray, words: int) -> np.ndarray:
+    """Parity sketch of ``words`` 64-bit words: every shingle flips one bit, so
+    the Hamming distance of two sketches is at most the symmetric difference."""
     h = mix(s ^ _MIX[2])
     # multiply-shift maps the upper half to a word, the lowest six bits to a bit
-    word = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    flips = np.bincount((word << np.uint64(6) | h & np.uint64(63)).astype(np.int64), minlength=64 * parts)
+    word = ((h >> np.uint64(32)) * np.uint64(words)) >> np.uint64(32)
+    flips = np.bincount((word << np.uint64(6) | h & np.uint64(63)).astype(np.int64), minlength=64 * words)
     return np.packbits((flips & 1).astype(np.uint8)).view(np.uint64)
 
 
-#: Words per part where a band has at most this many parts: with so few
-#: shingles a single 64-bit word would not tell sets apart.
-NARROW, WIDE = 3, 16
+def band_sketch(s: np.ndarray, band: int, rule: Rule = CONTRACT) -> np.ndarray:
+    """The set's bit sketch for a band: 32 bits a part."""
+    return sketch(s, max(2, (parts_of(band, rule) + 1) // 2))
+
 
+def part_keys(s: np.ndarray, band: int, rule: Rule = CONTRACT) -> np.ndarray:
+    """The XOR of the shingles' 32-bit hashes in each part; 0: no key.
 
-def part_words(s: np.ndarray, band: int, rule: Rule = CONTRACT) -> np.ndarray:
-    """The set's sketch for a band, as one row of 64-bit words per part."""
+    A part that two sets share has one value in both. Empty parts are equal in
+    sets that have nothing in common, so a set with few of them leaves them
+    out: linked sets share ``shared_in`` parts, of which one of them leaves out
+    at most ``spared_in``. A set with more empty parts keeps them, as 1."""
     parts = parts_of(band, rule)
-    width = WIDE if parts <= NARROW else 1
-    return sketch(s, width * parts).reshape(parts, width)
+    h = mix(s ^ _MIX[1])
+    part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    part, value = part[order], h[order].astype(np.uint32)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    out = np.zeros(parts, np.uint32)
+    out[part[first].astype(np.int64)] = np.bitwise_xor.reduceat(value, first)
+    if np.count_nonzero(out == 0) > spared_in(band, rule):
+        out[out == 0] = 1
+    return out.view(np.int32)
