@@ -15,7 +15,10 @@ from sigwatch.llm.decontaminate import keep_clean
 from sigwatch.llm.deobfuscate import redact
 from sigwatch.llm.parity_join import keep_representatives
 from sigwatch.llm.piece_sampler import encoded
-from sigwatch.llm.shingles import CONTRACT, Rule
+from sigwatch.llm.shingles import Rule
+
+#: Five-word shingles, four fifths shared: the rule of stages without a contract.
+NEAR = Rule(5, 80, 100)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: Rule = CONTRACT) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str, rule: Rule = NEAR) -> DataFrame:
     """Of each class of near copies the document with the smallest id stays."""
     start(spark)
     return keep_representatives(docs, rule)
