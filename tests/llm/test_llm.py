@@ -178,7 +178,72 @@ def test_kept_trees_take_edits(spark, docs):
 def test_blocks_of_items_give_the_same_result(spark, docs):
     from sigwatch.llm.decontaminate import decontaminate
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
-    assert sorted(decontaminate(docs, bench).collect()) == sorted(decontaminate(docs, bench, block_chars=1000).collect())
+    assert sorted(decontaminate(docs, bench).collect()) == sorted(decontaminate(docs, bench, block_words=400).collect())
+
+
+def plain_hits(items, text, window):
+    """Hit words and the items with windows, window by window."""
+    from sigwatch.llm.decontaminate import words_of
+    words, hit, ids = words_of(text), set(), set()
+    for item_id, item in items:
+        w = words_of(item)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            part = w[k:k + window]
+            for at in range(len(words) - len(part) + 1):
+                if words[at:at + len(part)] == part:
+                    hit.update(range(at, at + len(part)))
+                    ids.add(item_id)
+    return hit, ids
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 5, 13])
+def test_anchors_find_every_window(window):
+    from sigwatch.llm.decontaminate import automaton, scan_text
+    rng = random.Random(window)
+    for case in range(150):
+        letters = ["a", "b", "c", "\u00e9x"][:rng.randint(1, 4)]
+        draw = lambda n: " ".join(rng.choice(letters) for _ in range(n))
+        items = [(rng.choice([None, k % 4, k]), draw(rng.choice([0, 1, 3, window - 1, window, 2 * window, 40]))) for k in range(5)]
+        text = " ".join([draw(rng.randint(0, 30)), rng.choice(items)[1], draw(9), "zz", rng.choice(items)[1][3:]])
+        n, hits = scan_text(automaton(items, window), text)
+        want, ids = plain_hits(items, text, window)
+        assert n == len(text.split())
+        assert ({k for _, a, b in hits for k in range(a, b + 1)}, {i for i, _, _ in hits}) == (want, ids)
+
+
+def test_long_items_are_cut_with_an_overlap(spark):
+    from sigwatch.llm.decontaminate import automaton, item_blocks, scan_text
+    rng = random.Random(3)
+    words = [f"w{rng.randint(0, 50)}" for _ in range(500)]
+    bench = spark.createDataFrame([(7, " ".join(words)), (8, "short one"), (9, None)], "item_id long, text string")
+    blocks = list(item_blocks(bench, 60))
+    assert all(sum(len(t.split()) for _, t in b) <= 60 for b in blocks)
+    for at in range(0, 488):
+        text = " ".join(words[at:at + 13])
+        assert any(hit for b in blocks for hit in scan_text(automaton(b), text)[1])
+
+
+def test_spans_stand_on_the_original_characters(spark):
+    from sigwatch.llm.decontaminate import decontaminate
+    passage = "Alpha, b\u00eata; gamma\nDELTA " + " ".join(f"n{k}" for k in range(12))
+    text = "\u00fc\U0001F600 first words. " + passage + ". the end"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, passage.lower().replace(",", "  "))], "item_id long, text string")
+    rows = {r["doc_id"]: r["spans"] for r in decontaminate(docs, bench).collect()}
+    a, b = map(int, rows[1].split(":"))
+    assert text[a:b] == passage and rows[2] == rows[3] == ""
+
+
+def test_automaton_of_a_large_benchmark_is_small():
+    """About 100 bytes a benchmark word, so BLOCK_WORDS bound a worker's memory."""
+    import subprocess
+    import sys
+    code = ("import random, resource; from sigwatch.llm.decontaminate import automaton; r = random.Random(1);"
+            "items = [(k, ' '.join('w%d' % r.randrange(50000) for _ in range(100))) for k in range(2000)];"
+            "a = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss; x = automaton(items);"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - a)")
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()[-1])
+    assert grown < 200 * 300  # KiB: 200,000 words at under 300 bytes, the word table included
 
 
 @pytest.mark.parametrize("rule", [(3, 90, 100), (5, 80, 100)])
