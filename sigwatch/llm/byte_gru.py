@@ -200,11 +200,17 @@ def training_windows(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray
     """Languages, windows and labels of the sample."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    names = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row a language, as in the model
+    names = sorted(r["lang"] for r in counts)
     if not names:
         return [], np.empty((0, LENGTH), np.uint8), np.empty(0, np.int64)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     each = min(PER_LANGUAGE, max(1, SAMPLE // len(names)))
+    # the smallest hashes are ranked: only as many rows as make sure of them reach a language's task
+    cuts = [(r["lang"], -2 ** 63 + min(2 ** 64 - 1, 2 ** 64 * (3 * each + 60) // r["n"])) for r in counts]
+    cuts = docs.sparkSession.createDataFrame(cuts, "_of string, cut long")
+    hashed = F.xxhash64("doc_id")
+    usable = usable.join(F.broadcast(cuts), F.col("lang") == F.col("_of")).where(hashed <= F.col("cut")).select("doc_id", "lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(hashed, "doc_id"))
     chosen = (usable.withColumn("r", rank).where(F.col("r") <= each)
               .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
 
