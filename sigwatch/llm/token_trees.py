@@ -19,6 +19,10 @@ end) code points of the old text with a replacement (null: none), clipped to
 the text; of overlapping edits the first by (start, end, replacement) is
 applied; documents without edits keep their tree; repeated rows are treated
 alike; edits without a document are ignored.
+
+The trees are kept in a table beside their texts (``keep``), written by one
+job and read by the next: after an edit nothing is built anew (``update_kept``),
+and a lost executor costs its tasks only.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_batch, start
+from .common import as_batch, start, work_dir
 
 #: Path of the public vocabulary; a parameter of every operator here.
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -41,8 +45,10 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Characters past a boundary that the pattern may have looked at.
 LOOK_AHEAD = 2
 LEAF = 32
-#: Pre-tokens whose length a worker remembers.
+#: Pre-tokens whose length a worker remembers, and their longest: longer ones,
+#: unspaced text, hardly come again and are counted each time.
 KEPT_COUNTS = 500_000
+KEPT_LENGTH = 48
 
 Edit = tuple[int, int, str]
 
@@ -59,9 +65,11 @@ class Counter(dict):
         self.cut = regex.compile(PATTERN)
 
     def __missing__(self, piece: str) -> int:
-        if len(self) > KEPT_COUNTS:
-            self.clear()
-        n = self[piece] = len(self.coding.encode_ordinary(piece))
+        n = len(self.coding.encode_ordinary(piece))
+        if len(piece) <= KEPT_LENGTH:
+            if len(self) >= KEPT_COUNTS:
+                self.clear()
+            self[piece] = n
         return n
 
 
@@ -272,20 +280,58 @@ def masking_edits(text: str | None) -> list[Edit]:
     return in_order(out, len(text))
 
 
-def counted(docs: DataFrame, make_edits=masking_edits, ranks: str = RANKS) -> DataFrame:
-    """Counts before and after a cleaning pass, tree and update in one scan:
-    doc_id, n_before, n_tokens, n_edits, n_encoded_again."""
-    start(docs.sparkSession)
+_KEPT_SQL = "doc_id long, text string, chars array<long>, tokens array<long>"
+
+
+def keep(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+    """Writes every document with its tree (doc_id, text, chars, tokens) to a
+    table in the shared folder and reads it back. Text and tree lie in one row,
+    so an update shuffles neither."""
+    spark = start(docs.sparkSession)
+
+    def scan(batches):
+        count = counter(ranks)
+        for batch in batches:
+            built = [build(t, count)[0] for t in batch.column(1).to_pylist()]
+            heaps = (pa.array([getattr(t, name) for t in built], pa.list_(pa.int64())) for name in ("chars", "tokens"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *heaps], ["doc_id", "text", "chars", "tokens"])
+
+    path = work_dir(spark, "trees")
+    _texts(docs).mapInArrow(scan, _KEPT_SQL).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(_KEPT_SQL).parquet(path)
+
+
+def _slices(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column without nulls, as views."""
+    values = column.values.to_numpy()
+    bounds = column.offsets.to_numpy().tolist()
+    return [values[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def update_kept(kept: DataFrame, make_edits=masking_edits, ranks: str = RANKS) -> DataFrame:
+    """Counts before and after the edits that ``make_edits`` gives for a text,
+    from the kept trees alone: doc_id, n_before, n_tokens, n_edits,
+    n_encoded_again. The text is cut and encoded only around edits."""
+    start(kept.sparkSession)
 
     def scan(batches):
         count = counter(ranks)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                tree, _ = build(text, count)
-                before, edits = tree.total, make_edits(text)
-                again = update(tree, edited(text, edits), edits, count) if edits else 0
-                rows.append((doc_id, before, tree.total, len(edits), again))
+            for doc_id, text, chars, tokens in zip(*(c.to_pylist() for c in batch.columns[:2]), *map(_slices, batch.columns[2:])):
+                before = after = int(tokens[1])
+                edits, again = make_edits(text), 0
+                if edits:
+                    tree = TokenTree(chars.copy(), tokens.copy())
+                    again = update(tree, edited(text or "", edits), edits, count)
+                    after = tree.total
+                rows.append((doc_id, before, after, len(edits), again))
             yield as_batch(rows, _UPDATED)
 
-    return _texts(docs).mapInArrow(scan, _UPDATED_SQL)
+    return kept.select("doc_id", "text", "chars", "tokens").mapInArrow(scan, _UPDATED_SQL)
+
+
+def counted(docs: DataFrame, make_edits=masking_edits, ranks: str = RANKS) -> DataFrame:
+    """Counts before and after a cleaning pass: one job keeps the trees, the
+    next updates them. One row per document."""
+    return update_kept(keep(docs, ranks), make_edits, ranks)
