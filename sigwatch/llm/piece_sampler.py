@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -47,11 +48,13 @@ SEED = 1
 BYTE_PENALTY = 4.0
 #: Added to a rank before its logarithm: flattens the head of the Zipf law.
 RANK_SHIFT = 10.0
-#: Filters that a Python worker keeps (about half a kilobyte each).
-KEPT_SEGMENTS = 100_000
+#: Lattice nodes (one per character of a segment, some 60 bytes) from which on a
+#: Python worker forgets its filters.
+KEPT_NODES = 1_000_000
 
-#: Rows whose segments are drawn together.
-ROWS = 200
+#: Rows whose segments are drawn together, and their characters, unless a
+#: single text has more.
+ROWS, CHARS = 200, 400_000
 
 _MARK = "▁"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -152,7 +155,7 @@ class Lattice:
 
     def add(self, segments: set[str]) -> None:
         """Filter the segments that are not known yet."""
-        if len(self.known) > KEPT_SEGMENTS:
+        if self.nodes > KEPT_NODES:
             self.__init__(self.vocab, self.alpha)
         by_length: dict[int, list[str]] = {}
         for s in segments:
@@ -296,6 +299,20 @@ def decode(vocab: Vocabulary, ids) -> str | None:
     return b"".join([spelled[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
+def portions(texts: list[str | None], rows: int = ROWS, chars: int = CHARS) -> Iterator[slice]:
+    """Neighbouring texts, at most ``rows`` of them, and of one portion at most
+    ``chars`` characters in all or a single text."""
+    begin, size = 0, 0
+    for k, text in enumerate(texts):
+        more = len(text or "")
+        if k > begin and (k - begin == rows or size + more > chars):
+            yield slice(begin, k)
+            begin, size = k, 0
+        size += more
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """One row per document: the key, its sampled piece ids, their number, and
     whether they decode to the text."""
@@ -306,8 +323,8 @@ def encoded(docs: DataFrame, key: str = "doc_id", model: str = MODEL, alpha: flo
         for batch in batches:
             keys, texts = (c.to_pylist() for c in batch.columns)
             ids = []
-            for a in range(0, len(keys), ROWS):  # bounds the draws that are held at once
-                ids += encode_batch(lattice, keys[a:a + ROWS], texts[a:a + ROWS], seed)
+            for part in portions(texts):  # bounds the nodes and draws that are held at once
+                ids += encode_batch(lattice, keys[part], texts[part], seed)
             same = [decode(lattice.vocab, None if i is None else i.tolist()) == t for i, t in zip(ids, texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())),
