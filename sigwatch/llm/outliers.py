@@ -3,9 +3,11 @@
 Each text gives counts (words, characters in words, symbols, repeated lines,
 words in repeated 3-word windows) and a vector of four transformed shares.
 Per (language, source) the minimum-covariance-determinant estimate is found by
-concentration steps: from a start by medians and quartiles, the ``share`` of
-rows with the smallest Mahalanobis distance gives the next mean and
-covariance. Rows beyond a chi-square quantile of the final distance are
+concentration steps: the ``share`` of rows with the smallest Mahalanobis
+distance gives the next mean and covariance. Two starts are followed, medians
+with quartile spreads and the covariance of spatial signs, each until its
+determinant stops falling; the one with the smaller determinant is the
+group's estimate. Rows beyond a chi-square quantile of the distance to it are
 rejected.
 
 A concentration step is one pass: rows join their group's estimate (a small
@@ -37,7 +39,10 @@ from .common import space_words, staged, start
 
 DIM = 4
 SHARE = 0.75
-STEPS = 6
+#: Steps of a start at most; a determinant has to fall by more than the factor
+#: exp(-LEAST_FALL) for another.
+STEPS = 20
+LEAST_FALL = 1e-6
 MIN_ROWS = 80
 #: Deviation of the logarithm of a word's length, and words that the smallest
 #: repeat of a 3-word window covers.
@@ -137,14 +142,19 @@ FLOORS = [f"f{i}" for i in range(DIM)]
 PAIRS = [(i, j) for i in range(DIM) for j in range(i + 1)]
 
 
+#: An estimate: its group and start, floors, means, Cholesky factor, and the
+#: logarithm of the covariance's determinant.
+ESTIMATE = ["g", "start", *FLOORS, *(f"m{i}" for i in range(DIM)), *(f"l{i}{j}" for i, j in PAIRS), "log_det"]
+
+
 def with_factor(df: DataFrame) -> DataFrame:
     """From means m_i, covariances c_ij (floors added) and floors f_i: the
-    Cholesky factor l_ij, column by column."""
+    Cholesky factor l_ij, column by column, and the determinant."""
     for i, j in PAIRS:
         rest = F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         value = F.sqrt(F.greatest(rest, F.col(FLOORS[i]) / 16)) if i == j else rest / F.col(f"l{j}{j}")
         df = df.withColumn(f"l{i}{j}", value)
-    return df.select("g", *FLOORS, *(f"m{i}" for i in range(DIM)), *(f"l{i}{j}" for i, j in PAIRS))
+    return df.withColumn("log_det", 2 * sum((F.log(f"l{i}{i}") for i in range(DIM)), F.lit(0.0))).select(*ESTIMATE)
 
 
 def with_distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> DataFrame:
@@ -156,10 +166,9 @@ def with_distance(rows: DataFrame, estimate: DataFrame, how: str = "inner") -> D
     return df.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(DIM)), F.lit(0.0)))
 
 
-
-def start_estimate(rows: DataFrame) -> DataFrame:
-    """Medians and quartile spreads per group, from exact fixed-width bins, and
-    the group's floors."""
+def quartile_start(rows: DataFrame) -> DataFrame:
+    """Start 0: medians and quartile spreads per group, from exact fixed-width
+    bins, and the group's floors."""
     stats = F.explode(F.array(*(F.struct(F.lit(i).alias("stat"), F.floor(F.col(X[i]) * STAT_BINS).alias("bin"))
                                 for i in range(DIM))))
     counts = rows.select("g", stats.alias("s")).select("g", "s.*").groupBy("g", "stat", "bin").count()
@@ -173,21 +182,33 @@ def start_estimate(rows: DataFrame) -> DataFrame:
         *(F.max(F.when(F.col("stat") == i, F.pow((F.col("q3") - F.col("q1")) / STAT_BINS / 1.349, F.lit(2.0)))).alias(f"c{i}{i}") for i in range(DIM)))
     wide = wide.join(rows.groupBy("g").agg(*(F.avg(f).alias(f) for f in FLOORS)), "g")
     wide = wide.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + F.col(FLOORS[i]) for i in range(DIM)})
-    return with_factor(wide.withColumns({f"c{i}{j}": F.lit(0.0) for i, j in PAIRS if i != j}))
+    return with_factor(wide.withColumns({f"c{i}{j}": F.lit(0.0) for i, j in PAIRS if i != j}).withColumn("start", F.lit(0)))
+
+
+def sign_start(rows: DataFrame, quartiles: DataFrame) -> DataFrame:
+    """Start 1: the covariance of spatial signs (directions from the medians in
+    units of the quartile spreads), which far rows cannot stretch."""
+    signs = with_distance(rows, quartiles)
+    sign = [F.when(F.col("d2") > 0, F.col(f"y{i}") / F.sqrt("d2")).otherwise(0.0) for i in range(DIM)]
+    same = [*FLOORS, *(f"m{i}" for i in range(DIM)), *(f"l{i}{i}" for i in range(DIM))]
+    wide = signs.groupBy("g").agg(*(F.max(c).alias(c) for c in same), *(F.avg(sign[i] * sign[j]).alias(f"v{i}{j}") for i, j in PAIRS))
+    return with_factor(wide.withColumn("start", F.lit(1)).withColumns({
+        f"c{i}{j}": DIM * F.col(f"v{i}{j}") * F.col(f"l{i}{i}") * F.col(f"l{j}{j}") + (F.col(FLOORS[i]) if i == j else F.lit(0.0))
+        for i, j in PAIRS}))
 
 
 def concentrate(rows: DataFrame, estimate: DataFrame, share: float = SHARE) -> DataFrame:
-    """One step: mean and covariance of each group's rows in the bins of
-    smallest distance that hold ``share`` of them."""
+    """One step of each start: mean and covariance of its group's rows in the
+    bins of smallest distance that hold ``share`` of them."""
     near = with_distance(rows, estimate)
-    moments = (near.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * DISTANCE_BINS)).groupBy("g", "bin")
+    moments = (near.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-6) * DISTANCE_BINS)).groupBy("g", "start", "bin")
                .agg(F.count("*").alias("n"), *(F.max(f).alias(f) for f in FLOORS), *(F.sum(x).alias(f"s{x}") for x in X),
                     *(F.sum(F.col(X[i]) * F.col(X[j])).alias(f"p{i}{j}") for i, j in PAIRS)))
-    by = Window.partitionBy("g")
+    by = Window.partitionBy("g", "start")
     kept = (moments.withColumn("before", F.coalesce(F.sum("n").over(
                 by.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("total", F.sum("n").over(by)).where(F.col("before") < share * F.col("total")))
-    sums = kept.groupBy("g").agg(F.sum("n").alias("n"), *(F.max(f).alias(f) for f in FLOORS), *(F.sum(f"s{x}").alias(f"s{x}") for x in X),
+    sums = kept.groupBy("g", "start").agg(F.sum("n").alias("n"), *(F.max(f).alias(f) for f in FLOORS), *(F.sum(f"s{x}").alias(f"s{x}") for x in X),
                                  *(F.sum(f"p{i}{j}").alias(f"p{i}{j}") for i, j in PAIRS))
     sums = sums.withColumns({f"m{i}": F.col(f"s{X[i]}") / F.col("n") for i in range(DIM)})
     # the subset is cut at the share's quantile: scale to a normal sample's covariance
@@ -197,6 +218,26 @@ def concentrate(rows: DataFrame, estimate: DataFrame, share: float = SHARE) -> D
         + (F.col(FLOORS[i]) if i == j else F.lit(0.0)) for i, j in PAIRS}))
 
 
+def least_determinant(rows: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+    """The estimate of each group: of both starts' last subsets that with the
+    smaller determinant. A start goes on while its determinant falls; the
+    tables here have a row per group and start, the rows of groups that are
+    done are not read into another step."""
+    quartiles = staged(quartile_start(rows), "estimate")
+    starts = quartiles.unionByName(sign_start(rows, quartiles))
+    # a start is no subset of the rows yet: its first step always counts
+    best = staged(starts.withColumns({"log_det": F.lit(math.inf), "falls": F.lit(True)}), "estimate")
+    whole = F.struct(*ESTIMATE, "falls")
+    for _ in range(steps):
+        stepped = concentrate(rows, best.where("falls").drop("falls"), share).withColumn("falls", F.lit(True))
+        both = best.withColumn("falls", F.lit(False)).unionByName(stepped)
+        order = F.col("log_det") + F.when(F.col("falls"), LEAST_FALL).otherwise(0.0)
+        best = staged(both.groupBy("g", "start").agg(F.min_by(whole, order).alias("e")).select("e.*"), "estimate")
+        if not best.where("falls").take(1):
+            break
+    return (best.groupBy("g").agg(F.min_by(F.struct(*ESTIMATE), F.struct("log_det", "start")).alias("e")).select("e.*"))
+
+
 def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS, min_rows: int = MIN_ROWS,
                    probability: float = PROBABILITY) -> DataFrame:
     """Adds base_failed, kept and distance (null where no row passes the base
@@ -225,9 +266,7 @@ def robust_verdict(counts: DataFrame, share: float = SHARE, steps: int = STEPS,
     members = groups.select("_lang", "_source", F.explode(F.array_distinct(F.array_compact(F.array(
         F.col("g"), F.when(F.col("widened"), F.col("language")), F.when(F.lit(all_needed), F.col("all")))))).alias("g"))
     fit = rows.where(~F.col("base_failed")).join(members, same).select("g", *X, *FLOORS)
-    estimate = staged(start_estimate(fit), "estimate")
-    for _ in range(steps):
-        estimate = staged(concentrate(fit, estimate, share), "estimate")
+    estimate = staged(least_determinant(fit, share, steps), "estimate")
     judged = with_distance(grouped, estimate, "left")
     cut = chi_square_quantile(probability, DIM)
     return judged.select(
