@@ -83,3 +83,122 @@ def test_long_local_parts_and_larger_spans_are_redacted():
         base, added = find_spans(text)
         left = redacted(text, base + added)
         assert left.count("<") == 1 and not any(c.isdigit() for c in left) and "abcdefgh" not in left and "seven" not in left, left
+
+
+def test_kept_trees_of_all_documents(spark):
+    from sigwatch.llm import token_trees as T
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(None, None), (None, "a\n12345 b"), (7, ""), (7, "")], "doc_id long, text string"))
+    kept = T.keep(docs)
+    assert kept.columns == ["doc_id", "text", "chars", "tokens"] and kept.count() == docs.count()
+    encode = T.counter().coding.encode_ordinary
+    want = []
+    for doc_id, text in docs.collect():
+        edits = T.masking_edits(text)
+        want.append((str(doc_id), len(encode(text or "")), len(encode(T.edited(text or "", edits))), len(edits)))
+    for got in (T.update_kept(kept), T.counted(docs)):
+        assert sorted((str(r["doc_id"]), r["n_before"], r["n_tokens"], r["n_edits"]) for r in got.collect()) == sorted(want)
+    assert T.counted(docs.where("false")).count() == 0
+
+
+def test_long_pre_tokens_are_not_remembered():
+    from sigwatch.llm import token_trees as T
+    count = T.Counter(T.RANKS)
+    T.build("x" * 5000 + " short " + "y" * T.KEPT_LENGTH, count)
+    assert count and max(map(len, count)) <= T.KEPT_LENGTH
+
+
+def test_lattices_forget_by_their_size():
+    import random
+
+    import numpy as np
+
+    from sigwatch.llm import piece_sampler as P
+    rng = random.Random(2)
+    texts = ["".join(rng.choices("abcdefghij", k=5000)) for _ in range(400)] + [None, "", "end"]
+    cut = list(P.portions(texts))
+    assert [k for part in cut for k in range(len(texts))[part]] == list(range(len(texts)))
+    assert all(sum(len(t or "") for t in texts[part]) <= P.CHARS for part in cut)
+    assert list(P.portions(["x" * 10, None, "y"], rows=2, chars=5)) == [slice(0, 1), slice(1, 3)] and not list(P.portions([]))
+    lattice, held = P.Lattice(P.vocabulary()), []
+    for part in cut:
+        keys = list(range(len(texts)))[part]
+        for ids, text in zip(P.encode_batch(lattice, keys, texts[part]), texts[part]):
+            assert P.decode(lattice.vocab, ids) == text
+        held.append(sum(getattr(lattice, name).data.nbytes for name in ("first_edge", "cut", "size", "piece", "last")))
+    assert lattice.nodes <= P.KEPT_NODES + P.CHARS + len(texts) and max(held) < 200 << 20
+    again = P.encode_batch(P.Lattice(P.vocabulary()), [3], texts[3:4])
+    assert np.array_equal(again[0], P.encode_batch(lattice, [3], texts[3:4])[0])
+
+
+def plain_mcd(x, floors, share, spread_start):
+    """Concentration steps on exact subsets: mean, covariance, log determinant."""
+    import numpy as np
+
+    from sigwatch.llm.outliers import DIM, chi_square_cdf, chi_square_quantile
+    n, take = len(x), int(np.ceil(share * len(x)))
+    factor = share / chi_square_cdf(chi_square_quantile(share, DIM), DIM + 2)
+    q1, mean, q3 = np.quantile(x, [0.25, 0.5, 0.75], axis=0)
+    spread = ((q3 - q1) / 1.349) ** 2 + floors
+    cov, last = np.diag(spread), np.inf
+    if not spread_start:
+        z = (x - mean) / np.sqrt(spread)
+        z /= np.maximum(np.linalg.norm(z, axis=1), 1e-12)[:, None]
+        cov = DIM * z.T @ z / n * np.sqrt(np.outer(spread, spread)) + np.diag(floors)
+    best = None
+    while True:
+        d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        near = x[np.argsort(d2)[:take]]
+        mean, cov = near.mean(axis=0), factor * np.cov(near.T, bias=True) + np.diag(floors)
+        now = np.linalg.slogdet(cov)[1]
+        if now >= last - 1e-9:
+            return best
+        last, best = now, (now, mean, cov)
+
+
+def test_estimate_equals_a_plain_minimum_covariance_determinant(spark):
+    import numpy as np
+
+    from sigwatch.llm import outliers as O
+    rng = np.random.default_rng(9)
+    rows = []
+    for source, n, bad in (("a", 900, 150), ("b", 400, 0), ("c", 300, 70)):
+        words = rng.integers(80, 900, n + bad)
+        for i, w in enumerate(words.tolist()):
+            far = i >= n
+            lines = 40
+            level = float(rng.normal(0.2, 0.05))
+            symbols = abs(level + (0.5 if far else 0.0)) * 0.3
+            chars = int(w * rng.normal(5 + 2 * level, 0.2))
+            rows.append((len(rows), "en", source, w, chars, int(symbols * chars), int(rng.integers(0, 8) + (20 if far else 0)),
+                         int(w * abs(rng.normal(0.1, 0.02) + 0.2 * level)), lines))
+    schema = "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+    df = spark.createDataFrame(rows, schema)
+    got = {r["doc_id"]: r for r in O.robust_verdict(df).collect()}
+    assert len(got) == len(rows)
+    cut = O.chi_square_quantile(O.PROBABILITY, O.DIM)
+    for source in "abc":
+        own = np.array([[r[0], *r[3:]] for r in rows if r[2] == source], float)
+        ids, (w, chars, symbols, dup, rep, lines) = own[:, 0].astype(int), own[:, 1:].T
+        x = np.stack([np.log(chars / w), np.log1p(symbols / chars), np.log1p(dup / lines), np.log1p(rep / w)], axis=1)
+        floors = np.array([(O.WORD_SPREAD ** 2 / w).mean(), (1 / chars ** 2).mean(), (1 / lines ** 2).mean(), ((O.LEAST_REPEAT / w) ** 2).mean()])
+        _, mean, cov = min((plain_mcd(x, floors, O.SHARE, k) for k in (True, False)), key=lambda e: e[0])
+        d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+        ours = np.array([got[i]["distance"] for i in ids])
+        assert np.median(np.abs(ours / d2 - 1)) < 0.1
+        clear = np.abs(np.log(d2 / cut)) > 0.25
+        assert clear.mean() > 0.9
+        assert all(got[i]["kept"] == (d <= cut) for i, d, c in zip(ids, d2, clear) if c)
+
+
+def test_determinants_never_rise(spark):
+    import numpy as np
+
+    from sigwatch.llm import outliers as O
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (400, 4)) @ rng.normal(0, 1, (4, 4))
+    x[:90] += 9.0
+    rows = spark.createDataFrame([(1, *r, *[1e-4] * 4) for r in x.tolist()], ["g", *O.X, *O.FLOORS])
+    by_steps = [O.least_determinant(rows, steps=k).first()["log_det"] for k in (1, 3, 20)]
+    assert all(b <= a + 1e-9 for a, b in zip(by_steps, by_steps[1:]))
+    assert O.least_determinant(rows.where("false")).count() == 0
