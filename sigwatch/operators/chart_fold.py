@@ -1,17 +1,13 @@
-"""The adaptive chart of one series, folded in runs of rows.
+"""The adaptive chart of one series, folded row by row over plain floats.
 
-Two kinds of run have closed forms, so a series is a short list of array
-operations rather than a step per row:
+A flag comes every ten rows or so in skewed data, too often for closed forms over
+runs of rows: their fixed cost per run is tens of rows' worth. So a row costs a
+few float operations: the window's sum and sum of squares are kept about a value
+of the window and move with the rows that join and leave it. They are taken anew
+every ``BLOCK`` rows, and wherever the deviation is so small against what the sums
+have held that their rounding could show.
 
-* a clean run: every row joins the window, so window means and deviations are
-  differences of cumulative sums (taken about the current window's mean, which
-  keeps them exact far from zero);
-* a frozen run: rows outside the sigma limits leave an adaptive window as it
-  is, so mean and deviation are constant.
-
-Within a run a CUSUM ``c' = max(0, c + x)`` is ``S - min(0, min S)`` for the
-running sum S that starts at c. A run ends at the first flagged row (clean) or
-the first row inside the limits (frozen).
+Results are rounded for whole blocks at once.
 
 Rows whose value is null, NaN or infinite have null results, are not flagged
 and leave the state alone.
@@ -19,15 +15,20 @@ and leave the state alone.
 
 from __future__ import annotations
 
+from math import sqrt
+
 import numpy as np
 
 from ..schema import ChartParams
 
-FIRST_RUN, LONGEST_RUN = 32, 4096
+BLOCK = 4096
 TINY = 1e-8
+#: A sum of squares below this share of its peak is taken anew.
+DOUBTFUL = 1e-6
 
 RESULTS = ("z_score", "cusum_pos", "cusum_neg", "control_mean", "control_std", "upper_limit", "lower_limit",
            "cc_is_anomaly", "rule_triggered", "cc_confidence")
+RULES = np.array(["", "3sigma", "cusum_up", "cusum_down"], dtype=object)
 
 
 def clamped_sum(start: float, steps: np.ndarray) -> np.ndarray:
@@ -35,6 +36,28 @@ def clamped_sum(start: float, steps: np.ndarray) -> np.ndarray:
     return total - np.minimum(0.0, np.minimum.accumulate(total))
 
 
+def rounded(values: np.ndarray, places: int) -> np.ndarray:
+    """Python's ``round`` of many values. Away from ties and below 2^52 scaled,
+    the nearest multiple divided once is the same double; the rest is rounded one by one."""
+    scale = 10.0 ** places
+    with np.errstate(over="ignore", invalid="ignore"):
+        scaled = values * scale
+        whole = np.rint(scaled)
+        out = whole / scale
+        # the product is off by half an ulp at most: far less than this below 1e11
+        sure = (np.abs(np.abs(scaled - whole) - 0.5) > 1e-4) & (np.abs(scaled) < 1e11)
+    for k in np.flatnonzero(~sure).tolist():
+        out[k] = round(float(values[k]), places)
+    return out
+
+
+def _ratio(a: float, b: float) -> float:
+    """a / b as floats divide: a fitted deviation may be zero."""
+    if b:
+        return a / b
+    return float("nan") if a == 0 or a != a else (float("inf") if a > 0 else float("-inf"))
+
+
 class SeriesFold:
     """State between rows: window of values, two CUSUMs, fitted limits."""
 
@@ -50,99 +73,105 @@ class SeriesFold:
         """Baseline values: they fill the window and are not judged."""
         self.window = np.concatenate([self.window, values[np.isfinite(values)]])[-self.p.window:]
 
-    def _uses_window(self, held: int) -> bool:
-        if self.p.adaptive and held >= self.p.min_window:
-            return True
-        return self.fit is None and held > 0
-
-    def _limits(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean and deviation in front of each row of a run that joins the window."""
-        held = len(self.window)
-        if not self._uses_window(held):
-            mean, std = self.fit or (0.0, 1.0)
-            return np.full(len(run), mean), np.full(len(run), std)
-        centre = self.window.mean()
-        about = np.concatenate([self.window, run]) - centre
-        last = held + np.arange(len(run))
-        first = np.maximum(0, last - self.p.window)
-        total = np.concatenate([[0.0], np.cumsum(about)])
-        squares = np.concatenate([[0.0], np.cumsum(about * about)])
-        shift = (total[last] - total[first]) / (last - first)
-        spread = (squares[last] - squares[first]) / (last - first) - shift * shift
-        return centre + shift, np.sqrt(np.maximum(spread, 0.0)) + TINY
-
-    def _longest(self) -> int:
-        """How many rows have limits of one kind: the window's, or the fitted ones."""
-        held = len(self.window)
-        if self._uses_window(held):
-            return LONGEST_RUN
+    def _window_rows(self) -> float:
+        """Rows that the window must hold before limits are taken from it."""
         if self.fit is None:
             return 1
-        return max(1, self.p.min_window - held) if self.p.adaptive else LONGEST_RUN
-
-    def _judge(self, values: np.ndarray, mean: np.ndarray, std: np.ndarray) -> tuple:
-        z = (values - mean) / std
-        up = clamped_sum(self.cusum[0], z - self.p.cusum_k)
-        down = clamped_sum(self.cusum[1], -z - self.p.cusum_k)
-        rule = np.select([np.abs(z) > self.p.sigma, up > self.p.cusum_h, down > self.p.cusum_h], [1, 2, 3], 0)
-        return z, up, down, mean, std, rule
-
-    def _take(self, judged: tuple, n: int) -> tuple:
-        """Accept the first n rows: CUSUMs move on, an alarm resets them."""
-        rows = tuple(x[:n] for x in judged)
-        self.cusum = (0.0, 0.0) if rows[5][-1] > 1 else (float(rows[1][-1]), float(rows[2][-1]))
-        return rows
-
-    def _clean_run(self, values: np.ndarray) -> tuple:
-        judged = self._judge(values, *self._limits(values))
-        flagged = np.flatnonzero(judged[5])
-        n = int(flagged[0]) + 1 if len(flagged) else len(values)
-        joins = n - 1 if self.p.adaptive and len(flagged) else n
-        self.window = np.concatenate([self.window, values[:joins]])[-self.p.window:]
-        return self._take(judged, n)
-
-    def _frozen_run(self, values: np.ndarray) -> tuple | None:
-        """Rows outside the limits of a window that does not move; None if the
-        first row is inside."""
-        mean, std = (x[0] for x in self._limits(values[:1]))
-        inside = np.flatnonzero(np.abs((values - mean) / std) <= self.p.sigma)
-        n = int(inside[0]) if len(inside) else len(values)
-        if n == 0:
-            return None
-        return self._take(self._judge(values[:n], np.full(n, mean), np.full(n, std)), n)
+        return max(1, self.p.min_window) if self.p.adaptive else float("inf")
 
-    def fold(self, values: np.ndarray) -> dict[str, list]:
-        """Judge rows in order; one list per result column."""
-        finite = np.isfinite(values)
-        rest = values[finite]
-        runs, at, reach = [], 0, FIRST_RUN
-        while at < len(rest):
-            part = rest[at:at + min(reach, self._longest())]
-            rows = self._clean_run(part)
-            ended = bool(rows[5][-1])
-            reach = max(FIRST_RUN, reach // 2) if ended else min(LONGEST_RUN, 2 * reach)
-            runs.append(rows)
-            at += len(rows[5])
-            if ended and rows[5][-1] == 1 and self.p.adaptive and at < len(rest):
-                frozen = self._frozen_run(rest[at:at + LONGEST_RUN])
-                if frozen is not None:
-                    runs.append(frozen)
-                    at += len(frozen[5])
-        z, up, down, mean, std, rule = (np.concatenate(x) for x in zip(*runs)) if runs else [np.empty(0)] * 6
-        return self._columns(finite, z, up, down, mean, std, rule)
-
-    def _columns(self, finite, z, up, down, mean, std, rule) -> dict[str, list]:
+    def limits(self) -> tuple[float, float]:
+        """Mean and deviation in front of the next row."""
+        held = len(self.window)
+        if held < self._window_rows():
+            return self.fit or (0.0, 1.0)
+        centre, total, squares = _about(self.window)
+        shift = total / held
+        return centre + shift, sqrt(max(squares / held - shift * shift, 0.0)) + TINY
+
+    def judge(self, values: np.ndarray) -> tuple[np.ndarray, ...]:
+        """z, CUSUMs (before a reset), mean, deviation and rule of finite values, in order."""
+        blocks = [self._block(values[at:at + BLOCK]) for at in range(0, len(values), BLOCK)]
+        return tuple(np.concatenate(x) for x in zip(*blocks)) if blocks else (*[np.empty(0)] * 5, np.empty(0, dtype=np.int64))
+
+    def _block(self, values: np.ndarray) -> tuple:
+        p = self.p
+        k, h, sigma, adaptive, size, needed = p.cusum_k, p.cusum_h, p.sigma, p.adaptive, p.window, self._window_rows()
+        window, first = self.window.tolist(), 0
+        held = len(window)
+        centre, total, squares = _about(self.window) if held else (0.0, 0.0, 0.0)
+        peak = squares
+        up, down = self.cusum
+        mean, std = self.fit or (0.0, 1.0)
+        moved = True
+        zs, ups, downs, means, stds, rules = [], [], [], [], [], []
+        for x in values.tolist():
+            if moved and held >= needed:
+                shift = total / held
+                spread = squares / held - shift * shift
+                if spread * held < DOUBTFUL * peak and peak > 1e-20 * held:
+                    centre, total, squares = _about(np.array(window[first:]))
+                    peak = squares
+                    shift = total / held
+                    spread = squares / held - shift * shift
+                mean = centre + shift
+                std = (0.0 if spread <= 0.0 else sqrt(spread)) + TINY
+            moved = False
+            z = (x - mean) / std if std else _ratio(x - mean, std)
+            up += z - k
+            if up < 0.0:
+                up = 0.0
+            down -= z + k
+            if down < 0.0:
+                down = 0.0
+            rule = 1 if z > sigma or z < -sigma else 2 if up > h else 3 if down > h else 0
+            zs.append(z)
+            ups.append(up)
+            downs.append(down)
+            means.append(mean)
+            stds.append(std)
+            rules.append(rule)
+            if rule > 1:
+                up = down = 0.0
+            if rule == 0 or not adaptive:
+                if held == 0:
+                    centre = x
+                y = x - centre
+                window.append(x)
+                total += y
+                squares += y * y
+                if held == size:
+                    y = window[first] - centre
+                    first += 1
+                    total -= y
+                    squares -= y * y
+                else:
+                    held += 1
+                if squares > peak:
+                    peak = squares
+                moved = True
+        self.window = np.array(window[first:], dtype=np.float64)
+        self.cusum = (up, down)
+        return (*[np.array(x, dtype=np.float64) for x in (zs, ups, downs, means, stds)], np.array(rules, dtype=np.int64))
+
+    def columns(self, values: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Which values are finite, and the result columns of those, in order."""
         p = self.p
-        four = lambda x: [round(v, 4) for v in x.tolist()]
+        finite = np.isfinite(values)
+        z, up, down, mean, std, rule = self.judge(values[finite])
         sure = np.maximum(np.minimum(np.abs(z) / (2 * p.sigma), 1.0),
                           np.minimum(np.maximum(up, down) / (2 * p.cusum_h), 1.0))
-        names = np.array(["", "3sigma", "cusum_up", "cusum_down"], dtype=object)
+        shown = np.where(rule > 1, 0.0, 1.0)  # an alarm reports the CUSUMs after their reset
         # the mean of 2-decimal data can sit on a tie of the fourth place:
         # settle its last bits at eight places first
-        shown = np.where(rule > 1, 0.0, 1.0)  # an alarm reports the CUSUMs after their reset
-        columns = [four(z), four(up * shown), four(down * shown), [round(round(v, 8), 4) for v in mean.tolist()], four(std),
-                   four(mean + p.sigma * std), four(mean - p.sigma * std), (rule > 0).tolist(),
-                   names[rule.astype(int)].tolist(), four(sure)]
+        columns = [rounded(z, 4), rounded(up * shown, 4), rounded(down * shown, 4), rounded(rounded(mean, 8), 4),
+                   rounded(std, 4), rounded(mean + p.sigma * std, 4), rounded(mean - p.sigma * std, 4), rule > 0,
+                   RULES[rule], rounded(sure, 4)]
+        return finite, dict(zip(RESULTS, columns))
+
+    def fold(self, values: np.ndarray) -> dict[str, list]:
+        """Judge rows in order; one list per result column."""
+        finite, found = self.columns(values)
+        columns = [x.tolist() for x in found.values()]
         if not finite.all():
             places = np.flatnonzero(finite).tolist()
             blanks = [None] * 7 + [False, "", None]
@@ -152,3 +181,10 @@ class SeriesFold:
                     full[place] = v
                 columns[k] = full
         return dict(zip(RESULTS, columns))
+
+
+def _about(window: np.ndarray) -> tuple[float, float, float]:
+    """A value of the window near its mean; sum and sum of squares about it."""
+    centre = window[np.abs(window - window.mean()).argmin()]
+    about = window - centre
+    return float(centre), float(about.sum()), float(about @ about)

@@ -206,3 +206,52 @@ def test_cut_series_equal_the_whole_fold(lev):
     assert got.columns.tolist() == want.columns.tolist()
     for c in ("z_score", "cusum_pos", "cusum_neg", "control_mean", "rule_triggered", "cc_confidence"):
         assert (got[c] == want[c]).all(), c
+
+
+def test_the_stream_is_read_once_where_its_rows_are_given(spark, lev):
+    """Detectors in front of the chart run once, also where series are cut."""
+    b, s = _frames(lev)
+    s = s.localCheckpoint()
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    out = charts.adaptive_chart(s.mapInArrow(counted, s.schema), b, ChartParams(segment_rows=300), rows=s)
+    out.write.format("noop").mode("overwrite").save()
+    assert read.value == s.count()
+
+
+def test_start_states_reach_the_folds_as_they_are(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("metric_name", T.StringType()), T.StructField("_seg", T.LongType()),
+                           *[T.StructField(n, t) for n, t in charts.STATE_FIELDS]])
+    win = [0.1, 1e-300, -2.5e17, 1 / 3]
+    starts = spark.createDataFrame([("m", 1, win, 0.1 + 0.2, 4.0, None, None), (None, 2, [], 0.0, 0.0, 1 / 7, 2.0)], schema)
+    rows = spark.createDataFrame([("m", 1, "a", 1.0)], "metric_name string, _seg long, event_id string, value double")
+    both = charts._with_starts(rows, starts, ["metric_name", "_seg"])
+    assert not any(isinstance(f.dataType, T.ArrayType) for f in both.schema.fields)
+    first, second = [charts._started(x, ChartParams()) for x in
+                     both.where("_phase = 0").orderBy("_seg").toArrow().to_batches(max_chunksize=1)]
+    assert first.window.tolist() == win and first.cusum == (0.1 + 0.2, 4.0) and first.fit is None
+    assert second.window.tolist() == [] and second.cusum == (0.0, 0.0) and second.fit == (1 / 7, 2.0)
+
+
+def test_rounding_of_blocks_is_python_rounding():
+    from sigwatch.operators.chart_fold import rounded
+    rng = np.random.default_rng(5)
+    v = np.concatenate([rng.normal(0, 100, 5000), np.round(rng.normal(0, 10, 5000), 5), rng.normal(0, 1e13, 100),
+                        [np.nan, np.inf, -np.inf, 0.0, -0.0, 0.00005, 0.00015, 1e308]])
+    for places in (4, 8):
+        assert np.array_equal(rounded(v, places), [round(x, places) for x in v.tolist()], equal_nan=True)
+
+
+def test_a_window_that_turns_constant_has_no_deviation_left():
+    rng = np.random.default_rng(6)
+    v = np.concatenate([np.round(rng.normal(5000, 2000, 900), 2), np.full(1200, 5000.1)])
+    got = SeriesFold(ChartParams(adaptive=False)).judge(v)
+    for i in (1399, 1400, 1500, 2099):
+        window, std = v[i - 500:i], 1e-8 if i >= 1400 else v[i - 500:i].std() + 1e-8
+        assert abs(got[3][i] - window.mean()) < 1e-9 and abs(got[4][i] - std) < max(1e-12, 1e-6 * std), i
