@@ -153,7 +153,8 @@ def fit_autoencoder(train: DataFrame, feature_cols, p: AutoencoderParams = Autoe
         vec = _averaged(res, "weights")
         history += list(_averaged(res, "losses"))
     model = AutoencoderModel(vec, n_in, p, mean, std, losses=history)
-    errs = errors(data, cols, model, "_e")
+    # written once: the selection reads its rows several times
+    errs = materialize(errors(data, cols, model, "_e").select("event_id", "_e"))
     model.threshold = float(percentiles(errs, "_e", {"thr": p.threshold_percentile / 100.0}).first()["thr"])
     return model
 

@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 
 from ..schema import ForestParams
 from .quantiles import percentiles
+from .small import materialize
 
 EULER_GAMMA = 0.5772156649015329
+WALK_ROWS = 4096
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()), T.StructField("node_id", T.IntegerType()),
@@ -106,24 +108,36 @@ class Forest:
             path[t, i] = g["depth"].to_numpy() + avg_path_length(g["size"].to_numpy())
         return Forest(feat, split, left, right, path, sample_size, np.asarray(mean), np.asarray(std))
 
+    def _steps(self) -> list[tuple]:
+        """Per tree arrays for walking all rows alike: node i stands at 2i, its
+        children (left, right) at 2i and 2i + 1, and a leaf is its own child."""
+        out = []
+        for t in range(self.feature.shape[0]):
+            inner, at = self.feature[t] >= 0, np.arange(self.feature.shape[1])
+            child = np.stack([np.where(inner, self.left[t], at), np.where(inner, self.right[t], at)], axis=1)
+            depth, level = 0, np.array([0])
+            while len(level := level[inner[level]]):
+                depth, level = depth + 1, child[level].ravel()
+            feature, split, path = np.maximum(self.feature[t], 0), self.split[t], self.leaf_path[t]
+            out.append((feature.repeat(2), split.repeat(2), 2 * child.ravel(), path.repeat(2), depth))
+        return out
+
     def score_samples(self, x_raw: np.ndarray) -> np.ndarray:
         """sklearn convention: ``-2^(-E[h(x)]/c(sample))`` (lower = more anomalous)."""
         x = (x_raw - self.scaler_mean) / self.scaler_std
-        n = len(x)
+        n, d = x.shape
         total = np.zeros(n)
-        rows = np.arange(n)
-        for t in range(self.feature.shape[0]):
-            node = np.zeros(n, dtype=np.int64)
-            while True:
-                f = self.feature[t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                fi = np.where(inner, f, 0)
-                go_left = x[rows, fi] < self.split[t, node]
-                nxt = np.where(go_left, self.left[t, node], self.right[t, node])
-                node = np.where(inner, nxt, node)
-            total += self.leaf_path[t, node]
+        trees = self._steps()
+        # blocks whose arrays stay in the processor's cache while all trees walk them
+        for at in range(0, n, WALK_ROWS):
+            values = x[at:at + WALK_ROWS].ravel()
+            first = np.arange(0, len(values), d)
+            for feature, split, child, path, depth in trees:
+                node = np.zeros(len(first), dtype=np.int64)
+                for _ in range(depth):
+                    node += ~(values.take(first + feature.take(node)) < split.take(node))
+                    node = child.take(node)
+                total[at:at + WALK_ROWS] += path.take(node)
         mean_path = total / self.feature.shape[0]
         c = float(avg_path_length(np.array([self.sample_size]))[0])
         return -np.power(2.0, -mean_path / c)
@@ -180,7 +194,8 @@ def fit_forest(train: DataFrame, feature_cols, params: ForestParams = ForestPara
     # contamination offset and threshold from the training scores (Q9), one
     # selection: percentiles are shift-equivariant, so the threshold on the shifted
     # scores is the plain percentile minus the offset
-    scored = score(train, cols, forest, "_s")
+    # written once: the selection reads its rows several times
+    scored = materialize(score(train, cols, forest, "_s").select("event_id", "_s"))
     thr_pct = (100.0 - params.threshold_percentile) / 100.0
     p_off, p_thr = percentiles(scored, "_s", {"off": params.contamination, "thr": thr_pct}).first()
     forest.offset = float(p_off)

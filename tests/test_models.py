@@ -123,3 +123,42 @@ def test_autoencoder_scores_equal_local_numpy(feats, ae):
             h = np.maximum(h, 0.0)
     err = ((x - h) ** 2).mean(axis=1)
     assert np.allclose(pdf["reconstruction_error"].to_numpy(), np.round(err, 8), atol=1e-8)
+
+
+def test_training_scores_are_taken_once(spark, monkeypatch):
+    """The selection of a threshold reads its rows several times: it gets a
+    written table, not the models' scoring."""
+    train = spark.range(300).select(F.col("id").cast("string").alias("event_id"), (F.col("id") % 17).cast("double").alias("a"),
+                                    F.sin("id").alias("b"))
+    seen = []
+    for module in (IF, AE):
+        real = module.percentiles
+        monkeypatch.setattr(module, "percentiles", lambda df, *a, real=real, **k: seen.append(
+            df._jdf.queryExecution().optimizedPlan().toString()) or real(df, *a, **k))
+    IF.fit_forest(train, ("a", "b"), ForestParams(trees=5, sample=32))
+    AE.fit_autoencoder(train, ("a", "b"), AutoencoderParams(epochs=2, shards=2))
+    assert len(seen) == 2 and not any("EvalPython" in plan for plan in seen), seen
+
+
+def test_rows_walk_trees_of_any_shape():
+    """A tree that is one leaf, one that is a chain, and missing values."""
+    import pandas as pd
+    rng = np.random.default_rng(2)
+    chain = [row for d in range(6) for row in (
+        (1, 2 * d, d % 2, 0.5 - 0.1 * d, 2 * d + 1, 2 * d + 2, 9, d), (1, 2 * d + 1, -1, 0.0, -1, -1, 3, d + 1))]
+    chain.append((1, 12, -1, 0.0, -1, -1, 2, 6))
+    nodes = pd.DataFrame([(0, 0, -1, 0.0, -1, -1, 7, 0), *chain, *IF.grow_tree(rng.normal(0, 1, (64, 2)), 2, 6, 1)],
+                         columns=[f.name for f in IF.NODE_SCHEMA])
+    forest = IF.Forest.from_nodes(nodes, 64, [0.0, 0.0], [1.0, 1.0])
+    x = rng.normal(0, 1, (IF.WALK_ROWS + 50, 2))
+    x[3, 0] = np.nan
+    c = float(IF.avg_path_length(np.array([64]))[0])
+    got = forest.score_samples(x)
+    for i in (0, 3, 5, IF.WALK_ROWS - 1, IF.WALK_ROWS, len(x) - 1):
+        path = 0.0
+        for t in range(3):
+            node = 0
+            while forest.feature[t, node] >= 0:
+                node = int((forest.left if x[i, forest.feature[t, node]] < forest.split[t, node] else forest.right)[t, node])
+            path += forest.leaf_path[t, node]
+        assert got[i] == -np.power(2.0, -(path / 3) / c)
