@@ -255,3 +255,13 @@ def test_a_window_that_turns_constant_has_no_deviation_left():
     for i in (1399, 1400, 1500, 2099):
         window, std = v[i - 500:i], 1e-8 if i >= 1400 else v[i - 500:i].std() + 1e-8
         assert abs(got[3][i] - window.mean()) < 1e-9 and abs(got[4][i] - std) < max(1e-12, 1e-6 * std), i
+
+
+def test_a_cut_series_without_a_name_equals_its_whole_fold(lev):
+    from pyspark.sql import functions as F
+    b, s = [x.withColumn("metric_name", F.when(F.col("metric_name") != "view", F.col("metric_name"))) for x in _frames(lev)]
+    want = charts.sequential_chart(s, b, ChartParams()).toPandas().set_index("event_id").sort_index()
+    got = charts.adaptive_chart(s, b, ChartParams(segment_rows=300), rows=s).toPandas().set_index("event_id").sort_index()
+    assert want["metric_name"].isna().any() and len(got) == len(want)
+    for c in ("z_score", "cusum_pos", "control_mean", "rule_triggered"):
+        assert (got[c] == want[c]).all(), c
