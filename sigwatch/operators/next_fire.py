@@ -27,11 +27,10 @@ def _same(key: list[str], other: str):
 
 def placed(rows: DataFrame, key: list[str], order=ORDER, num_partitions: int | None = None) -> DataFrame:
     """The rows as a table with ``_place``: rising, with gaps, in the order of
-    the key and ``order``. Range partitions cut a large key into many."""
+    the key and ``order``. Range partitions cut a large key into many. Finding
+    their bounds reads the rows once more, so they should be cheap to read."""
     n = num_partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [F.col(c) for c in (*key, *order)]
-    # finding the range bounds reads the rows once more: not what is upstream of them
-    rows = written(rows, "unplaced")
     return written(rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
                    .withColumn("_place", F.monotonically_increasing_id()), "placed")
 
@@ -85,9 +84,12 @@ def fired(rows: DataFrame, key: list[str], cooldown_sec: float, num_partitions:
     gap = int(round(1e6 * cooldown_sec))
     if gap <= 0:
         return rows
-    table = placed(rows, key, num_partitions=num_partitions)
+    # sorted and joined are key and order alone; the rest of a row waits under its number
+    numbered = written(rows.withColumn("_number", F.monotonically_increasing_id()), "numbered")
+    table = placed(numbered.select(*key, *ORDER, "_number"), key, num_partitions=num_partitions)
     timed = table.where("ts is not null").select(*key, F.unix_micros("ts").alias("_us"), "_place")
     first = timed.groupBy(*key).agg(F.min("_place").alias("_place")).select("_place")
     marks, _ = reached(first, next_at_or_after(timed, key, gap, num_partitions))
     kept = table.where("ts is null").select("_place").unionByName(marks)
-    return table.join(kept, "_place", "left_semi").select(*rows.columns)
+    kept = written(table.join(kept, "_place", "left_semi").select("_number"), "fired")
+    return numbered.join(kept, "_number", "left_semi").select(*rows.columns)

@@ -51,3 +51,13 @@ def test_rows_without_time_empty_tables_and_extra_columns(spark):
     assert got.columns == df.columns
     assert sorted(r["event_id"] for r in got.collect()) == ["nx", "ny", "nz", "x", "z"]
     assert AL.cooldown(df.where("false"), 10.0).count() == 0 and AL.cooldown(df, 0.0).count() == 6
+
+
+def test_only_key_and_order_are_sorted(spark, monkeypatch):
+    """Range-sorted are the columns that the cooldown needs, not whole rows."""
+    seen, plain = [], NF.placed
+    monkeypatch.setattr(NF, "placed", lambda rows, *a, **k: seen.append(rows.columns) or plain(rows, *a, **k))
+    df = frame(spark, [("a", 1.0, "x"), ("a", 1.0, "x"), ("a", 50.0, "z"), ("b", 3.0, None)]).withColumn("message", F.lit("long"))
+    got = AL.cooldown(df, 10.0)
+    assert len(seen) == 1 and set(seen[0]) == {"service", "metric_name", "ts", "event_id", "_number"}
+    assert got.columns == df.columns and got.where("message = 'long'").count() == 3  # a row that comes twice fires once
