@@ -307,21 +307,31 @@ TRIO_WEIGHTS = {"Shewhart": 0.35, "Cusum": 0.35, "ControlCharts": 0.30}
 COOLDOWN_SEC = 86400.0
 
 
+def _lev_once(spark, sf_dir, metric: str | None = None) -> DataFrame:
+    """The labelled events (of a metric) as a table: the trio's detectors, fits
+    and cuts read them seven times, the overlay is computed once."""
+    lev = _lev(spark, sf_dir)
+    if metric is not None:
+        lev = lev.where(F.col("metric_name") == metric)
+    return written(lev.select("event_id", "ts", "service", "metric_name", "value", "is_anomaly", "anomaly_type"),
+                   "labelled")
+
+
 def trio_scored(spark, sf_dir, metric: str | None = None) -> DataFrame:
     """Stream rows with the three detectors' votes and confidences; labels
     are renamed to ``label`` / ``label_type``. Every detector works within a
     metric, so a wanted ``metric`` is picked before they run."""
-    lev = _lev(spark, sf_dir)
-    if metric is not None:
-        lev = lev.where(F.col("metric_name") == metric)
+    lev = _lev_once(spark, sf_dir, metric)
     base = data.baseline(lev).select("event_id", "ts", "service", "metric_name", "value")
     s = (data.stream(lev).withColumnRenamed("is_anomaly", "label")
          .withColumnRenamed("anomaly_type", "label_type")
          .select("event_id", "ts", "service", "metric_name", "value", "label", "label_type"))
-    sh = charts.shewhart(s, charts.fitted_stats(base))
+    # fits are tables before the stream meets them: where the planner knows that they are small,
+    # the stream is not gathered by metric for the join, and each hour of a series stays a key of its own
+    sh = charts.shewhart(s, written(charts.fitted_stats(base), "stats"))
     sh = sh.select(*s.columns, F.col("breach").alias("sh_vote"),
                    fround(F.least(F.abs("z_score") / 6.0, F.lit(1.0)), 4).alias("sh_conf"))
-    lim = charts.reference_limits(s, SERIES, eps=1e-8)
+    lim = written(charts.reference_limits(s, SERIES, eps=1e-8), "limits")
     cu = charts.cusum_scan(sh, lim, SERIES)
     cu = cu.select(*sh.columns, F.col("cusum_alarm").alias("cu_vote"),
                    fround(F.least(F.greatest("cusum_pos", "cusum_neg") / 10.0, F.lit(1.0)), 4).alias("cu_conf"))
@@ -343,14 +353,16 @@ def _fuse_q(strategy):
 
 
 def fired_alerts(spark, sf_dir, cooldown_sec=COOLDOWN_SEC):
-    f = fused(spark, sf_dir)
-    return AL.alert_rows(AL.cooldown(f.where("is_anomaly"), cooldown_sec))
+    f = fused(spark, sf_dir).where("is_anomaly")
+    # an alert row shows the voters' names, neither the two maps nor the labels
+    f = f.select("event_id", "ts", *AL.KEY, "value", "ensemble_confidence", "severity", "voted_detectors")
+    return AL.alert_rows(AL.cooldown(f, cooldown_sec))
 
 
 def alert_cooldown(spark, sf_dir):
     """H1: anomalies that fire under a one-day event-time cooldown per key."""
-    f = fused(spark, sf_dir)
-    return AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC).select("event_id", "service", "metric_name")
+    f = fused(spark, sf_dir).where("is_anomaly").select("event_id", "ts", *AL.KEY)
+    return AL.cooldown(f, COOLDOWN_SEC).select("event_id", "service", "metric_name")
 
 
 def alert_rows_q(spark, sf_dir):
@@ -360,8 +372,9 @@ def alert_rows_q(spark, sf_dir):
 
 def alert_pipeline(spark, sf_dir):
     """H4 + S5 rows: audit records of fired alerts with partition columns."""
-    f = fused(spark, sf_dir)
-    fired = AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC)
+    f = fused(spark, sf_dir).where("is_anomaly")
+    f = f.select("event_id", "ts", *AL.KEY, "value", "is_anomaly", "ensemble_confidence", "severity")
+    fired = AL.cooldown(f, COOLDOWN_SEC)
     return fired.select("event_id", "service", "metric_name", "value", "is_anomaly",
                         "ensemble_confidence", "severity",
                         F.date_format("ts", "yyyy-MM-dd").alias("date"),
@@ -486,7 +499,7 @@ def bucket_kpi(spark, sf_dir):
 from . import pipeline as PL  # noqa: E402
 from ..operators import autoencoder as AEm  # noqa: E402
 from ..operators import forest as IFm  # noqa: E402
-from ..operators.small import materialize  # noqa: E402
+from ..operators.small import materialize, written  # noqa: E402
 
 
 def _fit_inputs(spark, sf_dir):
@@ -561,7 +574,7 @@ def prediction_alignment(spark, sf_dir):
 
 def service_counters(spark, sf_dir):
     """A10: per service: requests scored, anomalies detected, alerts fired."""
-    f = materialize(fused(spark, sf_dir).select(*AL.KEY, "event_id", "ts", "is_anomaly"))  # read twice
+    f = written(fused(spark, sf_dir).select(*AL.KEY, "event_id", "ts", "is_anomaly"), "fused")  # read twice
     fired = AL.cooldown(f.where("is_anomaly"), COOLDOWN_SEC).select("event_id").withColumn("_fired", F.lit(1))
     j = f.join(fired, "event_id", "left")
     return j.groupBy("service").agg(F.count("*").alias("requests"),
@@ -608,12 +621,13 @@ def quantile_sketch(spark, sf_dir):
 def fuse_joined(spark, sf_dir):
     """The detectors run apart, each with its own result table, joined on
     the event id and fused; equal to the single plan's majority vote."""
-    lev = _lev(spark, sf_dir)
+    lev = _lev_once(spark, sf_dir)
     cols = ["event_id", "ts", "service", "metric_name", "value"]
     base, s = data.baseline(lev).select(*cols), data.stream(lev).select(*cols)
-    sh = charts.shewhart(s, charts.fitted_stats(base)).select(
+    sh = charts.shewhart(s, written(charts.fitted_stats(base), "stats")).select(
         "event_id", F.col("breach").alias("sh_vote"), fround(F.least(F.abs("z_score") / 6.0, F.lit(1.0)), 4).alias("sh_conf"))
-    cu = charts.cusum_scan(s, charts.reference_limits(s, SERIES, eps=1e-8), SERIES).select(
+    lim = written(charts.reference_limits(s, SERIES, eps=1e-8), "limits")
+    cu = charts.cusum_scan(s, lim, SERIES).select(
         "event_id", F.col("cusum_alarm").alias("cu_vote"),
         fround(F.least(F.greatest("cusum_pos", "cusum_neg") / 10.0, F.lit(1.0)), 4).alias("cu_conf"))
     cc = charts.adaptive_chart(s, base, ChartParams()).select("event_id", "cc_is_anomaly", "cc_confidence")
